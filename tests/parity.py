@@ -1,0 +1,73 @@
+"""Run registered queries against their SQL counterparts in DuckDB."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents"
+    " embeddings pages benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS FROM '{sf_dir}/{t}.parquet'")
+    return con
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value)
+    if isinstance(value, decimal.Decimal):
+        return f"dec:{value}"
+    if isinstance(value, (dt.date, dt.datetime)):
+        return value.isoformat()
+    return value
+
+
+# Type names that hold the same values in both engines.
+KINDS = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+    "date": "DATE", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
+def spark_result(frame):
+    names = sorted(frame.columns)
+    kinds = dict(frame.dtypes)
+    rows = frame.select(*names).collect()
+    types = [KINDS.get(kinds[n], kinds[n].upper()) for n in names]
+    return names, types, [tuple(_plain(v) for v in r) for r in rows]
+
+
+def oracle_result(con, sql):
+    described = con.execute(f"DESCRIBE {sql}").fetchall()
+    kinds = {r[0]: r[1] for r in described}
+    names = sorted(kinds)
+    quoted = ", ".join(f'"{n}"' for n in names)
+    rows = con.execute(f"SELECT {quoted} FROM ({sql})").fetchall()
+    return names, [kinds[n] for n in names], [tuple(_plain(v) for v in r) for r in rows]
+
+
+def difference(frame, con, sql) -> str | None:
+    """What differs, or None when names, types and rows are equal."""
+    names, types, rows = spark_result(frame)
+    o_names, o_types, o_rows = oracle_result(con, sql)
+    if names != o_names:
+        return f"columns {names} / {o_names}"
+    if types != o_types:
+        return f"types {list(zip(names, types, o_types))}"
+    if len(rows) != len(o_rows):
+        return f"rows {len(rows)} / {len(o_rows)}"
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    for a, b in zip(sorted(rows, key=key), sorted(o_rows, key=key)):
+        if a != b:
+            return f"{names}\n spark {a}\n sql   {b}"
+    return None
