@@ -556,6 +556,30 @@ SELECT {key}, rows, CAST(rows AS DOUBLE) / CAST(sum(rows) OVER () AS DOUBLE) AS
 FROM (SELECT {key}, count(*) AS rows FROM ev GROUP BY 1)"""
 
 
+def _hourly(source: str, where: str = "true") -> str:
+    return f"""
+SELECT date_trunc('hour', event_timestamp) AS window_start,
+  date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR AS window_end,
+  region, event_type, count(*) AS events
+FROM {source} WHERE {where} GROUP BY ALL"""
+
+
+_SQL["hourly_counts"] = _hourly("ev")
+_SQL["stream_hourly_counts"] = _hourly(
+    "ev",
+    "date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR <="
+    " (SELECT max(event_timestamp) FROM ev) - INTERVAL 2 HOUR",
+)
+_SQL["stream_unique_ids"] = (
+    "SELECT DISTINCT event_id, content_id FROM checked WHERE rejection_reason IS NULL"
+)
+_SQL["stream_arrivals"] = """
+SELECT CASE WHEN rejection_reason IS NULL THEN 'valid' ELSE 'rejected' END AS status,
+  ingest_date, count(*) AS events
+FROM checked GROUP BY 1, 2"""
+_SQL["stream_anomalies"] = f"""
+SELECT event_id, flags FROM ({_SQL['anomaly_flags']}) WHERE is_anomaly"""
+_SQL["incremental_daily"] = _SQL["end_to_end_daily"]
 _SQL["skew_profile"] = _skew("content_id")
 _SQL["skew_profile_customers"] = _skew("customer_id")
 _SQL["enrich_launch_merge"] = _SQL["enrich_launch"]

@@ -8,15 +8,17 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewlake.functions import derive_fields, exact_sum, normalize_timestamps
+from viewlake.functions import derive_fields, is_completed, normalize_timestamps
 from viewlake.operators import dedup, enrich, keys, lateness, marts, quality, rollup
 from viewlake.operators import fingerprint as prints
 from viewlake.operators import validate
-from viewlake.plans import formats, warehouse
+from viewlake.plans import daily_run, formats, warehouse
 from viewlake.plans.transform import check_events, transform
-from viewlake.sinks import partition_report, write_partitioned
+from viewlake.plans.zones import Zones
 from viewlake.session import working_folder
-from viewlake.sources import testdata
+from viewlake.sinks import partition_report, write_partitioned
+from viewlake.sources import land_raw, testdata
+from viewlake.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,6 +85,10 @@ def with_unknowns(dims):
     }
 
 
+def with_completion(events: DataFrame) -> DataFrame:
+    return events.withColumn("is_completed", is_completed())
+
+
 def events_of(frame: DataFrame) -> DataFrame:
     return frame.select(*testdata.EVENT_COLUMNS, "ingest_date")
 
@@ -207,13 +213,7 @@ def derived_fields(spark, sf_dir):
 
 @query
 def daily_aggregate(spark, sf_dir):
-    return rollup.aggregate_daily(derive_fields_without_launch(clean(spark, sf_dir)))
-
-
-def derive_fields_without_launch(events):
-    from viewlake.functions import is_completed
-
-    return events.withColumn("is_completed", is_completed())
+    return rollup.aggregate_daily(with_completion(clean(spark, sf_dir)))
 
 
 @query
@@ -433,7 +433,7 @@ def grain_check(spark, sf_dir):
 @query
 def orphan_check(spark, sf_dir):
     """Fact rows of contents that the metadata lacks, by content."""
-    daily = rollup.aggregate_daily(derive_fields_without_launch(clean(spark, sf_dir)))
+    daily = rollup.aggregate_daily(with_completion(clean(spark, sf_dir)))
     return keys.orphans(
         daily, testdata.content_metadata(spark, sf_dir), "content_id", "content_id"
     )
@@ -617,7 +617,7 @@ def lineitem_daily(spark, sf_dir):
         (F.col("l_discount") * 10).alias("completion_rate"),
     )
     return rollup.aggregate_daily(
-        derive_fields_without_launch(items),
+        with_completion(items),
         ("l_partkey", "l_returnflag", "l_linestatus", "ship_date"),
     )
 
@@ -672,3 +672,88 @@ def lineitem_star(spark, sf_dir):
         .groupBy("n_name", "p_type")
         .agg(F.sum("n").alias("line_items"), F.sum("q").cast("double").alias("quantity"))
     )
+
+
+# Streams
+
+
+def events_stream(spark, sf_dir):
+    """The event table as a stream of files."""
+    table = testdata.read_table(spark, sf_dir, "events")
+    return live.open_files(spark, sf_dir, table.schema, files="events.parquet")
+
+
+@query
+def hourly_counts(spark, sf_dir):
+    return live.hourly_counts(testdata.viewing_events(spark, sf_dir))
+
+
+@query
+def stream_hourly_counts(spark, sf_dir):
+    """The hours that are closed two hours after the last event."""
+    events = testdata.map_events(events_stream(spark, sf_dir))
+    base = working_folder(spark, "stream-hours")
+    return live.run_available(
+        live.hourly_counts(events, delay="2 hours"), f"{base}/out", f"{base}/state"
+    )
+
+
+@query
+def stream_unique_ids(spark, sf_dir):
+    """Ids of a deduplicated stream; which copy came first is left open."""
+    raw = testdata.map_raw_events(events_stream(spark, sf_dir))
+    unique = live.dedup_stream(validate.valid_rows(check_events(raw)), "60 days")
+    base = working_folder(spark, "stream-ids")
+    return live.run_available(
+        unique.select("event_id", "content_id"), f"{base}/out", f"{base}/state"
+    )
+
+
+@query
+def stream_arrivals(spark, sf_dir):
+    """Landed CSV files taken in as a stream, counted by outcome and arrival date."""
+    base = working_folder(spark, "stream-arrivals")
+    land_raw(testdata.raw_events(spark, sf_dir), f"{base}/raw")
+    arrivals = live.check_arrivals(live.open_raw_events(spark, f"{base}/raw"))
+    taken = live.run_available(
+        arrivals, f"{base}/out", f"{base}/state", ("status", "ingest_date")
+    )
+    return taken.groupBy("status", "ingest_date").agg(F.count("*").alias("events"))
+
+
+@query
+def stream_anomalies(spark, sf_dir):
+    flagged = quality.anomaly_flags(testdata.map_events(events_stream(spark, sf_dir)))
+    base = working_folder(spark, "stream-anomalies")
+    return live.run_available(
+        flagged.where("is_anomaly").select("event_id", "flags"),
+        f"{base}/out",
+        f"{base}/state",
+    )
+
+
+# The daily run on a lake of its own
+
+
+def land_reference(spark, sf_dir, zones):
+    for frame, path in (
+        (testdata.content_metadata(spark, sf_dir), zones.metadata),
+        (testdata.content_launch(spark, sf_dir), zones.launch),
+    ):
+        frame.write.option("header", True).csv(path)
+
+
+@query
+def incremental_daily(spark, sf_dir):
+    """The daily aggregate after two runs, where late events of the second
+    change days of the first: equal to one computation over everything."""
+    zones = Zones(working_folder(spark, "lake"))
+    land_reference(spark, sf_dir, zones)
+    raw = testdata.raw_events(spark, sf_dir)
+    middle = F.lit(date(2024, 1, 15))
+    for run, arrivals in enumerate(
+        (raw.where(F.col("ingest_date") <= middle), raw.where(F.col("ingest_date") > middle))
+    ):
+        land_raw(arrivals, zones.raw_events)
+        daily_run.run_incremental(spark, zones, f"run{run}", RUN_AT)
+    return spark.read.parquet(zones.daily)

@@ -8,6 +8,7 @@ from viewlake.sinks.files import (
 from viewlake.sinks.runlog import (
     append_run_metrics,
     latest_state,
+    run_state,
     save_run_state,
     stage_rows,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "append_run_metrics",
     "latest_state",
     "partition_report",
+    "run_state",
     "save_run_state",
     "stage_rows",
     "write_csv_baseline",

@@ -73,3 +73,16 @@ def drop_partitions(
         for path in found:
             dropped += bool(fs.delete(path, True))
     return dropped
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hadoop))
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a working folder of a finished run."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(hadoop, True)
