@@ -57,7 +57,7 @@ def stable_keys(
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Incoming rows, and the existing rows whose key they do not replace."""
     kept = existing.join(incoming.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(incoming)
+    return kept.unionByName(incoming).select(*existing.columns)
 
 
 def repeated_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

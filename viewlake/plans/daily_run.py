@@ -35,7 +35,7 @@ from viewlake.operators.rollup import aggregate_daily
 from viewlake.operators.validate import REASON
 from viewlake.plans.refresh import refresh_warehouse
 from viewlake.plans.transform import check_events, enrich
-from viewlake.plans.zones import Zones, read_if_present, replace_partitions
+from viewlake.plans.zones import Zones, read_if_filled, replace_partitions
 from viewlake.session import working_folder
 from viewlake.sinks.files import PARTITION_KEYS, write_partitioned
 from viewlake.sinks.runlog import (
@@ -50,7 +50,6 @@ from viewlake.sources.paths import (
     dates_frame,
     drop_folder,
     drop_partitions,
-    exists,
     partition_dates,
 )
 from viewlake.sources.raw import (
@@ -146,38 +145,47 @@ def _process(
                 changed = _write_changed_ids(spark, zones, days, scratch)
                 rows, events = _candidates(spark, zones, days, changed, lookback_days)
             result.event_dates = events
-        with _stage(result, "publish") as stage:
-            stage.output_rows = _publish(spark, zones, rows, changed, events)
+        if events:
+            with _stage(result, "publish") as stage:
+                enriched, stage.output_rows = _publish(
+                    spark, zones, rows, changed, events
+                )
     finally:
         drop_folder(spark, scratch)
+    if events:
+        _follow_up(spark, zones, result, enriched, run_at)
+    with _stage(result, "state"):
+        done = dates_frame(spark, days, "ingest_date")
+        write_partitioned(
+            done.withColumn("run_id", F.lit(result.run_id)),
+            zones.processed,
+            ("ingest_date",),
+        )
 
+
+def _follow_up(
+    spark: SparkSession,
+    zones: Zones,
+    result: RunResult,
+    enriched: DataFrame,
+    run_at: datetime,
+) -> None:
+    """Bring the aggregate, the warehouse and the fingerprints up to date."""
+    events = result.event_dates
+    touched = enriched.where(F.col("event_date").isin(events))
     with _stage(result, "aggregate"):
-        enriched = _published(spark, zones.enriched, events)
-        texts = _texts(events)
         replace_partitions(
-            aggregate_daily(enriched), zones.daily, ("event_date",), texts
+            aggregate_daily(touched), zones.daily, ("event_date",), _texts(events)
         )
     with _stage(result, "warehouse"):
-        refresh_warehouse(
-            spark,
-            zones,
-            _published(spark, zones.enriched, events),
-            result.event_dates,
-            run_at,
-        )
-    with _stage(result, "state"):
+        refresh_warehouse(spark, zones, touched, events, run_at)
+    with _stage(result, "fingerprint"):
         save_run_state(
-            fingerprint(_published(spark, zones.enriched, events), ["event_date"]),
+            fingerprint(touched, ["event_date"]),
             zones.fingerprints,
             result.run_id,
             run_at,
         )
-        done = dates_frame(spark, days, "ingest_date")
-        write_partitioned(
-            done.withColumn("run_id", F.lit(result.run_id)),
-            zones.processed,
-            ("ingest_date",),
-        )
 
 
 def _texts(days: Iterable[date]) -> set[str]:
@@ -217,18 +225,12 @@ def _from_dates(rows: DataFrame, days: Iterable[date]) -> DataFrame:
     return rows.where(F.col("ingest_date").isin(list(days)))
 
 
-def _published(
-    spark: SparkSession, path: str, events: Iterable[date]
-) -> DataFrame:
-    return spark.read.parquet(path).where(F.col("event_date").isin(list(events)))
-
-
 def _write_changed_ids(
     spark: SparkSession, zones: Zones, days: list[date], scratch: str
 ) -> DataFrame:
     ids = _from_dates(_valid(spark, zones), days).select(ID)
     for path in (zones.enriched, zones.duplicates):
-        before = read_if_present(spark, path)
+        before = read_if_filled(spark, path, "event_date")
         if before is not None:
             ids = ids.unionByName(_from_dates(before, days).select(ID))
     ids.distinct().write.parquet(scratch)
@@ -270,7 +272,7 @@ def _candidates(
     found = places.collect()
     events = {r["event_date"] for r in found}
     for path in (zones.enriched, zones.duplicates):
-        before = read_if_present(spark, path)
+        before = read_if_filled(spark, path, "event_date")
         if before is not None:
             old = _from_dates(before, days).select("event_date").distinct()
             events |= {r["event_date"] for r in old.collect()}
@@ -285,17 +287,20 @@ def _publish(
     rows: DataFrame,
     changed: DataFrame | None,
     events: list[date],
-) -> int:
-    """Rewrite the enriched rows and the duplicates of the event dates.
+) -> tuple[DataFrame, int]:
+    """Rewrite the enriched rows and the duplicates of the event dates; returns the
+    enriched table and the rows written.
 
     Published rows whose id did not change are kept; ``changed`` is None when
     every id may have changed.
     """
 
     def with_kept(path: str, fresh: DataFrame) -> DataFrame:
-        if changed is None or not exists(spark, path):
+        before = read_if_filled(spark, path, "event_date")
+        if changed is None or before is None:
             return fresh
-        kept = _published(spark, path, events).select(*fresh.columns)
+        touched = before.where(F.col("event_date").isin(events))
+        kept = touched.select(*fresh.columns)
         return kept.join(changed, ID, "left_anti").unionByName(fresh)
 
     winners = with_kept(zones.enriched, keep_latest(rows, [ID]))
@@ -308,8 +313,8 @@ def _publish(
         read_content_launch(spark, zones.launch),
     )
     published, seen = counted(enriched, "published")
-    replace_partitions(published, zones.enriched, PARTITION_KEYS, texts)
-    return seen.get["rows"]
+    table = replace_partitions(published, zones.enriched, PARTITION_KEYS, texts)
+    return table, seen.get["rows"]
 
 
 def run_backfill(

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from viewlake.plans import warehouse
-from viewlake.plans.zones import Zones, read_if_present, replace_partitions
+from viewlake.plans.zones import Zones, read_if_filled, replace_partitions
 from viewlake.sources.paths import exists, partition_paths
 from viewlake.sources.raw import read_content_launch, read_content_metadata
 
@@ -93,7 +93,7 @@ def refresh_warehouse(
 
 
 def verify(spark: SparkSession, zones: Zones) -> DataFrame | None:
-    fact = read_if_present(spark, f"{zones.warehouse}/fact_viewing")
+    fact = read_if_filled(spark, f"{zones.warehouse}/fact_viewing", "date_key")
     if fact is None:
         return None
     return warehouse.verify_warehouse(fact, read_dimensions(spark, zones))

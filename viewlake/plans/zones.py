@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewlake.sinks.files import write_partitioned
-from viewlake.sources.paths import drop_partitions, exists, partition_paths
+from viewlake.sources.paths import drop_partitions, partition_paths
 
 
 @dataclass(frozen=True)
@@ -67,8 +67,9 @@ class Zones:
 
 def replace_partitions(
     rows: DataFrame, path: str, keys: Sequence[str], first: Collection[str]
-) -> None:
-    """Make the partitions whose first key is in ``first`` hold exactly these rows.
+) -> DataFrame:
+    """Make the partitions whose first key is in ``first`` hold exactly these rows,
+    and return the written table.
 
     A dynamic overwrite replaces the partitions that get rows and stages its
     files, so the rows may come from the same path. Partitions left without rows
@@ -82,7 +83,9 @@ def replace_partitions(
         stale = before - {tuple(r) for r in names.collect()}
     write_partitioned(rows, path, keys)
     drop_partitions(spark, path, tuple(keys), stale)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
-def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if exists(spark, path) else None
+def read_if_filled(spark: SparkSession, path: str, key: str) -> DataFrame | None:
+    """A dataset partitioned by ``key``, None while it has no partition."""
+    return spark.read.parquet(path) if partition_paths(spark, path, key) else None
