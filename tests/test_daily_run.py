@@ -179,3 +179,33 @@ def test_arrivals_without_a_valid_row(spark, make_events, tmp_path):
     assert result.event_dates == []
     assert spark.read.parquet(zones.checked).count() == 1
     assert daily_run.pending_dates(spark, zones) == []
+
+
+def test_a_run_that_broke_off_late_is_made_good(
+    spark, make_events, tmp_path, monkeypatch
+):
+    """The rows of a day become invalid, and the run breaks off after publishing."""
+    zones = new_lake(spark, tmp_path)
+    d1, d2 = date(2024, 1, 1), date(2024, 1, 2)
+    land_raw(
+        make_events(event("x", datetime(2024, 1, 1, 5), d1),
+                    event("y", datetime(2024, 1, 2, 5), d2)),
+        zones.raw_events,
+    )
+    daily_run.run_incremental(spark, zones, "1", RUN)
+    real = daily_run.check_events
+    stricter = lambda raw: real(
+        raw.withColumn("region", F.when(F.col("event_id") != "x", F.col("region")))
+    )
+    monkeypatch.setattr(daily_run, "check_events", stricter)
+    with monkeypatch.context() as broken:
+        broken.setattr(daily_run, "aggregate_daily", None)
+        with pytest.raises(TypeError):
+            daily_run.run_incremental(spark, zones, "2", RUN, [d1])
+    assert daily_run.pending_dates(spark, zones) == [d1]
+    result = daily_run.run_incremental(spark, zones, "3", RUN)
+    assert result.event_dates == [d1]
+    for table in (zones.enriched, zones.daily):
+        assert rows_of(spark.read.parquet(table), "event_date") == [(d2,)]
+    fact = refresh.read_fact(spark, zones)
+    assert rows_of(fact, "date_key") == [(20240102,)]

@@ -59,8 +59,10 @@ def superseded(
     order = [latest_by, *_rest(rows, keys, latest_by)]
     members = _repeated_members(rows, keys)
     variants = members.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
-    newest = variants.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_newest"))
-    is_newest = F.struct(*order).eqNullSafe(F.col("_newest"))
+    # The count is part of the maximum only so that both uses share one shuffle.
+    place = F.struct(*order, "_copies")
+    newest = variants.groupBy(*keys).agg(F.max(place).alias("_newest"))
+    is_newest = place.eqNullSafe(F.col("_newest"))
     losers = (
         _null_safe_join(variants, newest, keys, "inner")
         .withColumn("_copies", F.col("_copies") - F.when(is_newest, 1).otherwise(0))

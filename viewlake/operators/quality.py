@@ -9,19 +9,19 @@ from pyspark.sql import functions as F
 
 from viewlake.operators.validate import (
     COMPLETION_RATE_RANGE,
-    REASON,
     WATCH_MINUTES_RANGE,
+    is_valid,
 )
 
 
-def quality_metrics(checked: DataFrame) -> DataFrame:
-    """One row of counts over checked events: input, rejected, duplicate and
+def quality_metrics(events: DataFrame) -> DataFrame:
+    """One row of counts over raw events: input, rejected, duplicate and
     output rows, NULLs, out-of-range and impossible values."""
-    valid = F.col(REASON).isNull()
+    valid = is_valid()
     output = F.count_distinct(F.when(valid, F.col("event_id")))
-    return checked.agg(
+    return events.agg(
         F.count("*").alias("input_rows"),
-        F.count_if(~valid).alias("rejected_rows"),
+        (F.count("*") - F.count_if(valid)).alias("rejected_rows"),
         (F.count_if(valid) - output).alias("duplicate_rows"),
         output.alias("output_rows"),
         *null_counts(["event_id", "event_timestamp", "region", "completion_rate"]),

@@ -1,14 +1,20 @@
 """Field rules that split events into valid rows and rejected rows with a reason.
 
-Every rule is a column that is NULL for a good row and a reason otherwise. All
-rules are evaluated in one narrow pass; a row keeps the reason of the first
-rule it breaks. A NULL measure or enum is rejected under its own code, so valid
-and rejected rows always add up to the input.
+A rule says when a row is good and, for the others, why not. All rules are
+evaluated in one narrow pass; a row keeps the reason of the first rule it
+breaks. A NULL measure or enum is rejected under its own code, so valid and
+rejected rows always add up to the input.
+
+Valid rows are selected by the plain conditions and not by the missing reason,
+so that the conditions reach a Parquet scan as filters.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,34 +41,44 @@ ENUMS = (
 )
 
 
-def required_rule(column: str = "event_id") -> Column:
-    return F.when(F.col(column).isNull(), f"NULL_{column.upper()}")
+@dataclass(frozen=True)
+class Rule:
+    """A row is good where ``holds`` is true; NULL counts as broken."""
+
+    holds: Column
+    reason: Column
+
+
+def required_rule(column: str = "event_id") -> Rule:
+    return Rule(F.col(column).isNotNull(), F.lit(f"NULL_{column.upper()}"))
 
 
-def timestamp_rule(column: str = "event_timestamp") -> Column:
-    return F.when(F.col(column).isNull(), "INVALID_TIMESTAMP")
+def timestamp_rule(column: str = "event_timestamp") -> Rule:
+    return Rule(F.col(column).isNotNull(), F.lit("INVALID_TIMESTAMP"))
 
 
-def range_rule(column: str, low: float, high: float) -> Column:
+def range_rule(column: str, low: float, high: float) -> Rule:
     value, name = F.col(column), column.upper()
-    return F.when(value.isNull(), f"NULL_{name}").when(
-        ~value.between(low, high), f"{name}_OUT_OF_RANGE"
+    return Rule(
+        value.between(low, high),
+        F.when(value.isNull(), f"NULL_{name}").otherwise(f"{name}_OUT_OF_RANGE"),
     )
 
 
-def enum_rule(enums: Iterable[tuple[str, str, tuple[str, ...]]] = ENUMS) -> Column:
-    """All enum violations of a row, joined by "; "."""
+def enum_rule(enums: Iterable[tuple[str, str, tuple[str, ...]]] = ENUMS) -> Rule:
+    """The reason lists all enum violations of a row, joined by "; "."""
+    enums = list(enums)
+    known = {column: F.col(column).isin(*domain) for column, _, domain in enums}
     parts = [
         F.when(F.col(column).isNull(), f"NULL_{label}").when(
-            ~F.col(column).isin(*domain),
-            F.concat(F.lit(f"INVALID_{label}="), F.col(column)),
+            ~known[column], F.concat(F.lit(f"INVALID_{label}="), F.col(column))
         )
-        for column, label, domain in enums
+        for column, label, _ in enums
     ]
-    return F.nullif(F.concat_ws("; ", *parts), F.lit(""))
+    return Rule(reduce(and_, known.values()), F.concat_ws("; ", *parts))
 
 
-def event_rules() -> list[Column]:
+def event_rules() -> list[Rule]:
     return [
         required_rule(),
         timestamp_rule(),
@@ -72,26 +88,37 @@ def event_rules() -> list[Column]:
     ]
 
 
-def check(rows: DataFrame, rules: Iterable[Column] | None = None) -> DataFrame:
+def is_valid(rules: Iterable[Rule] | None = None) -> Column:
+    """True for good rows, false or NULL for others."""
+    return reduce(and_, (rule.holds for rule in rules or event_rules()))
+
+
+def check(rows: DataFrame, rules: Iterable[Rule] | None = None) -> DataFrame:
     """Add the reason column: NULL on valid rows."""
-    return rows.withColumn(REASON, F.coalesce(*(rules or event_rules())))
+    reasons = [
+        F.when(rule.holds, None).otherwise(rule.reason)
+        for rule in rules or event_rules()
+    ]
+    return rows.withColumn(REASON, F.coalesce(*reasons))
 
 
-def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) of checked rows."""
-    return valid_rows(checked), rejected_rows(checked)
+def split(
+    checked: DataFrame, rules: Iterable[Rule] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) of rows checked with the rules."""
+    return valid_rows(checked, rules), rejected_rows(checked, rules)
 
 
-def valid_rows(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col(REASON).isNull()).drop(REASON)
+def valid_rows(checked: DataFrame, rules: Iterable[Rule] | None = None) -> DataFrame:
+    return checked.where(is_valid(rules)).drop(REASON)
 
 
-def rejected_rows(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col(REASON).isNotNull())
+def rejected_rows(checked: DataFrame, rules: Iterable[Rule] | None = None) -> DataFrame:
+    return checked.where(~F.coalesce(is_valid(rules), F.lit(False)))
 
 
-def _by_rule(rows: DataFrame, rule: Column) -> tuple[DataFrame, DataFrame]:
-    return split(check(rows, [rule]))
+def _by_rule(rows: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    return split(check(rows, [rule]), [rule])
 
 
 def validate_required_fields(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

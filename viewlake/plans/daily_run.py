@@ -32,7 +32,7 @@ from viewlake.operators.fingerprint import compare_fingerprints, fingerprint
 from viewlake.operators.lateness import backfill_range, parse_date_range
 from viewlake.operators.quality import counted
 from viewlake.operators.rollup import aggregate_daily
-from viewlake.operators.validate import REASON
+from viewlake.operators.validate import REASON, is_valid
 from viewlake.plans.refresh import refresh_warehouse
 from viewlake.plans.transform import check_events, enrich
 from viewlake.plans.zones import Zones, read_if_filled, replace_partitions
@@ -144,7 +144,10 @@ def _process(
             else:
                 changed = _write_changed_ids(spark, zones, days, scratch)
                 rows, events = _candidates(spark, zones, days, changed, lookback_days)
-            result.event_dates = events
+            # What a broken run has rewritten may not be found by its rows again.
+            left = partition_dates(spark, zones.unfinished, "event_date")
+            events = result.event_dates = sorted({*events, *left})
+            _note_unfinished(spark, zones, events)
         if events:
             with _stage(result, "publish") as stage:
                 enriched, stage.output_rows = _publish(
@@ -161,6 +164,12 @@ def _process(
             zones.processed,
             ("ingest_date",),
         )
+        drop_folder(spark, zones.unfinished)
+
+
+def _note_unfinished(spark: SparkSession, zones: Zones, events: list[date]) -> None:
+    marks = dates_frame(spark, events, "event_date").withColumn("open", F.lit(True))
+    write_partitioned(marks, zones.unfinished, ("event_date",))
 
 
 def _follow_up(
@@ -204,11 +213,10 @@ def _write_checked(
             [(status, d.isoformat()) for d in days],
         )
     checked = check_events(read_viewing_events(spark, zones.raw_events, days))
-    is_valid = F.col(REASON).isNull()
-    rows, seen = counted(checked, "arrivals", valid=F.count_if(is_valid))
+    rows, seen = counted(checked, "arrivals", valid=F.count_if(is_valid()))
     write_partitioned(
         rows.withColumn(
-            "status", F.when(is_valid, "valid").otherwise("rejected")
+            "status", F.when(is_valid(), "valid").otherwise("rejected")
         ),
         zones.checked,
         ("status", "ingest_date"),
@@ -312,9 +320,9 @@ def _publish(
         read_content_metadata(spark, zones.metadata),
         read_content_launch(spark, zones.launch),
     )
-    published, seen = counted(enriched, "published")
-    table = replace_partitions(published, zones.enriched, PARTITION_KEYS, texts)
-    return table, seen.get["rows"]
+    table = replace_partitions(enriched, zones.enriched, PARTITION_KEYS, texts)
+    # Counted from the file footers of the partitions written.
+    return table, table.where(F.col("event_date").isin(events)).count()
 
 
 def run_backfill(

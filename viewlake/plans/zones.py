@@ -56,6 +56,11 @@ class Zones:
     def processed(self) -> str:
         return f"{self.base}/state/processed"
 
+    @property
+    def unfinished(self) -> str:
+        """Event dates that a run is rewriting; left over if it broke off."""
+        return f"{self.base}/state/unfinished"
+
     @property
     def fingerprints(self) -> str:
         return f"{self.base}/state/fingerprints"

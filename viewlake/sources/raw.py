@@ -77,7 +77,8 @@ def land_raw(events: DataFrame, base: str) -> list[date]:
     if taken:
         raise FileExistsError(f"already landed: {[d.isoformat() for d in taken]}")
     (
-        events.write.mode("append")
+        events.hint("rebalance", "ingest_date")
+        .write.mode("append")
         .partitionBy("ingest_date")
         .option("header", True)
         .option("timestampFormat", WRITE_TIMESTAMP)

@@ -73,64 +73,59 @@ def viewing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_events(read_table(spark, sf_dir, "events"))
 
 
+def _variant(base: dict[str, Column], **changes: Column) -> Column:
+    return F.struct(*(c.alias(n) for n, c in {**base, **changes}.items()))
+
+
 def map_raw_events(events: DataFrame) -> DataFrame:
-    """Viewing events with faults, near copies, exact copies and late copies."""
-    columns = _event_columns()
-    e = F.col("event_id")
-    copies = F.array_compact(
-        F.array(
-            F.lit("base"),
-            F.when(e % 400 == 1, "near"),
-            F.when(e % 2000 == 3, "exact"),
-            F.when(e % 238 == 5, "late"),
-        )
-    )
+    """Viewing events with faults, near copies, exact copies and late copies.
+
+    The base row and its copies are variants of one scanned row. Rules on the
+    result see plain columns of the variant and not the fault logic.
+    """
     rows = events.select(
-        e.alias("_e"),
-        *(column.alias(name) for name, column in columns.items()),
-        F.explode(copies).alias("_copy"),
+        F.col("event_id").alias("_e"),
+        _padded("EVT-", F.col("event_id"), 9).alias("event_id"),
+        *(column.alias(name) for name, column in _event_columns().items()),
     )
-    n, copy = F.col("_e"), F.col("_copy")
-    base = copy == "base"
-    slot = n % 700
-    both = base & (n % 2100 == 601)
-    name = _padded("EVT-", n, 9)
-    ts = F.col("event_timestamp")
-    return rows.select(
-        F.when(base & (slot == 0), None)
-        .when(copy == "late", F.concat(F.lit("LATE-"), name))
-        .otherwise(name)
-        .alias("event_id"),
-        "customer_id",
-        "content_id",
-        F.when(base & (slot == 100), None)
-        .when(copy == "near", ts + F.expr("INTERVAL '0.25' SECOND"))
-        .when(copy == "late", ts - F.make_dt_interval((3 + n % 5).cast("int")))
-        .otherwise(ts)
-        .alias("event_timestamp"),
-        F.when((base & (slot == 400)) | both, "XX")
-        .when(base & (slot == 450), None)
-        .otherwise(F.col("region"))
-        .alias("region"),
-        F.when(base & (slot == 500), "fridge")
-        .otherwise(F.col("device_type"))
-        .alias("device_type"),
-        F.when((base & (slot == 600)) | both, "unknown_event_type")
-        .otherwise(F.col("event_type"))
-        .alias("event_type"),
-        F.when(base & (slot == 300), -1.0)
-        .when(base & (slot == 350), 99999.0)
-        .otherwise(F.col("watch_minutes"))
-        .alias("watch_minutes"),
-        F.when(base & (slot == 200), 1.5)
-        .when(base & (slot == 550), None)
-        .otherwise(F.col("completion_rate"))
-        .alias("completion_rate"),
-        F.when(base & (slot == 650), "ultra-premium")
-        .otherwise(F.col("subscription_type"))
-        .alias("subscription_type"),
-        "ingest_date",
+    clean = {name: F.col(name) for name in rows.columns[1:]}
+    e, ts = F.col("_e"), clean["event_timestamp"]
+    slot, both = e % 700, e % 2100 == 601
+
+    def unless(fault: Column, column: str, value: object = None) -> Column:
+        return F.when(fault, value).otherwise(clean[column])
+
+    faulted = _variant(
+        clean,
+        event_id=unless(slot == 0, "event_id"),
+        event_timestamp=unless(slot == 100, "event_timestamp"),
+        completion_rate=F.when(slot == 200, 1.5)
+        .when(slot == 550, None)
+        .otherwise(clean["completion_rate"]),
+        watch_minutes=F.when(slot == 300, -1.0)
+        .when(slot == 350, 99999.0)
+        .otherwise(clean["watch_minutes"]),
+        region=F.when((slot == 400) | both, "XX")
+        .when(slot == 450, None)
+        .otherwise(clean["region"]),
+        device_type=unless(slot == 500, "device_type", "fridge"),
+        event_type=unless((slot == 600) | both, "event_type", "unknown_event_type"),
+        subscription_type=unless(slot == 650, "subscription_type", "ultra-premium"),
+    )
+    near = _variant(clean, event_timestamp=ts + F.expr("INTERVAL '0.25' SECOND"))
+    late = _variant(
+        clean,
+        event_id=F.concat(F.lit("LATE-"), clean["event_id"]),
+        event_timestamp=ts - F.make_dt_interval((3 + e % 5).cast("int")),
+    )
+    variants = F.array(
+        faulted,
+        F.when(e % 400 == 1, near),
+        F.when(e % 2000 == 3, _variant(clean)),
+        F.when(e % 238 == 5, late),
     )
+    exploded = rows.select(F.explode(variants).alias("_row"))
+    return exploded.where(F.col("_row").isNotNull()).select("_row.*")
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from viewlake.operators.validate import REASON
+from viewlake.operators.validate import is_valid
 from viewlake.plans.transform import check_events
 from viewlake.schemas import CORRUPT_RECORD
 from viewlake.sources.raw import READ_TIMESTAMP, raw_events_schema
@@ -58,7 +58,7 @@ def open_raw_events(
 
 def check_arrivals(raw: DataFrame) -> DataFrame:
     """Normalized events with their rejection reason and status."""
-    status = F.when(F.col(REASON).isNull(), "valid").otherwise("rejected")
+    status = F.when(is_valid(), "valid").otherwise("rejected")
     return check_events(raw).withColumn("status", status)
 
 
