@@ -8,7 +8,13 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewlake.functions import derive_fields, is_completed, normalize_timestamps
+from viewlake.functions import (
+    derive_fields,
+    exact_units,
+    from_units,
+    is_completed,
+    normalize_timestamps,
+)
 from viewlake.operators import dedup, enrich, keys, lateness, marts, quality, rollup
 from viewlake.operators import fingerprint as prints
 from viewlake.operators import validate
@@ -653,7 +659,7 @@ def lineitem_star(spark, sf_dir):
         .groupBy("l_partkey", "l_suppkey")
         .agg(
             F.count("*").alias("n"),
-            F.sum(F.col("l_quantity").cast("decimal(24,6)")).alias("q"),
+            exact_units(F.col("l_quantity")).alias("q"),
         )
     )
     return (
@@ -670,7 +676,7 @@ def lineitem_star(spark, sf_dir):
             F.col("s_nationkey") == F.col("n_nationkey"),
         )
         .groupBy("n_name", "p_type")
-        .agg(F.sum("n").alias("line_items"), F.sum("q").cast("double").alias("quantity"))
+        .agg(F.sum("n").alias("line_items"), from_units(F.sum("q")).alias("quantity"))
     )
 
 

@@ -5,7 +5,14 @@ from viewlake.functions.dates import (
     normalize_timestamps,
     parse_date,
 )
-from viewlake.functions.exact import exact_avg, exact_sum, percent, round_half_up
+from viewlake.functions.exact import (
+    exact_avg,
+    exact_sum,
+    exact_units,
+    from_units,
+    percent,
+    round_half_up,
+)
 from viewlake.functions.measures import (
     completed_views,
     derive_fields,
@@ -21,6 +28,8 @@ __all__ = [
     "derive_fields",
     "exact_avg",
     "exact_sum",
+    "exact_units",
+    "from_units",
     "is_completed",
     "lateness_days",
     "launch_delay_days",

@@ -1,7 +1,10 @@
 """Sums, averages and rounding that do not depend on row order.
 
 A sum of doubles changes in its last bits with the order in which tasks
-finish. Summing as decimals makes reruns, backfills and other engines agree.
+finish. Here a value is taken as a whole number of millionths and summed as
+integers, which makes reruns, backfills and other engines agree. The numbers are
+summed in two parts of 64 bits, so that no sum overflows and no row needs
+decimal arithmetic.
 """
 
 from __future__ import annotations
@@ -9,12 +12,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Six places hold any measure here exactly; 24 digits leave the sum 34.
-DECIMAL = "decimal(24,6)"
+UNITS = 1_000_000
+LOW_BITS = 20
+
+
+def exact_units(value: Column) -> Column:
+    """The sum as a decimal number of millionths; such sums can be summed again."""
+    units = F.rint(value * F.lit(float(UNITS))).cast("long")
+    high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(units.bitwiseAND(F.lit(2**LOW_BITS - 1))).cast("decimal(20,0)")
+    return high * F.lit(2**LOW_BITS).cast("decimal(7,0)") + low
+
+
+def from_units(units: Column) -> Column:
+    return units.cast("double") / F.lit(float(UNITS))
 
 
 def exact_sum(value: Column) -> Column:
-    return F.sum(value.cast(DECIMAL)).cast("double")
+    return from_units(exact_units(value))
 
 
 def exact_avg(value: Column) -> Column:

@@ -7,8 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewlake.functions import exact_avg, exact_sum, round_half_up, watch_hours
-from viewlake.functions.exact import DECIMAL
+from viewlake.functions import (
+    exact_avg,
+    exact_sum,
+    exact_units,
+    from_units,
+    round_half_up,
+    watch_hours,
+)
 
 DAILY_GRAIN = ("content_id", "region", "device_type", "event_date")
 
@@ -52,10 +58,10 @@ def salted_sums(
         .groupBy(*keys, "_salt")
         .agg(
             F.count("*").alias("_rows"),
-            *(F.sum(c.cast(DECIMAL)).alias(name) for name, c in sums.items()),
+            *(exact_units(c).alias(name) for name, c in sums.items()),
         )
     )
     return partial.groupBy(*keys).agg(
         F.sum("_rows").alias("rows"),
-        *(F.sum(name).cast("double").alias(name) for name in sums),
+        *(from_units(F.sum(name)).alias(name) for name in sums),
     )

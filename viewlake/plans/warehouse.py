@@ -19,12 +19,13 @@ from viewlake.functions import (
     calendar_columns,
     completed_views,
     date_key,
+    exact_units,
+    from_units,
     launch_delay_days,
     parse_date,
     round_half_up,
     watch_hours,
 )
-from viewlake.functions.exact import DECIMAL
 from viewlake.operators.keys import stable_keys, upsert
 from viewlake.sources.calendar import date_series
 
@@ -228,16 +229,16 @@ def fact_viewing(
     key before the key lookups, so the joins see the daily grain and not single
     events. ``unknown`` is "keep" for key 0 or "drop" for an inner lookup.
     """
-    minutes = F.coalesce("watch_minutes", F.lit(0.0)).cast(DECIMAL)
-    rate = F.coalesce("completion_rate", F.lit(0.0)).cast(DECIMAL)
+    minutes = F.coalesce("watch_minutes", F.lit(0.0))
+    rate = F.coalesce("completion_rate", F.lit(0.0))
     summed = (
         events.where(F.col("event_date").isNotNull())
         .groupBy("content_id", "region", "device_type", "event_date")
         .agg(
             F.count("*").alias("_views"),
-            F.sum(minutes).alias("_minutes"),
+            exact_units(minutes).alias("_minutes"),
             completed_views().alias("_completed"),
-            F.sum(rate).alias("_rates"),
+            exact_units(rate).alias("_rates"),
         )
     )
     keyed = _look_up(
@@ -248,14 +249,14 @@ def fact_viewing(
         ("dim_region", "region_key", "region_code", "region"),
         ("dim_device", "device_key", "device_type", "device_type"),
     )
-    total = F.sum("_minutes").cast("double")
+    total = from_units(F.sum("_minutes"))
     views = F.sum("_views")
     return keyed.groupBy(*FACT_KEYS).agg(
         views.cast("int").alias("views"),
         total.alias("watch_minutes"),
         watch_hours(total).alias("watch_hours"),
         F.sum("_completed").cast("int").alias("completed_views"),
-        round_half_up(F.sum("_rates").cast("double") / views, 4).alias(
+        round_half_up(from_units(F.sum("_rates")) / views, 4).alias(
             "avg_completion_rate"
         ),
     )
@@ -365,14 +366,14 @@ def views_by_calendar(
     """Views and hours along calendar attributes; the fact is summed per day first."""
     per_day = fact.groupBy("date_key").agg(
         F.sum("views").alias("views"),
-        F.sum(F.col("watch_minutes").cast(DECIMAL)).alias("_minutes"),
+        exact_units(F.col("watch_minutes")).alias("_minutes"),
     )
     return (
         per_day.join(calendar, "date_key")
         .groupBy(*by)
         .agg(
             F.sum("views").alias("views"),
-            watch_hours(F.sum("_minutes").cast("double")).alias("watch_hours"),
+            watch_hours(from_units(F.sum("_minutes"))).alias("watch_hours"),
         )
     )
 

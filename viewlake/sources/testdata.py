@@ -6,54 +6,57 @@ scan, so it runs at any size and on streams too.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from viewlake.schemas import VIEWING_EVENTS
 
+EVENT_COLUMNS = VIEWING_EVENTS.fieldNames()
 
-def _ladder(value: Column, *steps: tuple[int, str], otherwise: str) -> Column:
-    """The label of the first bound the value lies under."""
-    column = None
-    for bound, label in steps:
-        test = value < bound
-        column = (
-            F.when(test, F.lit(label)) if column is None else column.when(test, label)
-        )
-    return column.otherwise(otherwise)
-
-
-def _padded(prefix: str, value: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(value.cast("string"), width, "0"))
-
-
-def _event_columns() -> dict[str, Column]:
-    e, u = F.col("event_id"), F.col("user_id")
-    kind = F.col("event_type")
-    purchase = kind == "purchase"
-    numerator = F.when(purchase, 95 + e % 6).otherwise(e * 7 % 95)
-    return {
-        "customer_id": _padded("CUST-", u, 5),
-        "content_id": _padded("CONT-", F.regexp_extract("props", "[0-9]+", 0), 5),
-        "event_timestamp": F.col("ts").cast("timestamp"),
-        "region": _ladder(u % 10, (4, "UK"), (7, "US"), (9, "DE"), otherwise="JP"),
-        "device_type": _ladder(
-            e % 20, (6, "web"), (12, "mobile"), (16, "tv"), (19, "console"),
-            otherwise="tablet",
-        ),
-        "event_type": F.when(kind == "click", "play")
-        .when(kind == "view", "launch-view")
-        .when(kind == "signup", "pause")
-        .when(purchase, "complete")
-        .otherwise("skip"),
-        # abs() only turns the source's negative zeros into zeros.
-        "watch_minutes": F.abs("value"),
-        "completion_rate": numerator.cast("double") / F.lit(100.0),
-        "subscription_type": _ladder(
-            u % 10, (4, "free"), (7, "basic"), (9, "premium"), otherwise="family"
-        ),
-        "ingest_date": F.col("ts").cast("date"),
-    }
+# The mapping of the event table, column by column.
+_CLEAN = {
+    "event_id": "concat('EVT-', lpad(CAST(event_id AS STRING), 9, '0'))",
+    "customer_id": "concat('CUST-', lpad(CAST(user_id AS STRING), 5, '0'))",
+    "content_id": "concat('CONT-', lpad(regexp_extract(props, '[0-9]+', 0), 5, '0'))",
+    "event_timestamp": "CAST(ts AS TIMESTAMP)",
+    "region": "CASE WHEN user_id % 10 < 4 THEN 'UK' WHEN user_id % 10 < 7 THEN 'US'"
+    " WHEN user_id % 10 < 9 THEN 'DE' ELSE 'JP' END",
+    "device_type": "CASE WHEN event_id % 20 < 6 THEN 'web'"
+    " WHEN event_id % 20 < 12 THEN 'mobile' WHEN event_id % 20 < 16 THEN 'tv'"
+    " WHEN event_id % 20 < 19 THEN 'console' ELSE 'tablet' END",
+    "event_type": "CASE event_type WHEN 'click' THEN 'play'"
+    " WHEN 'view' THEN 'launch-view' WHEN 'signup' THEN 'pause'"
+    " WHEN 'purchase' THEN 'complete' ELSE 'skip' END",
+    # abs() only turns the source's negative zeros into zeros.
+    "watch_minutes": "abs(value)",
+    "completion_rate": "CAST(CASE WHEN event_type = 'purchase' THEN 95 + event_id % 6"
+    " ELSE event_id * 7 % 95 END AS DOUBLE) / CAST(100 AS DOUBLE)",
+    "subscription_type": "CASE WHEN user_id % 10 < 4 THEN 'free'"
+    " WHEN user_id % 10 < 7 THEN 'basic' WHEN user_id % 10 < 9 THEN 'premium'"
+    " ELSE 'family' END",
+    "ingest_date": "CAST(ts AS DATE)",
+}
+
+# The faults put into base rows, by event number _e.
+_FAULTS = {
+    "event_id": "CASE WHEN _e % 700 <> 0 THEN event_id END",
+    "event_timestamp": "CASE WHEN _e % 700 <> 100 THEN event_timestamp END",
+    "region": "CASE WHEN _e % 700 = 400 OR _e % 2100 = 601 THEN 'XX'"
+    " WHEN _e % 700 <> 450 THEN region END",
+    "device_type": "CASE WHEN _e % 700 = 500 THEN 'fridge' ELSE device_type END",
+    "event_type": "CASE WHEN _e % 700 = 600 OR _e % 2100 = 601"
+    " THEN 'unknown_event_type' ELSE event_type END",
+    "watch_minutes": "CASE WHEN _e % 700 = 300 THEN CAST(-1 AS DOUBLE)"
+    " WHEN _e % 700 = 350 THEN CAST(99999 AS DOUBLE) ELSE watch_minutes END",
+    "completion_rate": "CASE WHEN _e % 700 = 200 THEN CAST(1.5 AS DOUBLE)"
+    " WHEN _e % 700 <> 550 THEN completion_rate END",
+    "subscription_type": "CASE WHEN _e % 700 = 650 THEN 'ultra-premium'"
+    " ELSE subscription_type END",
+}
+_NEAR_COPY = {"event_timestamp": "event_timestamp + INTERVAL '0.25' SECOND"}
+_LATE_COPY = {
+    "event_id": "concat('LATE-', event_id)",
+    "event_timestamp": "event_timestamp - make_dt_interval(CAST(3 + _e % 5 AS INT))",
+}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,19 +65,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def map_events(events: DataFrame) -> DataFrame:
     """Clean viewing events with ingest_date."""
-    columns = _event_columns()
-    return events.select(
-        _padded("EVT-", F.col("event_id"), 9).alias("event_id"),
-        *(column.alias(name) for name, column in columns.items()),
-    )
+    return events.selectExpr(*(f"{sql} AS {name}" for name, sql in _CLEAN.items()))
 
 
 def viewing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_events(read_table(spark, sf_dir, "events"))
 
 
-def _variant(base: dict[str, Column], **changes: Column) -> Column:
-    return F.struct(*(c.alias(n) for n, c in {**base, **changes}.items()))
+def _variant(changes: dict[str, str]) -> str:
+    """A row as SQL struct: the clean columns with some changed."""
+    columns = (f"'{name}', {changes.get(name, name)}" for name in _CLEAN)
+    return f"named_struct({', '.join(columns)})"
 
 
 def map_raw_events(events: DataFrame) -> DataFrame:
@@ -83,112 +84,64 @@ def map_raw_events(events: DataFrame) -> DataFrame:
     The base row and its copies are variants of one scanned row. Rules on the
     result see plain columns of the variant and not the fault logic.
     """
-    rows = events.select(
-        F.col("event_id").alias("_e"),
-        _padded("EVT-", F.col("event_id"), 9).alias("event_id"),
-        *(column.alias(name) for name, column in _event_columns().items()),
-    )
-    clean = {name: F.col(name) for name in rows.columns[1:]}
-    e, ts = F.col("_e"), clean["event_timestamp"]
-    slot, both = e % 700, e % 2100 == 601
-
-    def unless(fault: Column, column: str, value: object = None) -> Column:
-        return F.when(fault, value).otherwise(clean[column])
-
-    faulted = _variant(
-        clean,
-        event_id=unless(slot == 0, "event_id"),
-        event_timestamp=unless(slot == 100, "event_timestamp"),
-        completion_rate=F.when(slot == 200, 1.5)
-        .when(slot == 550, None)
-        .otherwise(clean["completion_rate"]),
-        watch_minutes=F.when(slot == 300, -1.0)
-        .when(slot == 350, 99999.0)
-        .otherwise(clean["watch_minutes"]),
-        region=F.when((slot == 400) | both, "XX")
-        .when(slot == 450, None)
-        .otherwise(clean["region"]),
-        device_type=unless(slot == 500, "device_type", "fridge"),
-        event_type=unless((slot == 600) | both, "event_type", "unknown_event_type"),
-        subscription_type=unless(slot == 650, "subscription_type", "ultra-premium"),
+    rows = events.selectExpr(
+        "event_id AS _e", *(f"{sql} AS {name}" for name, sql in _CLEAN.items())
     )
-    near = _variant(clean, event_timestamp=ts + F.expr("INTERVAL '0.25' SECOND"))
-    late = _variant(
-        clean,
-        event_id=F.concat(F.lit("LATE-"), clean["event_id"]),
-        event_timestamp=ts - F.make_dt_interval((3 + e % 5).cast("int")),
-    )
-    variants = F.array(
-        faulted,
-        F.when(e % 400 == 1, near),
-        F.when(e % 2000 == 3, _variant(clean)),
-        F.when(e % 238 == 5, late),
+    variants = ", ".join(
+        (
+            _variant(_FAULTS),
+            f"IF(_e % 400 = 1, {_variant(_NEAR_COPY)}, NULL)",
+            f"IF(_e % 2000 = 3, {_variant({})}, NULL)",
+            f"IF(_e % 238 = 5, {_variant(_LATE_COPY)}, NULL)",
+        )
     )
-    exploded = rows.select(F.explode(variants).alias("_row"))
-    return exploded.where(F.col("_row").isNotNull()).select("_row.*")
+    exploded = rows.selectExpr(f"explode(array({variants})) AS _row")
+    return exploded.where("_row IS NOT NULL").select("_row.*")
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_raw_events(read_table(spark, sf_dir, "events"))
 
 
-def _catalogued_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "part").where(F.col("p_partkey") < 1000)
-
-
-def _release_date() -> Column:
-    return F.date_add(
-        F.lit("2018-01-01").cast("date"), (F.col("p_partkey") * 37 % 2200).cast("int")
-    )
+_RELEASE = "date_add(DATE'2018-01-01', CAST(p_partkey * 37 % 2200 AS INT))"
 
 
 def content_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Content attributes; a few contents are missing on purpose."""
-    kind = F.col("p_size") % 5
-    return (
-        _catalogued_parts(spark, sf_dir)
-        .where(F.col("p_partkey") % 23 != 22)
-        .select(
-            _padded("CONT-", F.col("p_partkey"), 5).alias("content_id"),
-            F.col("p_name").alias("title"),
-            F.col("p_type").alias("genre"),
-            F.col("p_brand").alias("studio"),
-            _release_date().cast("string").alias("release_date"),
-            F.when(kind == 0, "movie")
-            .when(kind == 1, "series")
-            .when(kind == 2, "documentary")
-            .when(kind == 3, "special")
-            .otherwise("short")
-            .alias("content_type"),
-        )
+    parts = read_table(spark, sf_dir, "part")
+    return parts.where("p_partkey < 1000 AND p_partkey % 23 <> 22").selectExpr(
+        "concat('CONT-', lpad(CAST(p_partkey AS STRING), 5, '0')) AS content_id",
+        "p_name AS title",
+        "p_type AS genre",
+        "p_brand AS studio",
+        f"CAST({_RELEASE} AS STRING) AS release_date",
+        "CASE p_size % 5 WHEN 0 THEN 'movie' WHEN 1 THEN 'series'"
+        " WHEN 2 THEN 'documentary' WHEN 3 THEN 'special' ELSE 'short' END"
+        " AS content_type",
     )
 
 
 def content_launch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One launch per content and region."""
-    p = F.col("p_partkey")
-    regions = F.array(*(F.lit(r) for r in ("UK", "US", "DE", "JP")))
-    rows = _catalogued_parts(spark, sf_dir).select(
-        "p_partkey", F.posexplode(regions).alias("_i", "region")
+    parts = read_table(spark, sf_dir, "part").where("p_partkey < 1000")
+    launches = parts.selectExpr(
+        "p_partkey", "posexplode(array('UK', 'US', 'DE', 'JP')) AS (_i, region)"
     )
-    i = F.col("_i")
-    place = 4 * p + i
-    planned = F.date_add(_release_date(), (place * 11 % 31).cast("int"))
-    status = (
-        F.when((11 * p + 5 * i) % 50 == 7, "cancelled")
-        .when((7 * p + 3 * i) % 20 < 3, "delayed")
-        .otherwise("on_time")
+    planned = launches.selectExpr(
+        "concat('CONT-', lpad(CAST(p_partkey AS STRING), 5, '0')) AS content_id",
+        "region",
+        "4 * p_partkey + _i AS _place",
+        f"date_add({_RELEASE}, CAST((4 * p_partkey + _i) * 11 % 31 AS INT)) AS _planned",
+        "CASE WHEN (11 * p_partkey + 5 * _i) % 50 = 7 THEN 'cancelled'"
+        " WHEN (7 * p_partkey + 3 * _i) % 20 < 3 THEN 'delayed' ELSE 'on_time' END"
+        " AS launch_status",
     )
-    actual = F.when(
-        status == "delayed", F.date_add(planned, (1 + place * 13 % 60).cast("int"))
-    ).when(status == "on_time", planned)
-    return rows.select(
-        _padded("CONT-", p, 5).alias("content_id"),
+    delayed = "date_add(_planned, CAST(1 + _place * 13 % 60 AS INT))"
+    return planned.selectExpr(
+        "content_id",
         "region",
-        planned.cast("string").alias("planned_launch_date"),
-        actual.cast("string").alias("actual_launch_date"),
-        status.alias("launch_status"),
+        "CAST(_planned AS STRING) AS planned_launch_date",
+        f"CAST(CASE launch_status WHEN 'on_time' THEN _planned WHEN 'delayed'"
+        f" THEN {delayed} END AS STRING) AS actual_launch_date",
+        "launch_status",
     )
-
-
-EVENT_COLUMNS = VIEWING_EVENTS.fieldNames()
