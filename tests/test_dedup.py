@@ -5,6 +5,7 @@ import pytest
 from conftest import rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from viewlake.operators import dedup
 
@@ -62,6 +63,17 @@ def test_many_exact_copies_are_written_out_in_portions(make_events, monkeypatch)
     assert duplicates.distinct().count() == 1
 
 
+def test_a_hot_key_is_spread_over_tasks(spark):
+    rows = spark.range(8000).selectExpr(
+        "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS k", "id AS t", "id AS v"
+    )
+    lost = dedup.superseded(rows, ["k"], "t")
+    per_task = lost.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 2666
+    assert len(per_task) == 4
+    assert max(r["count"] for r in per_task) < 1000
+
+
 def _expected(rows):
     kept, lost = [], []
     for key in {r[0] for r in rows}:

@@ -69,7 +69,7 @@ def superseded(
         .where(F.col("_copies") > 0)
         .select(*rows.columns, "_copies")
     )
-    return _write_out(losers, keys).withColumn(REASON, F.lit(reason))
+    return _write_out(losers).withColumn(REASON, F.lit(reason))
 
 
 def deduplicate(
@@ -101,20 +101,23 @@ def _null_safe_join(
     return joined.drop(*(f"_{k}" for k in keys))
 
 
-def _write_out(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Repeat each row ``_copies`` times, spreading many copies over tasks.
+def _write_out(counted: DataFrame) -> DataFrame:
+    """Repeat each row ``_copies`` times, spreading rows and copies over tasks.
 
-    The partition count is given, since adaptive execution would merge the
-    portions, which are small until they are written out.
+    Rows are spread by all their columns, so neither many copies of a row nor
+    many rows of a key meet in one task. The partition count is given, since
+    adaptive execution would merge the portions, which are small until they are
+    written out.
     """
     tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = [c for c in counted.columns if c != "_copies"]
     size = F.lit(COPIES_PER_PORTION)
     last = ((F.col("_copies") - 1) / size).cast("long")
     portions = counted.withColumn(
         "_portion", F.explode(F.sequence(F.lit(0).cast("long"), last))
     ).withColumn("_copies", F.least(size, F.col("_copies") - F.col("_portion") * size))
     return (
-        portions.repartition(tasks, *keys, "_portion")
+        portions.repartition(tasks, *columns, "_portion")
         .withColumn(
             "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
         )
