@@ -35,7 +35,13 @@ from viewlake.operators.rollup import aggregate_daily
 from viewlake.operators.validate import REASON, is_valid
 from viewlake.plans.refresh import refresh_warehouse
 from viewlake.plans.transform import check_events, enrich
-from viewlake.plans.zones import Zones, read_if_filled, replace_partitions
+from viewlake.plans.zones import (
+    Zones,
+    read_if_filled,
+    replace_partitions,
+    side_by_side,
+)
+from viewlake.schemas import CORRUPT_RECORD
 from viewlake.session import working_folder
 from viewlake.sinks.files import PARTITION_KEYS, write_partitioned
 from viewlake.sinks.runlog import (
@@ -60,6 +66,9 @@ from viewlake.sources.raw import (
 
 ID = "event_id"
 
+# What the search for changed rows reads of the published tables.
+PLACES = "event_id STRING, ingest_date DATE, event_date DATE"
+
 
 @dataclass
 class RunResult:
@@ -132,7 +141,7 @@ def _process(
     drop_partitions(spark, zones.processed, ("ingest_date",), marks)
 
     with _stage(result, "check") as stage:
-        stage.input_rows, stage.output_rows = _write_checked(spark, zones, days)
+        valid, stage.input_rows, stage.output_rows = _write_checked(spark, zones, days)
 
     landed = partition_dates(spark, zones.raw_events, "ingest_date")
     scratch = working_folder(spark, "changed-ids")
@@ -140,10 +149,12 @@ def _process(
         with _stage(result, "select"):
             if set(landed) <= set(days):
                 changed = None
-                rows, events = _everything(spark, zones)
+                rows, events = _everything(spark, zones, valid)
             else:
-                changed = _write_changed_ids(spark, zones, days, scratch)
-                rows, events = _candidates(spark, zones, days, changed, lookback_days)
+                changed = _write_changed_ids(spark, zones, valid, days, scratch)
+                rows, events = _candidates(
+                    spark, zones, valid, days, changed, lookback_days
+                )
             # What a broken run has rewritten may not be found by its rows again.
             left = partition_dates(spark, zones.unfinished, "event_date")
             events = result.event_dates = sorted({*events, *left})
@@ -182,19 +193,22 @@ def _follow_up(
     """Bring the aggregate, the warehouse and the fingerprints up to date."""
     events = result.event_dates
     touched = enriched.where(F.col("event_date").isin(events))
-    with _stage(result, "aggregate"):
-        replace_partitions(
-            aggregate_daily(touched), zones.daily, ("event_date",), _texts(events)
-        )
-    with _stage(result, "warehouse"):
-        refresh_warehouse(spark, zones, touched, events, run_at)
-    with _stage(result, "fingerprint"):
-        save_run_state(
-            fingerprint(touched, ["event_date"]),
-            zones.fingerprints,
-            result.run_id,
-            run_at,
-        )
+
+    def aggregate() -> None:
+        with _stage(result, "aggregate"):
+            daily = aggregate_daily(touched)
+            replace_partitions(daily, zones.daily, ("event_date",), _texts(events))
+
+    def load_warehouse() -> None:
+        with _stage(result, "warehouse"):
+            refresh_warehouse(spark, zones, touched, events, run_at)
+
+    def take_fingerprint() -> None:
+        with _stage(result, "fingerprint"):
+            state = fingerprint(touched, ["event_date"])
+            save_run_state(state, zones.fingerprints, result.run_id, run_at)
+
+    side_by_side(aggregate, load_warehouse, take_fingerprint)
 
 
 def _texts(days: Iterable[date]) -> set[str]:
@@ -203,8 +217,9 @@ def _texts(days: Iterable[date]) -> set[str]:
 
 def _write_checked(
     spark: SparkSession, zones: Zones, days: list[date]
-) -> tuple[int, int]:
-    """Write arrivals by status and ingest date; returns (read, valid) counts."""
+) -> tuple[DataFrame, int, int]:
+    """Write arrivals by status and ingest date; returns the valid rows of all
+    dates, and how many of these arrivals were read and valid."""
     for status in ("valid", "rejected"):
         drop_partitions(
             spark,
@@ -214,79 +229,82 @@ def _write_checked(
         )
     checked = check_events(read_viewing_events(spark, zones.raw_events, days))
     rows, seen = counted(checked, "arrivals", valid=F.count_if(is_valid()))
-    write_partitioned(
-        rows.withColumn(
-            "status", F.when(is_valid(), "valid").otherwise("rejected")
-        ),
-        zones.checked,
-        ("status", "ingest_date"),
+    rows = rows.withColumn(
+        "status", F.when(is_valid(), "valid").otherwise("rejected")
+    )
+    write_partitioned(rows, zones.checked, ("status", "ingest_date"))
+    written = spark.read.schema(rows.schema).parquet(zones.checked)
+    valid = written.where(F.col("status") == "valid")
+    counts = seen.get
+    return (
+        valid.drop("status", REASON, CORRUPT_RECORD),
+        counts["rows"],
+        counts["valid"],
     )
-    return seen.get["rows"], seen.get["valid"]
-
-
-def _valid(spark: SparkSession, zones: Zones) -> DataFrame:
-    rows = spark.read.parquet(zones.checked).where(F.col("status") == "valid")
-    return rows.drop("status", REASON, "_corrupt_record")
 
 
 def _from_dates(rows: DataFrame, days: Iterable[date]) -> DataFrame:
     return rows.where(F.col("ingest_date").isin(list(days)))
 
 
+def _published_from(
+    spark: SparkSession, zones: Zones, days: list[date]
+) -> list[DataFrame]:
+    """Places of the rows published or set aside earlier from the ingest dates."""
+    tables = (
+        read_if_filled(spark, path, "event_date", PLACES)
+        for path in (zones.enriched, zones.duplicates)
+    )
+    columns = [c.split()[0] for c in PLACES.split(", ")]
+    return [_from_dates(t.select(columns), days) for t in tables if t is not None]
+
+
 def _write_changed_ids(
-    spark: SparkSession, zones: Zones, days: list[date], scratch: str
+    spark: SparkSession, zones: Zones, valid: DataFrame, days: list[date], scratch: str
 ) -> DataFrame:
-    ids = _from_dates(_valid(spark, zones), days).select(ID)
-    for path in (zones.enriched, zones.duplicates):
-        before = read_if_filled(spark, path, "event_date")
-        if before is not None:
-            ids = ids.unionByName(_from_dates(before, days).select(ID))
+    ids = _from_dates(valid, days).select(ID)
+    for rows in _published_from(spark, zones, days):
+        ids = ids.unionByName(rows.select(ID))
     ids.distinct().write.parquet(scratch)
-    return spark.read.parquet(scratch)
+    return spark.read.schema(ids.schema).parquet(scratch)
 
 
-def _everything(spark: SparkSession, zones: Zones) -> tuple[DataFrame, list[date]]:
-    """All checked rows and all event dates, for a run over every landed date."""
-    rows = _valid(spark, zones)
-    events = {r[0] for r in rows.select("event_date").distinct().collect()}
+def _everything(
+    spark: SparkSession, zones: Zones, valid: DataFrame
+) -> tuple[DataFrame, list[date]]:
+    """All valid rows and all event dates, for a run over every landed date."""
+    events = {r[0] for r in valid.select("event_date").distinct().collect()}
     for path in (zones.enriched, zones.duplicates):
         events |= set(partition_dates(spark, path, "event_date"))
-    return rows, sorted(events)
+    return valid, sorted(events)
 
 
 def _candidates(
     spark: SparkSession,
     zones: Zones,
+    valid: DataFrame,
     days: list[date],
     changed: DataFrame,
     lookback_days: int | None,
 ) -> tuple[DataFrame, list[date]]:
-    """All checked rows with a changed id, and every event date concerned.
+    """All valid rows with a changed id, and every event date concerned.
 
     The ids are looked up with three narrow columns first; full rows are then
     read only from the ingest dates that hold any.
     """
-    checked = _valid(spark, zones)
     if lookback_days is not None:
         earliest = min(days) - timedelta(days=lookback_days)
-        checked = checked.where(F.col("ingest_date") >= F.lit(earliest))
-    places = (
-        checked.select(ID, "ingest_date", "event_date")
-        .join(changed, ID, "left_semi")
-        .select("ingest_date", "event_date")
-        .distinct()
+        valid = valid.where(F.col("ingest_date") >= F.lit(earliest))
+    places = valid.select(ID, "ingest_date", "event_date").join(
+        changed, ID, "left_semi"
     )
+    for rows in _published_from(spark, zones, days):
+        places = places.unionByName(rows)
     # Date pairs: their number grows with the days kept, not with the rows.
-    found = places.collect()
-    events = {r["event_date"] for r in found}
-    for path in (zones.enriched, zones.duplicates):
-        before = read_if_filled(spark, path, "event_date")
-        if before is not None:
-            old = _from_dates(before, days).select("event_date").distinct()
-            events |= {r["event_date"] for r in old.collect()}
+    found = places.select("ingest_date", "event_date").distinct().collect()
     arrived = {r["ingest_date"] for r in found}
-    rows = _from_dates(checked, arrived).join(changed, ID, "left_semi")
-    return rows, sorted(events)
+    rows = _from_dates(valid, arrived).join(changed, ID, "left_semi")
+    return rows, sorted({r["event_date"] for r in found})
 
 
 def _publish(
@@ -304,7 +322,7 @@ def _publish(
     """
 
     def with_kept(path: str, fresh: DataFrame) -> DataFrame:
-        before = read_if_filled(spark, path, "event_date")
+        before = read_if_filled(spark, path, "event_date", fresh.schema)
         if changed is None or before is None:
             return fresh
         touched = before.where(F.col("event_date").isin(events))
@@ -314,13 +332,16 @@ def _publish(
     winners = with_kept(zones.enriched, keep_latest(rows, [ID]))
     losers = with_kept(zones.duplicates, superseded(rows, [ID]))
     texts = _texts(events)
-    replace_partitions(losers, zones.duplicates, ("event_date",), texts)
     enriched = enrich(
         winners,
         read_content_metadata(spark, zones.metadata),
         read_content_launch(spark, zones.launch),
     )
-    table = replace_partitions(enriched, zones.enriched, PARTITION_KEYS, texts)
+    side_by_side(
+        lambda: replace_partitions(losers, zones.duplicates, ("event_date",), texts),
+        lambda: replace_partitions(enriched, zones.enriched, PARTITION_KEYS, texts),
+    )
+    table = spark.read.schema(enriched.schema).parquet(zones.enriched)
     # Counted from the file footers of the partitions written.
     return table, table.where(F.col("event_date").isin(events)).count()
 

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from viewlake.plans import warehouse
-from viewlake.plans.zones import Zones, read_if_filled, replace_partitions
+from viewlake.plans.zones import (
+    Zones,
+    read_if_filled,
+    replace_partitions,
+    side_by_side,
+)
+from viewlake.schemas import FACT_VIEWING
 from viewlake.sources.paths import exists, partition_paths
 from viewlake.sources.raw import read_content_launch, read_content_metadata
 
@@ -31,7 +38,10 @@ def read_dimension(spark: SparkSession, zones: Zones, name: str) -> DataFrame |
     """The newest complete version of a small warehouse table."""
     base = f"{zones.warehouse}/{name}"
     version = _newest(spark, base)
-    return spark.read.parquet(f"{base}/version={version}") if version else None
+    if not version:
+        return None
+    schema, _ = warehouse.TABLES[name]
+    return spark.read.schema(schema).parquet(f"{base}/version={version}")
 
 
 def write_dimension(rows: DataFrame, zones: Zones, name: str) -> None:
@@ -56,7 +66,7 @@ def read_dimensions(
 
 
 def read_fact(spark: SparkSession, zones: Zones) -> DataFrame:
-    return spark.read.parquet(f"{zones.warehouse}/fact_viewing")
+    return spark.read.schema(FACT_VIEWING).parquet(f"{zones.warehouse}/fact_viewing")
 
 
 def refresh_warehouse(
@@ -74,26 +84,33 @@ def refresh_warehouse(
     metadata = read_content_metadata(spark, zones.metadata)
     existing = read_dimensions(spark, zones, unknown=False)
     fresh = warehouse.load_dimensions(spark, events, metadata, run_at, existing)
-    for name, rows in fresh.items():
-        if name in ("dim_date", "dim_region") and name in existing:
-            continue
-        write_dimension(rows, zones, name)
+    changing = {
+        name: rows
+        for name, rows in fresh.items()
+        if name not in ("dim_date", "dim_region") or name not in existing
+    }
+    side_by_side(
+        *(partial(write_dimension, rows, zones, n) for n, rows in changing.items())
+    )
     known = read_dimensions(spark, zones, unknown=False)
-    replace_partitions(
-        warehouse.fact_viewing(events, known),
-        f"{zones.warehouse}/fact_viewing",
-        ("date_key",),
-        {d.strftime("%Y%m%d") for d in event_dates},
+    launches = warehouse.fact_content_launch(
+        read_content_launch(spark, zones.launch), known
     )
-    write_dimension(
-        warehouse.fact_content_launch(read_content_launch(spark, zones.launch), known),
-        zones,
-        "fact_content_launch",
+    side_by_side(
+        lambda: replace_partitions(
+            warehouse.fact_viewing(events, known),
+            f"{zones.warehouse}/fact_viewing",
+            ("date_key",),
+            {d.strftime("%Y%m%d") for d in event_dates},
+        ),
+        lambda: write_dimension(launches, zones, "fact_content_launch"),
     )
 
 
 def verify(spark: SparkSession, zones: Zones) -> DataFrame | None:
-    fact = read_if_filled(spark, f"{zones.warehouse}/fact_viewing", "date_key")
+    fact = read_if_filled(
+        spark, f"{zones.warehouse}/fact_viewing", "date_key", FACT_VIEWING
+    )
     if fact is None:
         return None
     return warehouse.verify_warehouse(fact, read_dimensions(spark, zones))

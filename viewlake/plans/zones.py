@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from viewlake.sinks.files import write_partitioned
-from viewlake.sources.paths import drop_partitions, partition_paths
+from viewlake.sources.paths import drop_partitions, exists, one_file, partition_paths
 
 
 @dataclass(frozen=True)
@@ -70,6 +71,17 @@ class Zones:
         return f"{self.base}/runs"
 
 
+def side_by_side(*jobs: Callable[[], object]) -> None:
+    """Run jobs that do not depend on each other at the same time.
+
+    All of them end before an error of one is raised.
+    """
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(job) for job in jobs]
+    for job in running:
+        job.result()
+
+
 def replace_partitions(
     rows: DataFrame, path: str, keys: Sequence[str], first: Collection[str]
 ) -> DataFrame:
@@ -77,20 +89,28 @@ def replace_partitions(
     and return the written table.
 
     A dynamic overwrite replaces the partitions that get rows and stages its
-    files, so the rows may come from the same path. Partitions left without rows
-    are found beforehand and removed afterwards.
+    files, so the rows may come from the same path. A partition that still has a
+    file from before got no rows and is removed.
     """
     spark = rows.sparkSession
-    before = {p for p in partition_paths(spark, path, *keys) if p[0] in first}
-    stale: set[tuple[str, ...]] = set()
-    if before:
-        names = rows.select(*(F.col(k).cast("string") for k in keys)).distinct()
-        stale = before - {tuple(r) for r in names.collect()}
+    before = {}
+    for values in partition_paths(spark, path, *keys):
+        if values[0] in first:
+            folder = "/".join([path, *(f"{k}={v}" for k, v in zip(keys, values))])
+            file = one_file(spark, folder)
+            if file is not None:
+                before[values] = file
     write_partitioned(rows, path, keys)
+    stale = [values for values, file in before.items() if exists(spark, file)]
     drop_partitions(spark, path, tuple(keys), stale)
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def read_if_filled(spark: SparkSession, path: str, key: str) -> DataFrame | None:
+def read_if_filled(
+    spark: SparkSession, path: str, key: str, schema: StructType | str | None = None
+) -> DataFrame | None:
     """A dataset partitioned by ``key``, None while it has no partition."""
-    return spark.read.parquet(path) if partition_paths(spark, path, key) else None
+    if not partition_paths(spark, path, key):
+        return None
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)

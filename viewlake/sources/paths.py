@@ -75,14 +75,28 @@ def drop_partitions(
     return dropped
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _path(spark: SparkSession, path: str):
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop = _path(spark, path)
     return bool(fs.exists(hadoop))
 
 
+def one_file(spark: SparkSession, folder: str) -> str | None:
+    """Some data file of a partition folder, None when it holds none."""
+    fs, hadoop = _path(spark, folder)
+    listed = fs.listStatusIterator(hadoop)
+    while listed.hasNext():
+        name = listed.next().getPath().getName()
+        if not name.startswith(("_", ".")):
+            return f"{folder}/{name}"
+    return None
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a working folder of a finished run."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop = _path(spark, path)
     fs.delete(hadoop, True)
