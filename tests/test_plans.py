@@ -4,7 +4,6 @@ from datetime import date, datetime
 
 import pytest
 from conftest import SMALL
-from pyspark.sql import functions as F
 
 from catalog.queries import QUERIES
 from viewlake.functions import normalize_timestamps

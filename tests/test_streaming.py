@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 from datetime import datetime
 
 from viewlake.plans.transform import check_events
-from viewlake.operators.validate import valid_rows
 from viewlake.operators.quality import anomaly_flags
 from viewlake.sources import land_raw, testdata
 from viewlake.streaming import (

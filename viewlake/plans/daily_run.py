@@ -362,6 +362,8 @@ def run_backfill(
     """
     landed = partition_dates(spark, zones.raw_events, "ingest_date")
     wanted = parse_date_range(start, end, today) or landed
+    if not wanted:
+        raise ValueError("nothing has landed yet")
     taken = sorted(set(wanted) & set(landed))
     result = run_incremental(spark, zones, run_id, run_at, taken)
     arrivals = spark.read.parquet(zones.checked)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +37,11 @@ def build_session(
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="viewlake-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -47,9 +53,7 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="viewlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def working_folder(spark: SparkSession, purpose: str) -> str:
