@@ -1,7 +1,7 @@
 """Operator 10: document fingerprints by a threshold-scaled sketch.
 
-A fingerprint holds every hash of a text's shingles of five words (64 bits of the md5, as
-hexadecimal digits) that lies below a fixed fraction of the hash range, however long the text is. So the sketch of a union
+A fingerprint holds every hash of a text's shingles of five words (64 bits, signed)
+that lies below a fixed fraction of the hash range, however long the text is. So the sketch of a union
 is the union of sketches, and the share of one sketch found in another estimates
 containment even between very unequal texts. A text none of whose hashes is that low
 keeps its lowest one, so that short texts have fingerprints too; the lowest of a union
@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SHINGLE_WORDS = 5
-#: One hash in so many is kept; a power of two.
+#: One hash in so many is kept.
 SCALE = 8
-HASH_DIGITS = 16
+LOWEST = -(2**63)
 #: Bytes of text dealt to one sorted bucket, and buckets at most.
 BUCKET_BYTES = 16_000_000
 MOST_BUCKETS = 10_000
@@ -43,16 +43,16 @@ def sketch(words: Column, scale: int = SCALE) -> Column:
     each shingle.
     """
     starts = F.when(F.size(words) > 0, F.sequence(F.lit(1), F.greatest(F.size(words) - SHINGLE_WORDS + 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-    hashes = F.transform(starts, lambda at: F.substring(F.md5(F.array_join(F.slice(words, at, SHINGLE_WORDS), " ")), 1, HASH_DIGITS))
+    hashes = F.transform(starts, lambda at: F.xxhash64(F.slice(words, at, SHINGLE_WORDS)))
     return _low_or_lowest(hashes, scale)
 
 
 def _low_or_lowest(hashes: Column, scale: int) -> Column:
-    bound = f"{16**HASH_DIGITS // scale:0{HASH_DIGITS}x}" if scale > 1 else "g"
+    highest = LOWEST + 2**64 // scale - 1
 
     def kept(made: Column) -> Column:
-        low = F.filter(made, lambda h: h < bound)
-        return F.sort_array(F.array_distinct(F.when(F.array_min(made) < bound, low).otherwise(F.slice(F.sort_array(made), 1, 1))))
+        low = F.filter(made, lambda h: h <= highest)
+        return F.sort_array(F.array_distinct(F.when(F.array_min(made) <= highest, low).otherwise(F.slice(F.sort_array(made), 1, 1))))
 
     # A transform over one element gives the hashes a name, so they are made once.
     return F.element_at(F.transform(F.array(hashes), kept), 1)
@@ -76,8 +76,8 @@ def containment(part: Column, whole: Column) -> Column:
 
 
 def as_string(hashes: Column) -> Column:
-    """The hashes, 16 hexadecimal digits each, one after the other."""
-    return F.array_join(hashes, "")
+    """The hashes as hexadecimal numbers of 16 digits, one after the other."""
+    return F.array_join(F.transform(hashes, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
 def fingerprint(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", scale: int = SCALE) -> DataFrame:

@@ -165,40 +165,3 @@ SELECT doc_id, size, source_size, target,
   (floor(rate)::BIGINT + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) * size AS taken
 FROM planned
 """
-
-ORACLES["op10_fingerprints"] = r"""
-WITH texts AS (
-  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n_chars FROM documents
-), lined AS (
-  SELECT *, coalesce(lead(text) OVER down, first_value(text) OVER down) AS next_text,
-    coalesce(lead(doc_id) OVER down, first_value(doc_id) OVER down) AS next_id
-  FROM texts WINDOW down AS (ORDER BY doc_id DESC NULLS LAST)
-), edited AS (
-  SELECT *, left(text, n_chars - n_chars // 2) || left(next_text, n_chars // 2) AS edited FROM lined
-), versions AS (
-  SELECT doc_id, 'own' AS kind, text FROM edited UNION ALL SELECT doc_id, 'edited', edited FROM edited
-), worded AS (
-  SELECT doc_id, kind, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM versions
-), shingled AS (
-  SELECT doc_id, kind, CASE WHEN len(words) = 0 THEN []::VARCHAR[] ELSE
-    list_transform(range(1, greatest(len(words) - 4, 1) + 1), lambda i: substr(md5(array_to_string(words[i:i + 4], ' ')), 1, 16)) END AS hashes
-  FROM worded
-), sketched AS (
-  SELECT doc_id, kind, list_sort(list_distinct(CASE WHEN list_min(hashes) < '2000000000000000'
-    THEN list_filter(hashes, lambda h: h < '2000000000000000') ELSE list_sort(hashes)[1:1] END)) AS sketch
-  FROM shingled
-), compared AS (
-  SELECT e.doc_id, e.n_chars, sha256(e.edited) AS edited_sha256, o.sketch AS own, d.sketch AS edited, n.sketch AS following
-  FROM edited e
-  JOIN sketched o ON o.doc_id = e.doc_id AND o.kind = 'own'
-  JOIN sketched d ON d.doc_id = e.doc_id AND d.kind = 'edited'
-  JOIN sketched n ON n.doc_id = e.next_id AND n.kind = 'own'
-)
-SELECT doc_id, n_chars, edited_sha256,
-  array_to_string(own, '') AS fingerprint, array_to_string(edited, '') AS edited_fingerprint,
-  CASE WHEN len(own) + len(edited) = 0 THEN 1.0::DOUBLE ELSE
-    len(list_intersect(own, edited))::DOUBLE / (len(own) + len(edited) - len(list_intersect(own, edited))) END AS near_edited,
-  CASE WHEN len(own) + len(following) = 0 THEN 1.0::DOUBLE ELSE
-    len(list_intersect(own, following))::DOUBLE / (len(own) + len(following) - len(list_intersect(own, following))) END AS near_next
-FROM compared
-"""
