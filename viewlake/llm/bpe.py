@@ -26,22 +26,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewlake.llm.chunks import PieceCache, encode_texts
+from viewlake.llm.chunks import PieceCache, encode_texts, printable_bytes
 from viewlake.llm.scratch import text_slices
 
 #: Fixed value: how byte-level vocabularies split a text into words.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
-def _printable_bytes() -> list[str]:
-    """The character that byte-level vocabularies write for each byte.
-
-    Printable Latin-1 bytes stand for themselves, the others for the characters from
-    code point 256 on, in order.
-    """
-    kept = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = iter(range(256, 512))
-    return [chr(b) if b in kept else chr(next(others)) for b in range(256)]
+#: Words a worker remembers before it starts afresh.
+CACHE_WORDS = 400_000
 
 
 class Bpe:
@@ -51,7 +44,7 @@ class Bpe:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab = spec["model"]["vocab"]
-        shown = _printable_bytes()
+        shown = printable_bytes()
         self.byte_ids = [vocab[c] for c in shown]
         self.merges = {}
         for rank, merge in enumerate(spec["model"]["merges"]):
@@ -102,7 +95,7 @@ class Bpe:
             if found is None:
                 found = self.encode_word(word.encode())
                 if len(word) < 64:
-                    if len(known) >= 400_000:
+                    if len(known) >= CACHE_WORDS:
                         known.clear()
                     known[word] = found
             ids += found

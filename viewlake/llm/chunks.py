@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces one generation of the cache holds; two generations are kept.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 300_000
 
 
 class PieceCache:
@@ -25,21 +26,20 @@ class PieceCache:
         self._old: dict[str, bytes] = {}
 
     def ids(self, pieces: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each piece."""
+        """The 32-bit ids of each piece."""
         young, old = self._young, self._old
-        found = [young.get(piece) for piece in pieces]
+        found = list(map(young.get, pieces))
         missing = []
-        for at, ids in enumerate(found):
+        for at in [at for at, ids in enumerate(found) if ids is None]:
+            ids = found[at] = old.get(pieces[at])
             if ids is None:
-                ids = found[at] = old.get(pieces[at])
-                if ids is None:
-                    missing.append(at)
-                else:
-                    young[pieces[at]] = ids
+                missing.append(at)
+            else:
+                young[pieces[at]] = ids
         if missing:
             new = [pieces[at] for at in missing]
             for at, piece, ids in zip(missing, new, self._encode(new)):
-                found[at] = young[piece] = np.asarray(ids, "<i4").tobytes()
+                found[at] = young[piece] = array("i", ids).tobytes()
         if len(young) >= self._limit:
             self._old, self._young = young, {}
         return found
@@ -67,7 +67,7 @@ def encode_texts(texts: pa.Array, cache: PieceCache, lead: str = "") -> pa.ListA
         codes = place[codes]
     ids = cache.ids(words)
     lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-    flat = np.frombuffer(b"".join(ids), "<i4")
+    flat = np.frombuffer(b"".join(ids), np.intc)
     starts = np.cumsum(lengths) - lengths
     return pa.ListArray.from_arrays(
         pa.array(_bounds(lengths[codes], bounds), pa.int32()), pa.array(_gather(flat, starts[codes], lengths[codes]))
@@ -82,3 +82,14 @@ def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     """The runs ``flat[start : start + length]`` one after the other."""
     ends = np.cumsum(lengths)
     return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)]
+
+
+def printable_bytes() -> list[str]:
+    """The character that byte-level vocabularies write for each byte.
+
+    Printable Latin-1 bytes stand for themselves, the others for the characters from
+    code point 256 on, in order.
+    """
+    kept = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in kept else chr(next(others)) for b in range(256)]

@@ -27,21 +27,22 @@ Other columns are not read.
 from __future__ import annotations
 
 import os
-import unicodedata
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from viewlake.llm.chunks import PieceCache, encode_texts
-from viewlake.llm.scratch import text_slices
+from viewlake.llm.chunks import PieceCache, encode_texts, printable_bytes
+from viewlake.llm.scratch import cut, text_slices
 
 #: Fixed values of the zstandard frame formats.
 SKIPPABLE_GAP = b"P*M\x18\x00\x00\x00\x00"
@@ -61,27 +62,26 @@ FILE_BYTES = 16_000_000
 def _coder(vocabulary: str) -> PieceCache:
     """Ids of pieces by the tokenizers library.
 
-    A run of letters with stops after it is the commonest piece by far. The file's
-    normaliser and splitter leave such a run whole, so it goes straight to the
-    library's merge model; every other piece goes through the library's whole chain.
+    Letters with marks after them are the commonest pieces by far. The file's
+    normaliser and splitter make two words of such a piece, so they go straight to
+    the library's merge model; any other piece goes through its whole chain.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer, pre_tokenizers
+    from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary)
-    model = tokenizer.model
-    direct = _splits_letters_from_stops(tokenizer)
-    byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    merge, shown = tokenizer.model.tokenize, printable_bytes()
+    direct = _splits_letters_from_marks(tokenizer)
 
     def merged(word: str) -> list[int]:
         if not word.isascii():
-            word = byte_level.pre_tokenize_str(word)[0][0]
-        return [token.id for token in model.tokenize(word)]
+            word = "".join([shown[b] for b in word.encode()])
+        return [token.id for token in merge(word)]
 
     def encode(pieces: list[str]) -> Iterable[list[int]]:
         for piece in pieces:
-            word = piece.rstrip(".,")
-            if direct and word.isalpha() and max(word) < "İ":
+            word = piece.rstrip(punctuation)
+            if direct and word.isalpha() and max(word) < "\u0130":
                 ids = merged(word.lower())
                 yield ids + merged(piece[len(word):]) if len(word) < len(piece) else ids
             else:
@@ -90,35 +90,39 @@ def _coder(vocabulary: str) -> PieceCache:
     return PieceCache(encode)
 
 
-def _splits_letters_from_stops(tokenizer) -> bool:
-    """Whether pieces between spaces can be encoded apart and by the short way."""
-    probe = ["Ab", "Éa.", "x.,", "zB,", "aßo.."]
-    for piece in probe:
-        word = piece.rstrip(".,")
-        whole = tokenizer.encode(piece, add_special_tokens=False).tokens
-        parts = [tokenizer.encode(part.lower(), add_special_tokens=False).tokens for part in (word, piece[len(word):]) if part]
-        if whole != sum(parts, []) or unicodedata.normalize("NFC", piece) != piece:
-            return False
-    return True
+def _splits_letters_from_marks(tokenizer) -> bool:
+    """Whether the tokenizer splits letters and marks apart and drops white space."""
+    def encoded(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
 
+    probe = [("Ab", "."), ("\u00c9a", "!?"), ("x", "'"), ("a\u00dfo", "&&&")]
+    apart = all(encoded(word + marks) == encoded(word.lower()) + encoded(marks) for word, marks in probe)
+    if encoded("a b\nc") != encoded("a") + encoded("b") + encoded("c"):
+        raise ValueError("this vocabulary's tokenizer does not drop white space")
+    return apart
 
-def encode_documents(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2) -> DataFrame:
-    """Each document's id and its token ids with the end id, in the order of ``df``.
-
-    The vocabulary's tokenizer must drop white space, as the word vocabularies do.
-    """
 
+def _encoded(vocabulary: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
-            ids = encode_texts(batch.column("text"), _coder(vocabulary))
+            # White space is dropped, so line ends part pieces as spaces do.
+            ids = encode_texts(pc.replace_substring(batch.column("text"), "\n", " "), _coder(vocabulary))
             bounds = ids.offsets.to_numpy()
             n = len(bounds) - 1
             flat = np.insert(ids.values.to_numpy(), bounds[1:], end_id)
             ends = pa.array(bounds + np.arange(n + 1), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32()))], ["doc_id", "ids"])
 
+    return run
+
+
+def encode_documents(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2) -> DataFrame:
+    """Each document's id and its token ids with the end id, in the order of ``df``.
+
+    The vocabulary's tokenizer must drop white space, as the word vocabularies do.
+    """
     slim = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(run, "doc_id long, ids array<int>")
+    return slim.mapInArrow(_encoded(vocabulary, end_id), "doc_id long, ids array<int>")
 
 
 def write_token_files(df: DataFrame, folder: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, file_bytes: int = FILE_BYTES) -> None:
@@ -131,7 +135,8 @@ def write_token_files(df: DataFrame, folder: str, vocabulary: str, id_col: str =
     files = max(1, -(-size // file_bytes))
     slim = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = slim.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    rows = encode_documents(ordered, vocabulary, end_id=end_id).mapInArrow(_frames, "frame binary")
+    encoded = _encoded(vocabulary, end_id)
+    rows = ordered.mapInArrow(lambda batches: _frames(encoded(batches)), "frame binary")
     rows.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", SKIPPABLE_GAP.decode()).option("compression", "none").option("maxRecordsPerFile", 0).text(folder)
 
 
@@ -210,8 +215,6 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
     Counts within a file come from its seek table. The counts of whole files, one
     row each, are all that meets in one task to give the starts.
     """
-    from viewlake.llm.scratch import cut
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decompressor = zstandard.ZstdDecompressor()
         for batch in batches:
