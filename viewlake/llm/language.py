@@ -156,7 +156,7 @@ class Parser:
             starts.append(base)
             base += len(steps)
             self.bits.append(math.log2(len(symbols) + 1))
-        self.table = np.concatenate([t.ravel() for t in tables])
+        self.table = np.concatenate([np.empty(0, np.int32), *(t.ravel() for t in tables)])
         self.starts = np.array(starts, np.int32)
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
