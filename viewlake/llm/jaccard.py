@@ -5,12 +5,13 @@ Documents are linked if the Jaccard similarity of their sets of five-word shingl
 document with its class (the documents connected by links) and its number of links.
 
 1. Texts that are equal are one set with a count; everything below is on sets.
-2. Each set chooses shingles by ``RUNS`` hash functions, ``CHOSEN`` a function on
-   average; similar sets choose common ones. A run splits the sets into buckets by a
-   chosen shingle. A large bucket is split again by the next function's shingles, down
-   to ``LEVELS``; a bucket still large is met in blocks, so nothing is given up. Runs
-   repeat until a pair at the threshold shares a bucket of some run with probability
-   ``TARGET_RECALL``; ``recall`` works it out.
+2. Each hash function samples one shingle of a set, the one it hashes lowest; two sets
+   sample the same one with the chance of their similarity. A run splits the sets into
+   buckets by a sampled shingle. A large bucket is split again, each set going into the
+   buckets of its shingles by the next two functions, down to ``LEVELS``; a bucket
+   still large is met in blocks, so nothing is given up. Runs repeat until a pair at
+   the threshold shares a bucket of some run with probability ``TARGET_RECALL``, split
+   or not; ``recall`` works it out.
 3. Inside buckets sets are compared by sketches of minwise hashes, four deviations
    below the threshold, and only what connects them is kept. A first round on two
    functions, large buckets cut at random, puts most copies into common components;
@@ -29,8 +30,7 @@ gives an empty table. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import cache
-from math import exp
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -44,50 +44,27 @@ from viewlake.llm.shingles import odd_numbers, shingle_sets
 
 THRESHOLD = 0.8
 TARGET_RECALL = 0.9999
-CHOSEN = 3.5
-LEVELS = 2
-MOST_RUNS = 40
+LEVELS = 4
 SKETCH = 64
 #: Sets compared with each other at once.
 BLOCK = 512
 HALF = BLOCK // 2
 
 
-def recall(runs: int, levels: int = LEVELS, chosen: float = CHOSEN, threshold: float = THRESHOLD) -> float:
-    """The chance that a pair at the threshold meets in some run, splits or not.
+def functions_of(run: int, level: int) -> list[int]:
+    """The functions by which a run splits at a level: one at first, then two."""
+    first = run * (2 * LEVELS - 1)
+    return [first] if level == 1 else [first + 2 * level - 3, first + 2 * level - 2]
+
+
+def recall(runs: int, threshold: float = THRESHOLD) -> float:
+    """The chance that a pair at the threshold meets in some run, through all levels."""
+    one_run = threshold * (1 - (1 - threshold) ** 2) ** (LEVELS - 1)
+    return 1 - (1 - one_run) ** runs
+
 
-    Both sets choose a shared shingle by one function with chance p. Run r uses the
-    functions r, r + 1, ... in a circle for its levels, so the pair meets unless no
-    ``levels`` functions in a row succeed.
-    """
-    p = 1 - exp(-chosen * threshold)
-    total = 0.0
-    for pattern in _runs_without(levels, runs):
-        total += p ** pattern[0] * (1 - p) ** pattern[1] * pattern[2]
-    return 1 - total
-
-
-def _runs_without(levels: int, runs: int) -> list[tuple[int, int, int]]:
-    """(successes, failures, number) of circles of ``runs`` without ``levels`` successes in a row."""
-    counts: dict[int, int] = {}
-    for lead in range(min(levels, runs + 1)):  # successes before the first failure
-        state = {(lead, 0, 1): 1} if lead < runs else {}  # successes, in a row now, failures
-        for _ in range(runs - lead - 1):
-            following: dict[tuple[int, int, int], int] = {}
-            for (good, row, bad), ways in state.items():
-                following[good, 0, bad + 1] = following.get((good, 0, bad + 1), 0) + ways
-                if row + 1 < levels:
-                    following[good + 1, row + 1, bad] = following.get((good + 1, row + 1, bad), 0) + ways
-            state = following
-        for (good, row, _), ways in state.items():
-            if row + lead < levels:
-                counts[good] = counts.get(good, 0) + ways
-    return [(good, runs - good, ways) for good, ways in counts.items()]
-
-
-@cache
 def runs_needed(target: float = TARGET_RECALL) -> int:
-    return next(r for r in range(LEVELS, MOST_RUNS) if recall(r) >= target)
+    return next(r for r in count(1) if recall(r) >= target)
 
 
 def text_key(text: Column) -> Column:
@@ -103,13 +80,13 @@ def _slices_of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Reco
         yield batch, shingle_sets(data, bounds - bounds[0])
 
 
-def signatures(df: DataFrame, runs: int, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+def signatures(df: DataFrame, runs: int, text_col: str = "text") -> DataFrame:
     """(key, size, sketch, chosen) of every different text with words.
 
-    ``chosen`` holds for each function the shingles the set chooses: those whose
-    hash lies below a share of the range that makes ``CHOSEN`` / threshold of them.
+    ``chosen`` holds the shingle that each of the first functions samples.
     """
-    functions, minwise = odd_numbers(runs, 1), odd_numbers(SKETCH, 2)
+    functions = runs * (2 * LEVELS - 1)
+    minwise = odd_numbers(max(SKETCH, functions), 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _slices_of_sets(batches):
@@ -120,26 +97,13 @@ def signatures(df: DataFrame, runs: int, threshold: float = THRESHOLD, text_col:
             sizes = sizes[full]
             flat = np.concatenate([sets[i] for i in full])
             starts = np.cumsum(sizes) - sizes
-            sketch = np.empty((len(full), SKETCH), np.uint8)
-            for at, factor in enumerate(minwise):
-                sketch[:, at] = np.minimum.reduceat(flat * factor, starts) >> np.uint64(16) & np.uint64(0xFF)
-            share = np.minimum(CHOSEN / (threshold * sizes), 1.0)
-            below = np.repeat(np.minimum(share * 2.0**64, 2.0**64 - 2**11).astype(np.uint64), sizes)
-            owner = np.repeat(np.arange(len(full)), sizes)
-            all_of = np.repeat(share >= 1.0, sizes)
-            where, what = [], []
-            for at, factor in enumerate(functions):
-                hit = np.flatnonzero((flat * factor < below) | all_of)
-                where.append(owner[hit] * runs + at)
-                what.append(flat[hit])
-            place = np.concatenate(where)
-            tokens = np.concatenate(what)[np.argsort(place, kind="stable")].view(np.int64)
-            inner = np.concatenate(([0], np.cumsum(np.bincount(place, minlength=len(full) * runs)))).astype(np.int32)
-            chosen = pa.ListArray.from_arrays(pa.array(np.arange(0, len(full) * runs + 1, runs, dtype=np.int32)), pa.ListArray.from_arrays(pa.array(inner), pa.array(tokens)))
+            lowest = np.stack([np.minimum.reduceat(flat * factor, starts) for factor in minwise], 1)
+            sketch = (lowest[:, -SKETCH:] >> np.uint64(16) & np.uint64(0xFF)).astype(np.uint8)
+            chosen = pa.ListArray.from_arrays(pa.array(np.arange(0, len(full) * functions + 1, functions, dtype=np.int32)), pa.array(lowest[:, :functions].ravel().view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(full)), pa.array(sizes.astype(np.int32)), pa.array([row.tobytes() for row in sketch], pa.binary()), chosen], ["key", "size", "sketch", "chosen"])
 
     texts = df.where(F.col(text_col).isNotNull()).select(text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
-    made = texts.mapInArrow(run, "key binary, size int, sketch binary, chosen array<array<long>>")
+    made = texts.mapInArrow(run, "key binary, size int, sketch binary, chosen array<long>")
     return made.dropDuplicates(["key"])
 
 
@@ -205,16 +169,19 @@ def compare_sketches(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     return dealt.mapInArrow(lambda batches: _groups(batches, work), "a long, b long")
 
 
-def _paths(rows: DataFrame, function: Column, *before: Column) -> DataFrame:
-    """Rows once for each shingle they choose by ``function``, with the longer path."""
-    token = F.explode(F.element_at("chosen", function + 1)).alias("token")
-    return rows.select("id", "comp", "run", token, *before).select("id", "comp", "run", F.xxhash64("run", "token", *before).alias("path"))
+def _paths(rows: DataFrame, level: int) -> DataFrame:
+    """(id, comp, run, path): rows once for each shingle sampled at the level."""
+    places = [F.col("run") * functions_of(1, 1)[0] + f + 1 for f in functions_of(0, level)]
+    tokens = F.array(*(F.struct(place.alias("function"), F.element_at("chosen", place).alias("token")) for place in places))
+    before = ["path"] if level > 1 else []
+    longer = rows.select("id", "comp", "run", *before, F.explode(tokens).alias("by"))
+    return longer.select("id", "comp", "run", F.xxhash64("by", *before).alias("path"))
 
 
 def first_round(sets: DataFrame) -> DataFrame:
     """Edges by two functions; large buckets are cut at random, not split."""
     rows = sets.select("id", F.col("id").alias("comp"), "chosen", F.explode(F.array(F.lit(0), F.lit(1))).alias("run"))
-    paths = _paths(rows, F.col("run"))
+    paths = _paths(rows, 1)
     counts = cut(paths.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"))
     cuts = F.ceil(F.col("n") / BLOCK)
     groups = paths.join(counts, "path").select(F.xxhash64("path", F.when(cuts > 1, F.pmod(F.xxhash64("path", "id"), cuts)).otherwise(0)).alias("group"), "id", "comp")
@@ -223,9 +190,8 @@ def first_round(sets: DataFrame) -> DataFrame:
 
 def path_groups(sets: DataFrame, comps: DataFrame, runs: int) -> DataFrame:
     """(group, id, size, sketch, comp) of all buckets that hold two components or more."""
-    known = cut(sets.join(comps, sets["id"] == comps["node"], "left").select("id", "size", "sketch", "chosen", F.coalesce("root", "id").alias("comp")))
-    rows = known.select("id", "comp", "chosen", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
-    paths = _paths(rows, F.col("run"))
+    known = sets.join(comps, sets["id"] == comps["node"], "left").select("id", "chosen", F.coalesce("root", "id").alias("comp"))
+    paths = cut(_paths(known.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1)))), 1))
     found = []
     for level in range(1, LEVELS + 1):
         mixed = paths.groupBy("path").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"))
@@ -239,12 +205,12 @@ def path_groups(sets: DataFrame, comps: DataFrame, runs: int) -> DataFrame:
         last = level == LEVELS
         found.append(_meet_main(large if last else large.where(f"rest <= {HALF}")))
         if not last:
-            split = large.where(f"rest > {HALF}").select("id", "comp", "run", "path").join(known.select("id", "chosen"), "id")
-            paths = _paths(split, F.pmod(F.col("run") + level, F.lit(runs)), F.col("path"))
+            split = large.where(f"rest > {HALF}").select("id", "comp", "run", "path").join(sets.select("id", "chosen"), "id")
+            paths = _paths(split, level + 1)
     groups = found[0]
     for more in found[1:]:
         groups = groups.union(more)
-    return groups.join(known.select("id", "size", "sketch"), "id")
+    return groups.join(sets.select("id", "size", "sketch"), "id")
 
 
 def _meet_main(large: DataFrame) -> DataFrame:
@@ -349,7 +315,7 @@ def text_classes(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc
     counts = cut(keyed.groupBy("key").agg(F.count("*").alias("n_copies"), F.min("doc_id").alias("doc_id"), F.first("has_words").alias("has_words")))
     runs = runs_needed()
     # The numbers are written with the sets, so they stay what they are.
-    sets = cut(signatures(df, runs, threshold, text_col).withColumn("id", F.monotonically_increasing_id()))
+    sets = cut(signatures(df, runs, text_col).withColumn("id", F.monotonically_increasing_id()))
     early = cut(first_round(sets))
     late = compare_sketches(path_groups(sets, components(early), runs))
     found = cut(components(early.union(late)))
