@@ -44,9 +44,12 @@ PARTS: dict[str, str] = {}
 
 PARTS["ev"] = """
 SELECT event_id AS e,
-  'EVT-' || lpad(CAST(event_id AS VARCHAR), 9, '0') AS event_id,
-  'CUST-' || lpad(CAST(user_id AS VARCHAR), 5, '0') AS customer_id,
-  'CONT-' || lpad(regexp_extract(props, '[0-9]+', 0), 5, '0') AS content_id,
+  'EVT-' || lpad(CAST(event_id AS VARCHAR),
+    greatest(9, length(CAST(event_id AS VARCHAR)))::INTEGER, '0') AS event_id,
+  'CUST-' || lpad(CAST(user_id AS VARCHAR),
+    greatest(5, length(CAST(user_id AS VARCHAR)))::INTEGER, '0') AS customer_id,
+  'CONT-' || lpad(regexp_extract(props, '[0-9]+', 0),
+    greatest(5, length(regexp_extract(props, '[0-9]+', 0)))::INTEGER, '0') AS content_id,
   CAST(ts AS TIMESTAMP) AS event_timestamp,
   CASE WHEN user_id % 10 < 4 THEN 'UK' WHEN user_id % 10 < 7 THEN 'US'
        WHEN user_id % 10 < 9 THEN 'DE' ELSE 'JP' END AS region,
@@ -67,13 +70,14 @@ SELECT event_id AS e,
 FROM events"""
 
 PARTS["meta"] = """
-SELECT 'CONT-' || lpad(CAST(p_partkey AS VARCHAR), 5, '0') AS content_id,
+SELECT 'CONT-' || lpad(CAST(p_partkey AS VARCHAR),
+    greatest(5, length(CAST(p_partkey AS VARCHAR)))::INTEGER, '0') AS content_id,
   p_name AS title, p_type AS genre, p_brand AS studio,
   CAST(DATE '2018-01-01' + CAST(p_partkey * 37 % 2200 AS INTEGER) AS VARCHAR)
     AS release_date,
   CASE p_size % 5 WHEN 0 THEN 'movie' WHEN 1 THEN 'series'
     WHEN 2 THEN 'documentary' WHEN 3 THEN 'special' ELSE 'short' END AS content_type
-FROM part WHERE p_partkey < 1000 AND p_partkey % 23 <> 22"""
+FROM part WHERE p_partkey % 23 <> 22"""
 
 PARTS["launch0"] = """
 SELECT p_partkey AS p, i, region,
@@ -82,11 +86,11 @@ SELECT p_partkey AS p, i, region,
   CASE WHEN (11 * p_partkey + 5 * i) % 50 = 7 THEN 'cancelled'
        WHEN (7 * p_partkey + 3 * i) % 20 < 3 THEN 'delayed'
        ELSE 'on_time' END AS launch_status
-FROM part, (VALUES (0, 'UK'), (1, 'US'), (2, 'DE'), (3, 'JP')) AS r(i, region)
-WHERE p_partkey < 1000"""
+FROM part, (VALUES (0, 'UK'), (1, 'US'), (2, 'DE'), (3, 'JP')) AS r(i, region)"""
 
 PARTS["launches"] = """
-SELECT 'CONT-' || lpad(CAST(p AS VARCHAR), 5, '0') AS content_id, region,
+SELECT 'CONT-' || lpad(CAST(p AS VARCHAR),
+    greatest(5, length(CAST(p AS VARCHAR)))::INTEGER, '0') AS content_id, region,
   CAST(planned AS VARCHAR) AS planned_launch_date,
   CAST(CASE launch_status WHEN 'on_time' THEN planned
     WHEN 'delayed' THEN planned + CAST(1 + (4 * p + i) * 13 % 60 AS INTEGER) END
@@ -361,11 +365,11 @@ SELECT CAST(CASE WHEN old THEN row_number() OVER (PARTITION BY old ORDER BY b, c
   CASE WHEN old AND new_title = title THEN TIMESTAMP '2024-02-01'
     ELSE TIMESTAMP '2024-02-02' END AS updated_at
 FROM (SELECT *, substr(md5(content_id), 1, 3) AS b,
-    CAST(substr(content_id, 6, 5) AS INTEGER) % 3 <> 0 AS old,
-    title || CASE WHEN CAST(substr(content_id, 6, 5) AS INTEGER) % 5 = 0
+    CAST(substr(content_id, 6) AS INTEGER) % 3 <> 0 AS old,
+    title || CASE WHEN CAST(substr(content_id, 6) AS INTEGER) % 5 = 0
       THEN ' (new)' ELSE '' END AS new_title,
     (SELECT count(*) FROM meta
-      WHERE CAST(substr(content_id, 6, 5) AS INTEGER) % 3 <> 0) AS n_old
+      WHERE CAST(substr(content_id, 6) AS INTEGER) % 3 <> 0) AS n_old
   FROM meta)""",
     "scd2_content": """
 SELECT * EXCLUDE (n, a, b, changed) FROM (
@@ -374,13 +378,13 @@ SELECT * EXCLUDE (n, a, b, changed) FROM (
     b AND NOT changed AS is_current
   FROM (SELECT *, n % 13 <> 5 AS a, n % 11 <> 4 AS b,
       n % 7 = 0 AS changed FROM (
-    SELECT *, CAST(substr(content_id, 6, 5) AS INTEGER) AS n FROM meta)) m WHERE a
+    SELECT *, CAST(substr(content_id, 6) AS INTEGER) AS n FROM meta)) m WHERE a
   UNION ALL
   SELECT m.* REPLACE (CASE WHEN n % 7 = 0 THEN 'REISSUE' ELSE genre END AS genre),
     DATE '2024-02-01', CAST(NULL AS DATE), true
   FROM (SELECT *, n % 13 <> 5 AS a, n % 11 <> 4 AS b,
       n % 7 = 0 AS changed FROM (
-    SELECT *, CAST(substr(content_id, 6, 5) AS INTEGER) AS n FROM meta)) m
+    SELECT *, CAST(substr(content_id, 6) AS INTEGER) AS n FROM meta)) m
   WHERE b AND (NOT a OR changed))""",
     "fact_viewing": "SELECT * FROM fv",
     "fact_content_launch": """
@@ -492,7 +496,7 @@ FROM checked""",
         for c in ("device_type", "event_type", "subscription_type", "region")
     ),
     "written_partitions": "SELECT event_date, region, count(*) AS rows,"
-    " CAST(1 AS BIGINT) AS files FROM ev GROUP BY 1, 2",
+    " true AS has_files FROM ev GROUP BY 1, 2",
     "csv_vs_parquet": f"""
 SELECT source_format, region, content_id, watch_hours FROM (
   SELECT region, content_id, {hours(2)} AS watch_hours FROM ev

@@ -5,9 +5,10 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry_points
+from catalog import oracles
+from catalog.queries import QUERIES
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+SQL = oracles.statements()
 
 # xxhash64 exists in Spark only; its md5 twin is compared instead.
 WITHOUT_SQL = {"fingerprint_fast"}
@@ -42,3 +43,8 @@ def test_entry(spark):
         "content_id", "title", "watch_hours", "view_count", "avg_completion",
     ]
     assert result.count() == 20
+
+
+def test_all_queries_are_registered():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql())

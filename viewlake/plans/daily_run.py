@@ -22,7 +22,7 @@ import time
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,7 +89,7 @@ def _stage(result: RunResult, name: str) -> Iterator[StageResult]:
         stage.status = "success"
     except Exception as error:
         stage.status = "failed"
-        stage.error = str(error)[:500]
+        stage.error = str(error)
         raise
     finally:
         stage.duration_ms = int((time.perf_counter() - began) * 1000)
@@ -108,19 +108,17 @@ def run_incremental(
     run_id: str,
     run_at: datetime,
     ingest_dates: Iterable[date] | None = None,
-    lookback_days: int | None = None,
 ) -> RunResult:
     """Process the pending ingest dates, or the given ones again.
 
-    ``lookback_days`` limits how far before the arrivals copies of an id are
-    looked for. The default looks through all history.
+    Copies of an id are looked for through all history.
     """
     if ingest_dates is None:
         ingest_dates = pending_dates(spark, zones)
     result = RunResult(run_id, sorted(ingest_dates))
     try:
         if result.ingest_dates:
-            _process(spark, zones, result, run_at, lookback_days)
+            _process(spark, zones, result, run_at)
     finally:
         if result.stages:
             metrics = stage_rows(spark, run_id, run_at, result.stages)
@@ -133,7 +131,6 @@ def _process(
     zones: Zones,
     result: RunResult,
     run_at: datetime,
-    lookback_days: int | None,
 ) -> None:
     days = result.ingest_dates
     # Until the run is done its dates count as not processed.
@@ -152,9 +149,7 @@ def _process(
                 rows, events = _everything(spark, zones, valid)
             else:
                 changed = _write_changed_ids(spark, zones, valid, days, scratch)
-                rows, events = _candidates(
-                    spark, zones, valid, days, changed, lookback_days
-                )
+                rows, events = _candidates(spark, zones, valid, days, changed)
             # What a broken run has rewritten may not be found by its rows again.
             left = partition_dates(spark, zones.unfinished, "event_date")
             events = result.event_dates = sorted({*events, *left})
@@ -285,16 +280,12 @@ def _candidates(
     valid: DataFrame,
     days: list[date],
     changed: DataFrame,
-    lookback_days: int | None,
 ) -> tuple[DataFrame, list[date]]:
     """All valid rows with a changed id, and every event date concerned.
 
     The ids are looked up with three narrow columns first; full rows are then
     read only from the ingest dates that hold any.
     """
-    if lookback_days is not None:
-        earliest = min(days) - timedelta(days=lookback_days)
-        valid = valid.where(F.col("ingest_date") >= F.lit(earliest))
     places = valid.select(ID, "ingest_date", "event_date").join(
         changed, ID, "left_semi"
     )
@@ -366,7 +357,10 @@ def run_backfill(
         raise ValueError("nothing has landed yet")
     taken = sorted(set(wanted) & set(landed))
     result = run_incremental(spark, zones, run_id, run_at, taken)
-    arrivals = spark.read.parquet(zones.checked)
+    schema = "ingest_date DATE"
+    arrivals = read_if_filled(spark, zones.checked, "status", schema)
+    if arrivals is None:
+        arrivals = spark.createDataFrame([], schema)
     return result, backfill_range(spark, arrivals, min(wanted), max(wanted))
 
 

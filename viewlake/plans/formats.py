@@ -33,10 +33,10 @@ def write_both_forms(events: DataFrame, base: str) -> FormatTrial:
 def read_forms(spark: SparkSession, trial: FormatTrial) -> dict[str, DataFrame]:
     parquet = spark.read.parquet(trial.parquet)
     # Columns are given by name, since Parquet returns partition columns last.
-    header = spark.read.option("header", True).csv(trial.csv).columns
+    header = spark.read.options(header=True, escape='"').csv(trial.csv).columns
     kinds = dict(parquet.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in header)
-    csv = spark.read.schema(schema).option("header", True).csv(trial.csv)
+    csv = spark.read.schema(schema).options(header=True, escape='"').csv(trial.csv)
     return {"csv": csv, "parquet": parquet}
 
 

@@ -49,7 +49,7 @@ def write_csv_baseline(rows: DataFrame, path: str) -> str:
     As many files as there are tasks: a single file would send all rows through
     one of them.
     """
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    rows.write.mode("overwrite").options(header=True, escape='"').csv(path)
     return path
 
 

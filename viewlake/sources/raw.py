@@ -21,6 +21,9 @@ from viewlake.sources.paths import partition_dates
 READ_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX"
 WRITE_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
+# RFC 4180: a header, quotes doubled inside quoted fields.
+CSV_TEXT = {"header": True, "quote": '"', "escape": '"'}
+
 
 def raw_events_schema() -> StructType:
     """The event columns plus the raw text of broken rows and the partition."""
@@ -46,7 +49,8 @@ def read_viewing_events(
     """
     events = (
         spark.read.schema(raw_events_schema())
-        .option("header", True)
+        .options(**CSV_TEXT)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
         .option("timestampFormat", READ_TIMESTAMP)
@@ -58,11 +62,17 @@ def read_viewing_events(
 
 
 def read_content_metadata(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CONTENT_METADATA).option("header", True).csv(path)
+    return _read_reference(spark, CONTENT_METADATA, path)
 
 
 def read_content_launch(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CONTENT_LAUNCH).option("header", True).csv(path)
+    return _read_reference(spark, CONTENT_LAUNCH, path)
+
+
+def _read_reference(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
+    """A reference table; its header must have the schema's columns in order."""
+    reader = spark.read.schema(schema).options(**CSV_TEXT)
+    return reader.option("enforceSchema", False).csv(path)
 
 
 def land_raw(events: DataFrame, base: str) -> list[date]:
@@ -73,6 +83,8 @@ def land_raw(events: DataFrame, base: str) -> list[date]:
     """
     spark = events.sparkSession
     days = [r[0] for r in events.select("ingest_date").distinct().collect()]
+    if None in days:
+        raise ValueError("rows without an ingest_date cannot be landed")
     taken = sorted(set(days) & set(partition_dates(spark, base, "ingest_date")))
     if taken:
         raise FileExistsError(f"already landed: {[d.isoformat() for d in taken]}")
@@ -80,7 +92,7 @@ def land_raw(events: DataFrame, base: str) -> list[date]:
         events.hint("rebalance", "ingest_date")
         .write.mode("append")
         .partitionBy("ingest_date")
-        .option("header", True)
+        .options(**CSV_TEXT)
         .option("timestampFormat", WRITE_TIMESTAMP)
         .csv(base)
     )

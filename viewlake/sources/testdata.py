@@ -12,11 +12,21 @@ from viewlake.schemas import VIEWING_EVENTS
 
 EVENT_COLUMNS = VIEWING_EVENTS.fieldNames()
 
+
+def _padded(number: str, digits: int) -> str:
+    """Leading zeros up to ``digits``; longer numbers stay whole."""
+    return f"lpad({number}, greatest({digits}, length({number})), '0')"
+
+
+_PART = f"concat('CONT-', {_padded('CAST(p_partkey AS STRING)', 5)}) AS content_id"
+
 # The mapping of the event table, column by column.
 _CLEAN = {
-    "event_id": "concat('EVT-', lpad(CAST(event_id AS STRING), 9, '0'))",
-    "customer_id": "concat('CUST-', lpad(CAST(user_id AS STRING), 5, '0'))",
-    "content_id": "concat('CONT-', lpad(regexp_extract(props, '[0-9]+', 0), 5, '0'))",
+    "event_id": f"concat('EVT-', {_padded('CAST(event_id AS STRING)', 9)})",
+    "customer_id": f"concat('CUST-', {_padded('CAST(user_id AS STRING)', 5)})",
+    "content_id": "concat('CONT-', "
+    + _padded("regexp_extract(props, '[0-9]+', 0)", 5)
+    + ")",
     "event_timestamp": "CAST(ts AS TIMESTAMP)",
     "region": "CASE WHEN user_id % 10 < 4 THEN 'UK' WHEN user_id % 10 < 7 THEN 'US'"
     " WHEN user_id % 10 < 9 THEN 'DE' ELSE 'JP' END",
@@ -109,8 +119,8 @@ _RELEASE = "date_add(DATE'2018-01-01', CAST(p_partkey * 37 % 2200 AS INT))"
 def content_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Content attributes; a few contents are missing on purpose."""
     parts = read_table(spark, sf_dir, "part")
-    return parts.where("p_partkey < 1000 AND p_partkey % 23 <> 22").selectExpr(
-        "concat('CONT-', lpad(CAST(p_partkey AS STRING), 5, '0')) AS content_id",
+    return parts.where("p_partkey % 23 <> 22").selectExpr(
+        _PART,
         "p_name AS title",
         "p_type AS genre",
         "p_brand AS studio",
@@ -123,12 +133,12 @@ def content_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def content_launch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One launch per content and region."""
-    parts = read_table(spark, sf_dir, "part").where("p_partkey < 1000")
+    parts = read_table(spark, sf_dir, "part")
     launches = parts.selectExpr(
         "p_partkey", "posexplode(array('UK', 'US', 'DE', 'JP')) AS (_i, region)"
     )
     planned = launches.selectExpr(
-        "concat('CONT-', lpad(CAST(p_partkey AS STRING), 5, '0')) AS content_id",
+        _PART,
         "region",
         "4 * p_partkey + _i AS _place",
         f"date_add({_RELEASE}, CAST((4 * p_partkey + _i) * 11 % 31 AS INT)) AS _planned",
