@@ -34,7 +34,7 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 
 
 #: Words a worker remembers before it starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 class Bpe:

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces one generation of the cache holds; two generations are kept.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 
 
 class PieceCache:

@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -205,7 +205,7 @@ class Parser:
         return [self.languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), has_letter.tolist())], np.clip(score, 0, 1)
 
 
-@cache
+@lru_cache(maxsize=1)
 def _parser(sample: tuple[tuple[str, str], ...]) -> Parser:
     return Parser(sample)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from viewlake.session import shared_folder, working_folder
 
 #: Characters of text an operator takes at once inside a task.
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 2_000_000
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
