@@ -462,10 +462,17 @@ FROM (SELECT g AS d, (SELECT count(*) FROM raw WHERE ingest_date = CAST(g AS DAT
     "fingerprint": """
 SELECT ingest_date, region, count(*) AS rows, bit_xor(h) AS hash_xor,
   CAST(sum(h % 2147483648) AS DECIMAL(30,0)) AS hash_sum
-FROM (SELECT ingest_date, region, CAST('0x' || substr(md5(concat_ws('|',
-    CAST(CAST(completion_rate AS DECIMAL(24,6)) AS VARCHAR), content_id, customer_id,
-    device_type, event_id, CAST(epoch_us(event_timestamp) AS VARCHAR), event_type,
-    subscription_type, CAST(CAST(watch_minutes AS DECIMAL(24,6)) AS VARCHAR))), 1, 15)
+FROM (SELECT ingest_date, region, CAST('0x' || substr(md5(array_to_string(
+    list_transform([
+      CASE WHEN TRY_CAST(completion_rate AS DECIMAL(24,6)) = completion_rate
+        THEN CAST(TRY_CAST(completion_rate AS DECIMAL(24,6)) AS VARCHAR)
+        ELSE CAST(completion_rate AS VARCHAR) END,
+      content_id, customer_id, device_type, event_id,
+      CAST(epoch_us(event_timestamp) AS VARCHAR), event_type, subscription_type,
+      CASE WHEN TRY_CAST(watch_minutes AS DECIMAL(24,6)) = watch_minutes
+        THEN CAST(TRY_CAST(watch_minutes AS DECIMAL(24,6)) AS VARCHAR)
+        ELSE CAST(watch_minutes AS VARCHAR) END],
+      lambda v: coalesce(length(v) || ':' || v, '~')), '')), 1, 15)
     AS BIGINT) AS h
   FROM ev)
 GROUP BY 1, 2""",
@@ -593,6 +600,21 @@ SELECT * FROM ev WHERE event_date <= DATE '2024-01-20' AND region IN ('UK', 'US'
 PARTS["ev_new"] = "SELECT * FROM ev WHERE event_date >= DATE '2024-01-15'"
 PARTS["fact_old"] = _fact("ev_old", "INNER")
 PARTS["fact_new"] = _fact("ev_new", "INNER")
+PARTS["winners"] = "SELECT * FROM ranked WHERE place = 1"
+PARTS["fact_won"] = _fact("winners", "INNER")
+
+_SQL["warehouse_tables"] = """
+SELECT title, region_name, device_type, date_key, views, watch_hours, completed_views
+FROM fact_won JOIN dc USING (content_key) JOIN dr USING (region_key)
+JOIN dd USING (device_key)"""
+_SQL["incremental_enriched"] = f"""
+SELECT event_id, ingest_date, event_date, title, launch_status,
+  CAST(CAST(actual_launch_date AS DATE) - CAST(planned_launch_date AS DATE) AS INTEGER)
+    AS launch_delay_days,
+  {rounded("(watch_minutes / CAST(60 AS DOUBLE))", 2)} AS watch_hours
+FROM winners w LEFT JOIN meta USING (content_id)
+LEFT JOIN launches l ON w.content_id = l.content_id AND w.region = l.region"""
+_SQL["incremental_duplicates"] = f"SELECT {COLUMNS} FROM ranked WHERE place > 1"
 
 
 def statements() -> dict[str, str]:

@@ -18,7 +18,7 @@ from viewlake.functions import (
 from viewlake.operators import dedup, enrich, keys, lateness, marts, quality, rollup
 from viewlake.operators import fingerprint as prints
 from viewlake.operators import validate
-from viewlake.plans import daily_run, formats, warehouse
+from viewlake.plans import daily_run, formats, refresh, warehouse
 from viewlake.plans.transform import check_events, transform
 from viewlake.plans.zones import Zones
 from viewlake.session import working_folder
@@ -752,10 +752,8 @@ def land_reference(spark, sf_dir, zones):
         frame.write.option("header", True).csv(path)
 
 
-@query
-def incremental_daily(spark, sf_dir):
-    """The daily aggregate after two runs, where late events of the second
-    change days of the first: equal to one computation over everything."""
+def after_two_runs(spark, sf_dir, each=lambda zones: None) -> Zones:
+    """A lake after two runs, where late events of the second change days of the first."""
     zones = Zones(working_folder(spark, "lake"))
     land_reference(spark, sf_dir, zones)
     raw = testdata.raw_events(spark, sf_dir)
@@ -765,4 +763,48 @@ def incremental_daily(spark, sf_dir):
     ):
         land_raw(arrivals, zones.raw_events)
         daily_run.run_incremental(spark, zones, f"run{run}", RUN_AT)
-    return spark.read.parquet(zones.daily)
+        each(zones)
+    return zones
+
+
+@query
+def incremental_daily(spark, sf_dir):
+    """The daily aggregate after two runs: equal to one computation over everything."""
+    return spark.read.parquet(after_two_runs(spark, sf_dir).daily)
+
+
+@query
+def incremental_enriched(spark, sf_dir):
+    """The published events after two runs, with what the joins and measures add."""
+    published = spark.read.parquet(after_two_runs(spark, sf_dir).enriched)
+    return published.select(
+        "event_id", "ingest_date", "event_date", "title", "launch_status",
+        "launch_delay_days", "watch_hours",
+    )
+
+
+@query
+def incremental_duplicates(spark, sf_dir):
+    """The superseded copies after two runs, whichever run brought them."""
+    set_aside = spark.read.parquet(after_two_runs(spark, sf_dir).duplicates)
+    return set_aside.select(*testdata.EVENT_COLUMNS, "ingest_date")
+
+
+@query
+def warehouse_tables(spark, sf_dir):
+    """The star read as SQL over the tables declared after each of two runs."""
+
+    def name(zones):
+        return f"star_{zones.base.rsplit('-', 1)[1]}"
+
+    def declare(zones):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name(zones)}")
+        refresh.declare_tables(spark, zones, name(zones))
+
+    star = name(after_two_runs(spark, sf_dir, declare))
+    return spark.sql(
+        "SELECT title, region_name, device_type, date_key, views, watch_hours,"
+        f" completed_views FROM {star}.fact_viewing JOIN {star}.dim_content"
+        f" USING (content_key) JOIN {star}.dim_region USING (region_key)"
+        f" JOIN {star}.dim_device USING (device_key)"
+    )

@@ -12,6 +12,7 @@ from viewlake.operators.fingerprint import (
 from viewlake.plans import daily_run, refresh, warehouse
 from viewlake.plans.zones import Zones
 from viewlake.sources import land_raw, testdata
+from viewlake.sources.paths import partition_paths
 
 RUN = datetime(2024, 3, 1)
 TABLES = ("enriched", "daily", "duplicates")
@@ -209,3 +210,55 @@ def test_a_run_that_broke_off_late_is_made_good(
         assert rows_of(spark.read.parquet(table), "event_date") == [(d2,)]
     fact = refresh.read_fact(spark, zones)
     assert rows_of(fact, "date_key") == [(20240102,)]
+
+
+def test_declared_tables_follow_the_newest_version(spark, lakes):
+    _, steps = lakes
+    spark.sql("CREATE DATABASE IF NOT EXISTS declared")
+    for _ in range(2):
+        refresh.declare_tables(spark, steps, "declared")
+        for name in ("dim_content", "dim_device", "dim_region", "dim_date"):
+            newest = refresh.read_dimension(spark, steps, name)
+            assert rows_of(spark.table(f"declared.{name}")) == rows_of(newest)
+        fact = refresh.read_fact(spark, steps)
+        assert rows_of(spark.table("declared.fact_viewing").select(fact.columns)) == rows_of(fact)
+    spark.sql("DROP DATABASE declared CASCADE")
+
+
+def test_unchanged_tables_are_not_rewritten_and_old_versions_go(spark, tmp_path):
+    zones = Zones(str(tmp_path))
+    base = f"{zones.warehouse}/dim_device"
+    for names in (["a"], ["a"], ["a", "b"], ["a", "b", "c"], ["a", "b", "c"]):
+        rows = spark.createDataFrame(list(enumerate(names, 1)), "device_key int, device_type string")
+        refresh.write_dimension(rows, zones, "dim_device")
+    assert partition_paths(spark, base, "version") == [("2",), ("3",)]
+    assert refresh.read_dimension(spark, zones, "dim_device").count() == 3
+
+
+def test_a_content_that_becomes_known_restates_its_days(spark, make_events, tmp_path):
+    zones, header = Zones(str(tmp_path)), ("header", True)
+    columns = "content_id string, title string, genre string, studio string, release_date string, content_type string"
+
+    def metadata(*ids):
+        rows = spark.createDataFrame([(i, f"T{i}", "g", "s", "2020-01-01", "movie") for i in ids], columns)
+        rows.write.mode("overwrite").option(*header).csv(zones.metadata)
+
+    testdata.content_launch(spark, SMALL).write.option(*header).csv(zones.launch)
+    days = [date(2024, 1, 1), date(2024, 1, 5)]
+    events = [
+        {"event_id": f"E{n}", "content_id": c, "event_timestamp": datetime(d.year, d.month, d.day, 9), "ingest_date": d}
+        for n, (c, d) in enumerate((("M1", days[0]), ("M2", days[0]), ("M1", days[1])))
+    ]
+    metadata("M1")
+    land_raw(make_events(*events[:2]), zones.raw_events)
+    daily_run.run_incremental(spark, zones, "one", RUN)
+    assert refresh.read_fact(spark, zones).where("content_key = 0").count() == 1
+    metadata("M1", "M2")
+    land_raw(make_events(events[2]), zones.raw_events)
+    done = daily_run.run_incremental(spark, zones, "two", RUN)
+    assert done.event_dates == days
+    assert refresh.read_fact(spark, zones).where("content_key = 0").count() == 0
+    assert rows_of(spark.read.parquet(zones.enriched), "event_id", "title") == [
+        ("E0", "TM1"), ("E1", "TM2"), ("E2", "TM1"),
+    ]
+    assert daily_run._dates_of_newly_known(spark, zones) == []

@@ -185,3 +185,12 @@ def test_counting_rides_on_another_action(make_events, tmp_path):
                                  nulls=F.count_if(F.col("region").isNull()))
     rows.write.parquet(str(tmp_path / "t"))
     assert seen.get == {"rows": 2, "nulls": 1}
+
+
+def test_repeats_in_metadata_multiply_no_event(spark, make_events):
+    metadata = spark.createDataFrame(
+        [("M1", "One", "g"), ("M1", "Two", "a"), ("M1", "Two", "a")], "content_id string, title string, genre string"
+    )
+    joined = enrich.enrich_with_metadata(make_events({}, {"event_id": "E2"}), metadata)
+    assert rows_of(joined, "event_id", "title", "genre") == [("E1", "Two", "a"), ("E2", "Two", "a")]
+    assert rows_of(enrich.repeated_reference(metadata, ["content_id"])) == [("M1", 3, 2)]

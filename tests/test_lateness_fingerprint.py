@@ -83,6 +83,19 @@ def test_fingerprints(make_events, digest):
     assert changed(make_events(*base, {"region": "DE"})) == [("DE",)]
 
 
+@pytest.mark.parametrize("digest", ["xxhash64", "md5"])
+def test_values_do_not_run_into_each_other(spark, digest):
+    def digest_of(*values):
+        rows = spark.createDataFrame([(1, *values)], "p int, a string, b string, x double")
+        return rows_of(fingerprint(rows, ["p"], digest=digest))
+
+    assert digest_of("a|b", "c", 1.0) != digest_of("a", "b|c", 1.0)
+    assert digest_of("a1:b", "c", 1.0) != digest_of("a", "b1:c", 1.0)
+    assert digest_of(None, "c", 1.0) != digest_of("~", "c", 1.0)
+    assert digest_of("a", "c", 1e-9) != digest_of("a", "c", 2e-9)
+    assert digest_of("a", "c", 1e30) != digest_of("a", "c", float("nan"))
+
+
 def test_unknown_digest(make_events):
     with pytest.raises(ValueError):
         fingerprint(make_events({}), ["region"], digest="crc")

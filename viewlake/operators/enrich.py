@@ -20,11 +20,31 @@ def _join(
 ) -> DataFrame:
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
+    reference = one_row_per_key(reference, keys)
     if strategy != "auto":
         reference = reference.hint(strategy)
     return events.join(reference, list(keys), "left")
 
 
+def one_row_per_key(reference: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of several rows for one key the greatest, so that a join multiplies no event."""
+    others = [c for c in reference.columns if c not in keys]
+    rows = reference.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_row"))
+    return rows.select(*keys, "_row.*")
+
+
+def repeated_reference(reference: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys with several rows, the rows and how many of them differ."""
+    return (
+        reference.groupBy(*keys)
+        .agg(
+            F.count("*").alias("rows"),
+            F.count_distinct(F.struct(*reference.columns)).alias("variants"),
+        )
+        .where(F.col("rows") > 1)
+    )
+
+
 def enrich_with_metadata(
     events: DataFrame, metadata: DataFrame, strategy: str = "auto"
 ) -> DataFrame:

@@ -14,16 +14,24 @@ MODULUS = 2**31
 
 
 def _portable_text(rows: DataFrame, column: str) -> Column:
-    """A value as text that other engines write alike."""
+    """A value as text that other engines write alike.
+
+    Each text has its length in front and NULL has none, so values cannot run into
+    each other. A double is written with six places if that is all of it, else in full.
+    """
     kind = rows.schema[column].dataType
     value = F.col(column)
     if isinstance(kind, TimestampType):
         value = F.unix_micros(value)
     elif isinstance(kind, DoubleType):
-        value = value.cast("decimal(24,6)")
+        short = value.try_cast("decimal(24,6)")
+        value = F.when(short.cast("double") == value, short.cast("string")).otherwise(
+            value.cast("string")
+        )
     elif isinstance(kind, DateType):
         value = F.date_format(value, "yyyy-MM-dd")
-    return F.coalesce(value.cast("string"), F.lit("~"))
+    text = value.cast("string")
+    return F.coalesce(F.concat(F.char_length(text), F.lit(":"), text), F.lit("~"))
 
 
 def _digest(rows: DataFrame, columns: Sequence[str], digest: str) -> Column:
@@ -31,7 +39,7 @@ def _digest(rows: DataFrame, columns: Sequence[str], digest: str) -> Column:
         # The position keeps a NULL in one column apart from a NULL in the next.
         return F.xxhash64(*(F.struct(F.lit(i), c) for i, c in enumerate(columns)))
     if digest == "md5":
-        text = F.concat_ws("|", *(_portable_text(rows, c) for c in columns))
+        text = F.concat(*(_portable_text(rows, c) for c in columns))
         return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
     raise ValueError(f"unknown digest {digest}")
 

@@ -69,12 +69,17 @@ def category_mix(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+#: Parts in which the keys of one size meet their rank.
+SIZE_SALTS = 256
+
+
 def skew_profile(rows: DataFrame, key: str) -> DataFrame:
     """Rows, share of all rows and rank of every value of a key.
 
     The rank is one plus the number of keys with more rows. It is read from the
     histogram of key sizes, which has at most sqrt(2 * rows) entries, instead of
-    sorting all keys in one task.
+    sorting all keys in one task. Most keys may share one size, so sizes meet their
+    rank under a salt.
     """
     sizes = rows.groupBy(key).agg(F.count("*").alias("rows"))
     histogram = sizes.groupBy("rows").agg(F.count("*").alias("_keys"))
@@ -85,7 +90,12 @@ def skew_profile(rows: DataFrame, key: str) -> DataFrame:
         (F.coalesce(F.sum("_keys").over(larger), F.lit(0)) + 1).alias("rank"),
         total.alias("_total"),
     )
-    return sizes.join(ranks, "rows").select(
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(SIZE_SALTS - 1)))
+    ranks = ranks.withColumn("_salt", every_salt)
+    salted = sizes.withColumn(
+        "_salt", F.pmod(F.xxhash64(key), F.lit(SIZE_SALTS)).cast("int")
+    )
+    return salted.join(ranks, ["rows", "_salt"]).select(
         key, "rows", (F.col("rows") / F.col("_total")).alias("share"), "rank"
     )
 

@@ -33,7 +33,7 @@ from viewlake.operators.lateness import backfill_range, parse_date_range
 from viewlake.operators.quality import counted
 from viewlake.operators.rollup import aggregate_daily
 from viewlake.operators.validate import REASON, is_valid
-from viewlake.plans.refresh import refresh_warehouse
+from viewlake.plans.refresh import read_dimension, refresh_warehouse
 from viewlake.plans.transform import check_events, enrich
 from viewlake.plans.zones import (
     Zones,
@@ -152,7 +152,8 @@ def _process(
                 rows, events = _candidates(spark, zones, valid, days, changed)
             # What a broken run has rewritten may not be found by its rows again.
             left = partition_dates(spark, zones.unfinished, "event_date")
-            events = result.event_dates = sorted({*events, *left})
+            restated = _dates_of_newly_known(spark, zones)
+            events = result.event_dates = sorted({*events, *left, *restated})
             _note_unfinished(spark, zones, events)
         if events:
             with _stage(result, "publish") as stage:
@@ -173,6 +174,28 @@ def _process(
         drop_folder(spark, zones.unfinished)
 
 
+def _dates_of_newly_known(spark: SparkSession, zones: Zones) -> list[date]:
+    """Event dates with published events of contents that the warehouse does not know
+    and the metadata now has.
+
+    Rewriting a date joins all its events to the metadata of today, so the dates'
+    titles and fact keys follow. Without new contents nothing is read but ids.
+    """
+    known = read_dimension(spark, zones, "dim_content")
+    columns = "content_id STRING, event_date DATE"
+    published = read_if_filled(spark, zones.enriched, "event_date", columns)
+    if known is None or published is None:
+        return []
+    metadata = read_content_metadata(spark, zones.metadata).select("content_id")
+    new = metadata.dropna().distinct().join(known, "content_id", "left_anti")
+    if new.isEmpty():
+        return []
+    # Counted down to content and date first, so a hot content is no hot key.
+    seen = published.select("content_id", "event_date").distinct()
+    dates = seen.join(new, "content_id", "left_semi").select("event_date").distinct()
+    return [row["event_date"] for row in dates.collect()]
+
+
 def _note_unfinished(spark: SparkSession, zones: Zones, events: list[date]) -> None:
     marks = dates_frame(spark, events, "event_date").withColumn("open", F.lit(True))
     write_partitioned(marks, zones.unfinished, ("event_date",))

@@ -8,6 +8,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from viewlake.operators.fingerprint import fingerprint
 from viewlake.plans import warehouse
 from viewlake.plans.zones import (
     Zones,
@@ -16,7 +17,7 @@ from viewlake.plans.zones import (
     side_by_side,
 )
 from viewlake.schemas import FACT_VIEWING
-from viewlake.sources.paths import exists, partition_paths
+from viewlake.sources.paths import drop_partitions, exists, partition_paths
 from viewlake.sources.raw import read_content_launch, read_content_metadata
 
 DIMENSIONS = ("dim_date", "dim_region", "dim_device", "dim_content")
@@ -45,10 +46,45 @@ def read_dimension(spark: SparkSession, zones: Zones, name: str) -> DataFrame |
 
 
 def write_dimension(rows: DataFrame, zones: Zones, name: str) -> None:
-    """Write the next version next to the one that is being read."""
-    base = f"{zones.warehouse}/{name}"
-    version = _newest(rows.sparkSession, base) + 1
+    """Write the next version next to the one that is being read, if rows changed.
+
+    The version before stays for readers that have begun; older ones are removed.
+    """
+    spark, base = rows.sparkSession, f"{zones.warehouse}/{name}"
+    version = _newest(spark, base) + 1
+    before = read_dimension(spark, zones, name)
+    if before is not None and _contents(before) == _contents(rows):
+        return
     rows.write.mode("overwrite").parquet(f"{base}/version={version}")
+    older = [(v,) for (v,) in partition_paths(spark, base, "version") if int(v) < version - 1]
+    drop_partitions(spark, base, ("version",), older)
+
+
+def _contents(rows: DataFrame) -> tuple:
+    return tuple(fingerprint(rows, []).first())
+
+
+def declare_tables(spark: SparkSession, zones: Zones, database: str = "default") -> None:
+    """Declare the six tables over what is written, or bring them up to date.
+
+    A table that has versions points at the newest one; the fact's partitions are
+    those on disk. To be called again after each run.
+    """
+    for name, (schema, partitions) in warehouse.TABLES.items():
+        base, table = f"{zones.warehouse}/{name}", f"{database}.{name}"
+        if partitions:
+            place, by = base, f" PARTITIONED BY ({', '.join(partitions)})"
+        else:
+            place, by = f"{base}/version={_newest(spark, base)}", ""
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({schema.toDDL()})"
+            f" USING parquet{by} LOCATION '{place}'"
+        )
+        if partitions:
+            spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        else:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
+        spark.catalog.refreshTable(table)
 
 
 def read_dimensions(

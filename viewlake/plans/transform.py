@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from viewlake.functions import derive_fields, normalize_timestamps
+from viewlake.functions import derive_fields, is_completed, normalize_timestamps
 from viewlake.operators.dedup import keep_latest, superseded
 from viewlake.operators.enrich import enrich_with_launch, enrich_with_metadata
 from viewlake.operators.rollup import aggregate_daily
@@ -43,9 +43,11 @@ def transform(raw: DataFrame, metadata: DataFrame, launch: DataFrame) -> Transfo
     """
     checked = check_events(raw)
     valid = valid_rows(checked)
-    enriched = enrich(keep_latest(valid), metadata, launch)
+    kept = keep_latest(valid)
     return Transformed(
-        enriched=enriched,
-        daily=aggregate_daily(enriched),
+        enriched=enrich(kept, metadata, launch),
+        # The left joins neither add nor drop events and the roll-up reads none of
+        # their columns, so it goes without them.
+        daily=aggregate_daily(kept.withColumn("is_completed", is_completed())),
         dead_letter=collect_rejects(rejected_rows(checked), superseded(valid)),
     )

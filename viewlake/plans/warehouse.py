@@ -47,7 +47,10 @@ TABLES: dict[str, tuple[StructType, tuple[str, ...]]] = {
 
 
 def create_tables(spark: SparkSession, base: str, database: str = "default") -> None:
-    """Declare the six tables over Parquet folders under ``base``."""
+    """Declare six tables to be filled, each over one Parquet folder under ``base``.
+
+    The tables of a lake have versions: ``refresh.declare_tables`` declares those.
+    """
     for name, (schema, partitions) in TABLES.items():
         by = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
         spark.sql(
