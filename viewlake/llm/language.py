@@ -37,6 +37,8 @@ from viewlake.llm.scratch import text_slices
 UNKNOWN = "und"
 SAMPLE_TEXTS = 128
 SAMPLE_CHARS = 384
+#: Parts of a language in which the lowest hashes are looked for side by side.
+SAMPLE_PARTS = 16
 #: Letters told apart; rarer ones count as one symbol no sample holds.
 MOST_LETTERS = 120
 BLOCK_SYMBOLS = 512
@@ -51,6 +53,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(3)) == 1, F.lit(False))
 
 
+def _lowest(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The n rows of each key with the lowest hash."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("hash"))
+    return rows.withColumn("rank", rank).where(F.col("rank") <= n).drop("rank")
+
+
 def draw_sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> tuple[tuple[str, str], ...]:
     """(language, text) pairs to learn from, languages in order.
 
@@ -61,8 +69,10 @@ def draw_sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     able = rows.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
     able = able.withColumn("hash", F.xxhash64("text"))
     distinct = able.groupBy("lang", "hash").agg(F.min("doc_id").alias("doc_id"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
-    chosen = distinct.withColumn("rank", rank).where(F.col("rank") <= texts).drop("rank")
+    # A language may hold most rows: its lowest hashes are found part by part first,
+    # so the last step sees no more than SAMPLE_PARTS times ``texts`` rows of each.
+    parts = distinct.withColumn("part", F.pmod(F.xxhash64("hash"), F.lit(SAMPLE_PARTS)))
+    chosen = _lowest(_lowest(parts, ["lang", "part"], texts).drop("part"), ["lang"], texts)
     # As many rows as languages times texts: bounded, whatever the table's size.
     start = F.pmod(F.col("hash"), F.greatest(F.char_length("text") - chars, F.lit(0)) + 1) + 1
     passages = able.join(F.broadcast(chosen), ["lang", "hash", "doc_id"]).select("lang", "hash", F.substring(F.col("text"), start.cast("int"), F.lit(chars)).alias("text")).distinct().collect()
