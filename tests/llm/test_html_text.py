@@ -35,6 +35,15 @@ def test_ratio_finds_unmarked_content():
     assert "sentence of text 5" in text and text.count("long sentence") == 72
 
 
+def test_ratio_decides_on_pages_with_marks():
+    body = "".join(f"<p>{'long sentence of text ' * 12}{i}</p>" for i in range(6))
+    links = "".join(f"<p><a href='/{i}'>m{i}</a></p>" for i in range(10))
+    text = main_text(f"<body><article><a href='/t'>Teaser</a></article><div>{links}</div><nav>n</nav><section>{body}</section></body>")
+    assert text.count("long sentence") == 72 and "Teaser" not in text and "m3" not in text
+    text = main_text(f"<body><div>{links}</div><nav>n</nav><article>{body}{'<aside>s</aside>' * 12}<p>Tail.</p></article></body>")
+    assert text.count("long sentence") == 72 and text.endswith("5 Tail.")
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "plain words"), (3, "u", "<article>a<p>b"), (3, "u", "<article>a<p>b"), (4, "u", "<div" * 50), (5, "u", "<article>" + "<p>x &amp; y</p>" * 20_000)]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")

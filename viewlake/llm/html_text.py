@@ -4,11 +4,11 @@ The standard library's parser streams a page's events; blocks of text are its li
 Each line has a text-to-tag ratio: characters over tags. The ratios are smoothed by a
 Gaussian, and a threshold splits the lines into content and the rest.
 
-Markup that says what a block is has the first word: menus, headers, footers, sidebars,
-notices, adverts, forms, comments and the like never count as content, and end the
-region of lines around them. A region is kept whole, short lines included, if it lies
-in an article or main element, or, on pages that mark none, if a smoothed ratio in it
-reaches the threshold.
+Markup helps twice. Menus, headers, footers, sidebars, notices, adverts, forms, comments
+and the like never count as content: their lines have the ratio 0 and end the region of
+lines around them. The lines of an article or main element are one region, also where
+such a block stands between them. On every page a region is kept whole, short lines
+included, if a smoothed ratio in it reaches the threshold; no mark replaces that.
 
 Pages are independent rows; nothing is shuffled.
 
@@ -48,12 +48,13 @@ _NAME = re.compile(r"[a-z0-9]+")
 
 
 class Lines(HTMLParser):
-    """The lines of a page: (text, tags, region, marked); region -1 is not content."""
+    """The lines of a page: (text, tags, region); region -1 is not content."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
-        self._open: list[tuple[str, bool, bool]] = [("", False, False)]
+        self.lines: list[tuple[str, int, int]] = []
+        # tag, whether not content, region of the innermost article or main element
+        self._open: list[tuple[str, bool, int]] = [("", False, 0)]
         self._text: list[str] = []
         self._tags, self._region = 0, 0
 
@@ -61,7 +62,7 @@ class Lines(HTMLParser):
         text = " ".join("".join(self._text).split())
         if text or self._tags:
             _, out, marked = self._open[-1]
-            self.lines.append((text, self._tags, -1 if out else self._region, marked))
+            self.lines.append((text, self._tags, -1 if out else marked or self._region))
         self._text, self._tags = [], 0
 
     def _close(self, at: int) -> None:
@@ -88,11 +89,10 @@ class Lines(HTMLParser):
             return
         _, out, marked = self._open[-1]
         goes_out = out or tag in NOT_CONTENT or (tag not in ("html", "body") and tag not in MARKED_CONTENT and _says_not_content(attrs))
-        state = (tag, goes_out, marked or tag in MARKED_CONTENT)
-        if state[1:] != (out, marked):
+        if goes_out != out or tag in MARKED_CONTENT:
             self._end_line()
             self._region += 1
-        self._open.append(state)
+        self._open.append((tag, goes_out, self._region if tag in MARKED_CONTENT else marked))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -138,13 +138,12 @@ def main_text(html: str) -> str:
         parser.feed(html[at:at + PIECE_CHARS])
     parser.close()
     lines = parser.lines
-    kept = {region for text, _, region, marked in lines if marked and text and region >= 0}
-    if not kept and lines:
-        ratios = np.array([len(text) / max(1, tags) if region >= 0 else 0.0 for text, tags, region, _ in lines])
-        smoothed = smooth(ratios)
-        threshold = smoothed.std() if len(lines) > 1 else 0.0
-        kept = {line[2] for line, ratio in zip(lines, smoothed) if line[2] >= 0 and line[0] and ratio >= threshold}
-    return " ".join(text for text, _, region, _ in lines if text and region in kept)
+    if not lines:
+        return ""
+    smoothed = smooth(np.array([len(text) / max(1, tags) if region >= 0 else 0.0 for text, tags, region in lines]))
+    threshold = smoothed.std() if len(lines) > 1 else 0.0
+    kept = {region for (text, _, region), ratio in zip(lines, smoothed) if region >= 0 and text and ratio >= threshold}
+    return " ".join(text for text, _, region in lines if text and region in kept)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
