@@ -38,6 +38,19 @@ def test_phrases_equal_brute_force():
     assert all(abs(b - math.log2(phrases("", s)[1] + 1)) < 1e-9 for b, (_, s) in zip(parser.bits, SAMPLE))
 
 
+def test_every_letter_of_the_samples_is_told_apart():
+    hangul, han = ([chr(first + i) for i in range(400)] for first in (0xAC00, 0x4E00))
+    sample = (("h", "".join(hangul)), ("k", "".join(han)), ("m", "".join(han[::-1]) + "İẞK"), *SAMPLE)
+    parser = language.Parser(sample)
+    assert not (parser.alphabet.symbols([t for _, t in sample])[0] == language.OTHER).any()
+    texts = ["".join(hangul[300:340]), "".join(han[350:390]), "".join(han[390:350:-1]), "the " + "".join(han[5:9]) + "ж", "жщ" * 5]
+    counts, _, _ = parser.phrases(texts)
+    for at, text in enumerate(texts):
+        for lang, (_, known) in enumerate(sample):
+            assert counts[lang][at] == phrases(text, known)[0], (text, lang)
+    assert parser.predict(texts[:3])[0] == ["h", "k", "m"]
+
+
 def test_held_out_accuracy_and_shape(spark):
     got = QUERIES["op7_language_id"](spark, SMALL)
     joined = got.join(spark.read.parquet(f"{SMALL}/documents.parquet"), "doc_id")

@@ -6,7 +6,8 @@ fewer phrases, weighed by the bits it takes to point into the sample, the closer
 language. The language with the fewest normalised phrases wins.
 
 The automata are laid out as tables of states and symbols, and all texts of a batch
-step through them side by side, one symbol a step. A text longer than
+step through them side by side, one symbol a step. Every letter of the samples has its
+own symbol; steps by the rarer ones are kept in a sorted list. A text longer than
 ``BLOCK_SYMBOLS`` is parsed in blocks, each from the start state; every symbol of every
 text is read.
 
@@ -39,12 +40,13 @@ SAMPLE_TEXTS = 128
 SAMPLE_CHARS = 384
 #: Parts of a language in which the lowest hashes are looked for side by side.
 SAMPLE_PARTS = 16
-#: Letters told apart; rarer ones count as one symbol no sample holds.
-MOST_LETTERS = 120
+#: Letters with a column in the table of steps; steps by rarer ones are looked up.
+TABLE_LETTERS = 120
 BLOCK_SYMBOLS = 512
 #: Lanes that step at once.
 LANES = 16_384
 
+#: Not a letter; a letter that no sample holds.
 SPACE, OTHER = 0, 1
 
 
@@ -86,14 +88,13 @@ class Alphabet:
     """Symbols of the samples' letters, upper and lower case alike."""
 
     def __init__(self, texts: list[str]):
-        seen = Counter(c for text in texts for c in text.lower() if c.isalpha())
-        letters = sorted(seen, key=lambda c: (-seen[c], c))[:MOST_LETTERS]
+        lower = _lower()
+        seen = Counter(int(lower[ord(c)]) for text in texts for c in text if c.isalpha())
+        letters = sorted(seen, key=lambda c: (-seen[c], c))
         self.size = len(letters) + 2
-        self._symbols = np.where(_letters(), OTHER, SPACE).astype(np.uint8)
-        for symbol, letter in enumerate(letters, 2):
-            for form in {letter, letter.upper()}:
-                if len(form) == 1:
-                    self._symbols[ord(form)] = symbol
+        by_lower = np.full(0x110000, OTHER, np.min_scalar_type(self.size))
+        by_lower[letters] = np.arange(2, self.size)
+        self._symbols = np.where(_letters(), by_lower[lower], SPACE).astype(by_lower.dtype)
 
     def symbols(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The texts' symbols in a row, and each text's bounds; white space is one space."""
@@ -110,6 +111,12 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
+@cache
+def _lower() -> np.ndarray:
+    """The code of each character's lower case, or its own where that is not one character."""
+    return np.fromiter((ord(low) if len(low := chr(c).lower()) == 1 else c for c in range(0x110000)), np.int32, 0x110000)
+
+
 def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     """Transitions of the automaton of all substrings; state 0 is the start."""
     steps: list[dict[int, int]] = [{}]
@@ -143,31 +150,41 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 class Parser:
     """The automata of all languages in one table of steps.
 
-    An entry is twice the next state, plus one if a phrase ends before the symbol.
+    An entry is twice the next state, plus one if a phrase ends before the symbol. The
+    table has columns for the first symbols; entries of the others that go on in a phrase
+    stand in ``rare_entries``, by state and symbol, and those that open one in ``restarts``.
     """
 
     def __init__(self, sample: tuple[tuple[str, str], ...]):
         self.languages = [lang for lang, _ in sample]
         self.alphabet = Alphabet([text for _, text in sample])
-        width, tables, starts, base = self.alphabet.size, [], [], 0
+        size = self.alphabet.size
+        self.width = width = min(size, TABLE_LETTERS + 2)
+        tables, restarts, rare, starts, base = [], [], [], [], 0
         self.bits = []
         for _, text in sample:
             symbols, _ = self.alphabet.symbols([text])
             steps = suffix_automaton(symbols.tolist())
-            restart = np.full(width, 2 * base + 1)
+            restart = np.full(size, 2 * base + 1)
             for symbol, state in steps[0].items():
                 restart[symbol] = 2 * (base + state) + 1
-            table = np.tile(restart, (len(steps), 1))
-            for state, moves in enumerate(steps):
-                if moves:
-                    table[state, list(moves)] = [2 * (base + to) for to in moves.values()]
-            table[0] = restart  # from the start every symbol opens a phrase
-            tables.append(table.astype(np.int32))
+            table = np.tile(restart[:width].astype(np.int32), (len(steps), 1))
+            # from the start every symbol opens a phrase
+            moves = np.array([(state, symbol, to) for state, found in enumerate(steps[1:], 1) for symbol, to in found.items()], np.int64).reshape(-1, 3)
+            near, far = moves[moves[:, 1] < width], moves[moves[:, 1] >= width]
+            table[near[:, 0], near[:, 1]] = 2 * (base + near[:, 2])
+            rare.append(np.column_stack(((base + far[:, 0]) * size + far[:, 1], 2 * (base + far[:, 2]))))
+            tables.append(table)
+            restarts.append(restart.astype(np.int32))
             starts.append(base)
             base += len(steps)
             self.bits.append(math.log2(len(symbols) + 1))
         self.table = np.concatenate([np.empty(0, np.int32), *(t.ravel() for t in tables)])
         self.starts = np.array(starts, np.int32)
+        self.restarts = np.array(restarts, np.int32).reshape(len(starts), size)
+        entries = np.concatenate([np.empty((0, 2), np.int64), *rare])
+        entries = entries[np.argsort(entries[:, 0])]
+        self.rare_keys, self.rare_entries = entries[:, 0].copy(), entries[:, 1].astype(np.int32)
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Phrases of each text against each language; symbols; whether it has letters."""
@@ -189,16 +206,29 @@ class Parser:
         return counts, sizes, np.diff(has_letter) > 0
 
     def _step(self, symbols: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
-        width = self.alphabet.size
+        width = self.width
+        near = symbols if width == self.alphabet.size else np.where(symbols < width, symbols, OTHER)
         states = np.repeat(self.starts[:, None], len(begin), 1)
         counts = np.zeros(states.shape, np.int32)
         active = np.searchsorted(-length, -np.arange(1, (length[0] if len(length) else 0) + 1), "right")
         for step, lanes in enumerate(active.tolist()):
-            entry = self.table[states[:, :lanes] * width + symbols[begin[:lanes] + step]]
+            at = begin[:lanes] + step
+            entry = self.table[states[:, :lanes] * width + near[at]]
+            if near is not symbols and len(far := np.flatnonzero(symbols[at] >= width)):
+                entry[:, far] = self._rare(states[:, far], symbols[at[far]])
             counts[:, :lanes] += entry & 1
             states[:, :lanes] = entry >> 1
         return counts
 
+    def _rare(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The entries of symbols without a column."""
+        opened = self.restarts[:, symbols]
+        if not len(self.rare_keys):
+            return opened
+        keys = states.astype(np.int64) * self.alphabet.size + symbols
+        found = np.minimum(np.searchsorted(self.rare_keys, keys), len(self.rare_keys) - 1)
+        return np.where(self.rare_keys[found] == keys, self.rare_entries[found], opened)
+
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """The language and score of each text.
 
