@@ -1,3 +1,4 @@
+from catalog.queries import QUERIES
 from conftest import SMALL, rows_of
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from viewlake.operators.quality import anomaly_flags
 from viewlake.sources import land_raw, testdata
 from viewlake.streaming import (
     check_arrivals,
+    count_available,
     dedup_stream,
     hourly_counts,
     open_raw_events,
@@ -59,6 +61,24 @@ def test_stream_keeps_one_copy_and_closed_hours(spark, tmp_path, make_events):
     ]
 
 
+def test_streamed_hours_equal_the_batch(spark):
+    got, batch = (QUERIES[n](spark, SMALL) for n in ("stream_hourly_counts", "hourly_counts"))
+    assert got.columns == batch.columns and got.count() == batch.count()
+    assert got.exceptAll(batch).count() == batch.exceptAll(got).count() == 0
+
+
+def test_streamed_hours_take_in_late_rows(spark, tmp_path, make_events):
+    source, state = str(tmp_path / "events"), str(tmp_path / "state")
+    times = [datetime(2024, 1, 1, 15, 0), datetime(2024, 1, 1, 10, 5), datetime(2024, 1, 1, 15, 9)]
+    for at, time in enumerate(times):
+        rows = make_events({"event_timestamp": time, "event_type": None})
+        rows.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        counted = count_available(hourly_counts(stream), state)
+        batch = hourly_counts(spark.read.parquet(source))
+        assert sorted(map(str, counted.collect())) == sorted(map(str, batch.collect()))
+
+
 def test_anomaly_rules(make_events):
     rows = make_events(
         {"event_id": "ok"},

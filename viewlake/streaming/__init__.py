@@ -1,5 +1,6 @@
 from viewlake.streaming.live import (
     check_arrivals,
+    count_available,
     dedup_stream,
     hourly_counts,
     open_files,
@@ -9,6 +10,7 @@ from viewlake.streaming.live import (
 
 __all__ = [
     "check_arrivals",
+    "count_available",
     "dedup_stream",
     "hourly_counts",
     "open_files",

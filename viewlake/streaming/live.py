@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from viewlake.operators.validate import is_valid
 from viewlake.plans.transform import check_events
 from viewlake.schemas import CORRUPT_RECORD
+from viewlake.sources.paths import exists
 from viewlake.sources.raw import READ_TIMESTAMP, raw_events_schema
 
 TIME = "event_timestamp"
@@ -115,3 +116,26 @@ def run_available(
     )
     running.awaitTermination()
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def count_available(counts: DataFrame, checkpoint: str) -> DataFrame:
+    """Process everything that is there and return all groups counted so far.
+
+    ``counts`` is a grouped stream without a watermark: no row comes too late, and
+    its state, which is read here, is the whole result, open windows included.
+    """
+    running = (
+        counts.writeStream.format("noop")
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    running.awaitTermination()
+    spark = counts.sparkSession
+    if not exists(spark, f"{checkpoint}/state/0"):
+        return spark.createDataFrame([], counts.schema)  # nothing has arrived yet
+    groups = spark.read.format("statestore").load(checkpoint)
+    return groups.select("key.window.*", "key.*", "value.*").drop("window").toDF(
+        *counts.columns
+    )
