@@ -82,3 +82,9 @@ def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(2, "some words", None)], "doc_id long, text string, lang string")
     assert language.predict_languages(df).first()["lang_pred"] == "und"
     assert language.predict_languages(df.where("false")).count() == 0
+
+
+def test_unlabelled_rows_are_kept(spark):
+    rows = [(1, "some words", None), (2, "日本", None), (3, "12 !!", None), (4, "", None), (5, None, None), (None, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["text"] for r in language.keep_identified(df).collect()} == {"some words", "日本", "x"}

@@ -265,8 +265,13 @@ def predict_languages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least_score: float = 0.0) -> DataFrame:
-    """The rows of ``df``, all columns, whose language could be told."""
+    """The rows of ``df``, all columns, whose language could be told.
+
+    Where there is nothing to learn from, only rows without a letter go.
+    """
     sample = draw_sample(df, id_col, text_col, lang_col)
+    if not sample:
+        return df.where(F.col(text_col).rlike(r"\p{L}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, text_col):
