@@ -1,0 +1,141 @@
+"""Embedding whitening: spectrum against numpy, exact sums, awkward rows."""
+
+import math
+
+import numpy as np
+import pytest
+from llm_support import SMALL, shipped  # noqa: F401
+
+from viewlake.llm import whitening
+from viewlake.llm.queries import QUERIES
+
+
+def rotated(values, seed=0):
+    q, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((len(values), len(values))))
+    made = q @ np.diag(values) @ q.T
+    return (made + made.T) / 2
+
+
+MATRICES = {
+    "random": np.cov(np.random.default_rng(1).standard_normal((500, 64)).T),
+    "one": np.array([[2.5]]),
+    "indefinite": np.array([[0.0, 1.0], [1.0, 0.0]]),
+    "equal": np.eye(20) * 7,
+    "clusters": np.diag([3.0, 3, 3, 1, 1, 0, 0, 0]),
+    "steep": rotated(10.0 ** -np.arange(11)),
+    "close": rotated([1, 1 - 1e-8, 1 - 2e-8, 0.5, 0.1]),
+    "low_rank": np.cov(np.random.default_rng(2).standard_normal((5, 40)).T, bias=True),
+    "tiny": rotated([3e-200, 2e-200, 1e-200]),
+}
+
+
+@pytest.mark.parametrize("name", MATRICES)
+def test_eigenpairs(name):
+    matrix = MATRICES[name]
+    values, vectors = whitening.leading_eigenpairs(matrix, 16)
+    want = np.linalg.eigvalsh(matrix)[::-1]
+    kept = want[want > 1e-12 * want[0]][:16]
+    assert np.allclose(values, kept, rtol=0, atol=1e-14 * want[0] * len(matrix))
+    assert np.abs(matrix @ vectors.T - vectors.T * values).max() < 1e-13 * np.abs(matrix).max()
+    assert np.allclose(vectors @ vectors.T, np.eye(len(values)), atol=1e-13)
+
+
+@pytest.mark.parametrize("name", MATRICES)
+def test_counts_of_pivots(name):
+    values = np.linalg.eigvalsh(MATRICES[name])
+    for shift in (*(values[1:] + values[:-1]) / 2, values[0] - 1, values[-1] + 1):
+        if np.abs(values - shift).min() > 1e-12 * np.abs(values).max():
+            assert whitening.count_above(MATRICES[name], shift) == (values > shift).sum()
+
+
+def test_nothing_to_find():
+    assert len(whitening.leading_eigenpairs(np.zeros((3, 3)), 16)[0]) == 0
+    assert len(whitening.leading_eigenpairs(np.empty((0, 0)), 16)[0]) == 0
+
+
+def able(vector):
+    return vector is not None and all(c is not None and math.isfinite(c) for c in vector)
+
+
+def whole(vector):
+    return tuple(math.floor(64 * float(c)) + 1_000_000 for c in vector)
+
+
+def compare(rows, got):
+    """All of a result against whole-number and numpy arithmetic, for one length."""
+    fit = sorted({whole(v) for _, v in rows if able(v)})
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    x = np.array([[n * c - s for c, s in zip(v, sums)] for v in fit], float) / n
+    values, directions = np.linalg.eigh(x.T @ x / n)
+    values, directions = values[::-1], directions.T[::-1]
+    k = min(16, int((values > 1e-12 * values[0]).sum()))
+    expected = {}
+    for vec_id, v in rows:
+        if able(v):
+            centred = [n * c - s for c, s in zip(whole(v), sums)]
+            expected.setdefault((vec_id, sum(c * c for c in centred)), []).append(np.array(centred, float) / n @ directions[:k].T / np.sqrt(values[:k]))
+    found = {}
+    for r in got:
+        found.setdefault((r["vec_id"], int(r["deviation"])), {}).setdefault(r["component"], []).append(r)
+    assert found.keys() == expected.keys()
+    signs = np.ones(k)
+    for key in sorted(found, key=str):
+        assert sorted(found[key]) == list(range(1, k + 1))
+        for c in range(k):
+            these = found[key][c + 1]
+            assert len(these) == len(expected[key])
+            assert {r["n"] for r in these} == {n}
+            want = expected[key][0][c]
+            if key == sorted(found, key=str)[0]:
+                signs[c] = np.sign(want * these[0]["whitened"])
+            assert all(abs(r["whitened"] - signs[c] * want) < 1e-7 for r in these)
+            assert all(abs(r["explained"] - values[c] / values.sum()) < 1e-9 for r in these)
+            assert all(0 <= r["identity_error"] < 1e-9 for r in these)
+
+
+def test_query(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    got = QUERIES["op11_whitening"](spark, SMALL)
+    assert dict(got.dtypes) == {"vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double", "identity_error": "double"}
+    compare(rows, got.collect())
+
+
+def test_copies_and_rows_that_cannot_take_part(spark):
+    rng = np.random.default_rng(4)
+    nan, inf = float("nan"), float("inf")
+    rows = [(int(i), rng.normal(0, 5, 5).tolist()) for i in range(60)]
+    rows += [(100 + i, [1.0, 2.0, 3.0, 4.0, 5.0]) for i in range(300)] + [(7, [9.0] * 5)] * 5 + [(None, [0.0] * 5)]
+    rows += [(1, None), (2, [None, 1.0, 1.0, 1.0, 1.0]), (3, [nan, 1.0, 1.0, 1.0, 1.0]), (4, [1.0, -inf, 1.0, 1.0, 1.0])]
+    df = spark.createDataFrame([(*r, 1, "n") for r in rows], "vec_id long, embedding array<double>, component int, x string")
+    compare(rows, whitening.whiten(df).collect())
+
+
+def test_runs_agree_whatever_the_partitions(spark):
+    df = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    columns = ["vec_id", "component", "n", "deviation", "whitened", "explained"]
+    one, other = (whitening.whiten(df.repartition(p)).select(columns).orderBy("vec_id", "component").collect() for p in (1, 5))
+    assert one == other
+
+
+def test_deviations_of_large_numbers_are_exact(spark):
+    rows = [(i, [2.0**40 * i, -(2.0**41) * (i % 3), 1.0]) for i in range(50)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    compare(rows, whitening.whiten(df).collect())
+    with pytest.raises(Exception, match="beyond 2"):
+        whitening.whiten(spark.createDataFrame([(1, [1e30])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_lengths_are_populations_of_their_own(spark):
+    rng = np.random.default_rng(5)
+    short = [(int(i), rng.normal(0, 3, 2).tolist()) for i in range(30)]
+    long = [(100 + int(i), rng.normal(0, 3, 4).tolist()) for i in range(30)]
+    rest = [(200, []), (201, [1.0, 2.0, 3.0]), (202, [1.0, 2.0, 3.0])]  # nothing varies
+    df = spark.createDataFrame(short + long + rest, "vec_id long, embedding array<double>")
+    got = whitening.whiten(df).collect()
+    compare(short, [r for r in got if r["vec_id"] < 100])
+    compare(long, [r for r in got if 100 <= r["vec_id"] < 200])
+    assert not [r for r in got if r["vec_id"] >= 200]
+
+
+def test_empty_table(spark):
+    assert whitening.whiten(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewlake.llm import bpe, chat, fingerprints, html_text, jaccard, language, mixing, pii, token_files, vectors
-from viewlake.llm.scratch import drop_folder, new_folder
+from viewlake.llm import bpe, chat, fingerprints, html_text, jaccard, language, mixing, pii, resampling, token_files, vectors, warc, whitening
+from viewlake.llm.scratch import cut, drop_folder, new_folder
 from viewlake.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +109,27 @@ def op10_fingerprints(spark, sf_dir):
     )
 
 
+@query
+def op11_whitening(spark, sf_dir):
+    made = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return made.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query
+def op12_warc(spark, sf_dir):
+    """Write the archives, and return what is read back from them."""
+    folder = new_folder(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    index = cut(warc.read_index(spark, folder))  # kept apart from the files
+    drop_folder(spark, folder)
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op13_resampling(spark, sf_dir):
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ORACLES["op4_chat_formatting"] = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -165,3 +186,52 @@ SELECT doc_id, size, source_size, target,
   (floor(rate)::BIGINT + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) * size AS taken
 FROM planned
 """
+
+ORACLES["op12_warc"] = """
+WITH hashed AS (
+  SELECT page_id, url, sha1(coalesce(html, '')) AS sha1, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes FROM pages
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY sha1, payload_bytes ORDER BY page_id NULLS LAST, url NULLS LAST) AS n,
+    first_value(page_id) OVER (PARTITION BY sha1, payload_bytes ORDER BY page_id NULLS LAST, url NULLS LAST) AS first_id
+  FROM hashed
+)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i:
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + ((('0x' || substr(sha1, 1 + (i // 4 * 5)::INTEGER, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER]), 'string_agg', '') AS payload_digest,
+  CASE WHEN n = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN n > 1 THEN first_id END AS refers_to
+FROM placed
+"""
+
+ORACLES["op13_resampling"] = r"""
+WITH raw AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), features AS (
+  SELECT row, word, count(*) AS n FROM (SELECT row, unnest(words) AS word FROM raw) GROUP BY ALL
+), wanted AS (
+  SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark) GROUP BY ALL
+), steps AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS step
+), hashed AS (
+  SELECT word, xor(list_reduce(list_transform(range(octet_length(encode(word))), lambda i: ('0x' || substr(hex(encode(word)), (1 + 2 * i)::INTEGER, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, step[1 + (xor(c, b) & 255)]), 4294967295::BIGINT), 4294967295::BIGINT) % 10000 AS bucket
+  FROM (SELECT word FROM features UNION SELECT word FROM wanted), steps
+), buckets AS (
+  SELECT bucket, sum(s) AS s, sum(t) AS t FROM (
+    SELECT bucket, n AS s, 0 AS t FROM features JOIN hashed USING (word)
+    UNION ALL SELECT bucket, 0, n FROM wanted JOIN hashed USING (word))
+  GROUP BY 1
+), gains AS (
+  SELECT bucket, floor(1000.0::DOUBLE * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM buckets
+), weights AS (
+  SELECT row, sum(n * gain)::BIGINT AS weight FROM features JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY 1
+), scored AS (
+  SELECT doc_id, coalesce(len(words), 0)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000.0::DOUBLE * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM raw LEFT JOIN weights USING (row)
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= (SELECT count(*) * 10 // 100 FROM scored WHERE n_features >= 20) THEN place END AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored)
+"""
