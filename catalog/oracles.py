@@ -567,20 +567,16 @@ SELECT {key}, rows, CAST(rows AS DOUBLE) / CAST(sum(rows) OVER () AS DOUBLE) AS
 FROM (SELECT {key}, count(*) AS rows FROM ev GROUP BY 1)"""
 
 
-def _hourly(source: str, where: str = "true") -> str:
+def _hourly(source: str) -> str:
     return f"""
 SELECT date_trunc('hour', event_timestamp) AS window_start,
   date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR AS window_end,
   region, event_type, count(*) AS events
-FROM {source} WHERE {where} GROUP BY ALL"""
+FROM {source} GROUP BY ALL"""
 
 
 _SQL["hourly_counts"] = _hourly("ev")
-_SQL["stream_hourly_counts"] = _hourly(
-    "ev",
-    "date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR <="
-    " (SELECT max(event_timestamp) FROM ev) - INTERVAL 2 HOUR",
-)
+_SQL["stream_hourly_counts"] = _hourly("ev")
 _SQL["stream_unique_ids"] = (
     "SELECT DISTINCT event_id, content_id FROM checked WHERE rejection_reason IS NULL"
 )
@@ -601,11 +597,11 @@ PARTS["ev_new"] = "SELECT * FROM ev WHERE event_date >= DATE '2024-01-15'"
 PARTS["fact_old"] = _fact("ev_old", "INNER")
 PARTS["fact_new"] = _fact("ev_new", "INNER")
 PARTS["winners"] = "SELECT * FROM ranked WHERE place = 1"
-PARTS["fact_won"] = _fact("winners", "INNER")
+PARTS["fact_all_won"] = _fact("winners", "LEFT")
 
 _SQL["warehouse_tables"] = """
 SELECT title, region_name, device_type, date_key, views, watch_hours, completed_views
-FROM fact_won JOIN dc USING (content_key) JOIN dr USING (region_key)
+FROM fact_all_won LEFT JOIN dc USING (content_key) JOIN dr USING (region_key)
 JOIN dd USING (device_key)"""
 _SQL["incremental_enriched"] = f"""
 SELECT event_id, ingest_date, event_date, title, launch_status,
@@ -616,6 +612,54 @@ FROM winners w LEFT JOIN meta USING (content_id)
 LEFT JOIN launches l ON w.content_id = l.content_id AND w.region = l.region"""
 _SQL["incremental_duplicates"] = f"SELECT {COLUMNS} FROM ranked WHERE place > 1"
 
+_SQL["incremental_restated"] = _SQL["incremental_enriched"]
+_SQL["restated_dates"] = """
+SELECT DISTINCT event_date FROM winners
+WHERE content_id IN (SELECT content_id FROM meta)
+    AND CAST(substr(content_id, 6) AS INTEGER) % 40 = 0
+  OR content_id IN (SELECT content_id FROM launches) AND region = 'JP'
+    AND CAST(substr(content_id, 6) AS INTEGER) % 60 = 7"""
+_SQL["reference_rejects"] = """
+SELECT reference, content_id, rejection_reason, count(*) AS rows FROM (
+  SELECT 'content_metadata' AS reference, CASE WHEN n % 50 <> 11 THEN content_id END AS content_id,
+    CASE WHEN n % 50 IN (7, 9) THEN 'MALFORMED_ROW' WHEN n % 50 = 11 THEN 'NULL_CONTENT_ID'
+      WHEN n % 50 = 13 THEN 'REPEATED_KEY' END AS rejection_reason
+  FROM (SELECT *, CAST(substr(content_id, 6) AS INTEGER) AS n FROM meta)
+  UNION ALL
+  SELECT 'content_launch', CASE WHEN n % 50 <> 11 THEN content_id END,
+    CASE WHEN n % 50 IN (7, 9) THEN 'MALFORMED_ROW' WHEN n % 50 = 11 THEN 'NULL_CONTENT_ID'
+      WHEN n % 40 = 3 THEN 'INVALID_LAUNCH_STATUS=postponed' END
+  FROM (SELECT *, CAST(substr(content_id, 6) AS INTEGER) AS n FROM launches))
+WHERE rejection_reason IS NOT NULL GROUP BY 1, 2, 3"""
+_SQL["stream_outcomes"] = """
+SELECT outcome, count(*) AS events FROM (
+  SELECT CASE WHEN is_late THEN 'late'
+    WHEN row_number() OVER (PARTITION BY event_id, is_late ORDER BY ingest_date) = 1 THEN 'unique'
+    ELSE 'duplicate' END AS outcome
+  FROM (SELECT *, ingest_date > DATE '2024-01-15' AND event_timestamp < (
+      SELECT max(event_timestamp) - INTERVAL 2 DAY FROM checked
+      WHERE rejection_reason IS NULL AND ingest_date <= DATE '2024-01-15') AS is_late
+    FROM checked WHERE rejection_reason IS NULL))
+GROUP BY 1"""
+_SQL["run_log"] = """
+SELECT run_id, stage, 'success' AS status,
+  CASE WHEN stage = 'check' THEN input_rows END AS input_rows,
+  CASE WHEN stage = 'check' THEN output_rows END AS output_rows
+FROM (SELECT CASE WHEN ingest_date <= DATE '2024-01-15' THEN 'run0' ELSE 'run1' END AS run_id,
+    count(*) AS input_rows,
+    count(*) FILTER (WHERE rejection_reason IS NULL) AS output_rows
+  FROM checked GROUP BY 1),
+  (VALUES ('check'), ('select'), ('publish'), ('aggregate'), ('warehouse'),
+    ('fingerprint'), ('state')) AS s(stage)"""
+_SQL["run_states"] = "SELECT event_date, count(*) AS rows FROM winners GROUP BY 1"
+_SQL["dead_letter_written"] = """
+SELECT ingest_date, rejection_reason, count(*) AS rows FROM checked
+WHERE rejection_reason IS NOT NULL GROUP BY 1, 2"""
+_SQL["one_partition"] = """
+SELECT content_id, count(*) AS events FROM ev
+WHERE event_date = DATE '2024-01-09' AND region = 'UK' GROUP BY 1"""
+_SQL["parquet_baseline"] = "SELECT event_date, count(*) AS events FROM ev GROUP BY 1"
+
 
 def statements() -> dict[str, str]:
     return {name: _with_parts(sql) for name, sql in _SQL.items()}

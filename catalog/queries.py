@@ -18,12 +18,20 @@ from viewlake.functions import (
 from viewlake.operators import dedup, enrich, keys, lateness, marts, quality, rollup
 from viewlake.operators import fingerprint as prints
 from viewlake.operators import validate
-from viewlake.plans import daily_run, formats, refresh, warehouse
+from viewlake.plans import daily_run, formats, references, refresh, warehouse
 from viewlake.plans.transform import check_events, transform
 from viewlake.plans.zones import Zones
 from viewlake.session import working_folder
-from viewlake.sinks import partition_report, write_partitioned
-from viewlake.sources import land_raw, testdata
+from viewlake.sinks import (
+    latest_state,
+    partition_report,
+    write_dead_letter,
+    write_parquet_baseline,
+    write_partitioned,
+)
+from viewlake.sources import land_raw, read_lake, read_partition, run_sql, testdata
+from viewlake.sources.paths import dates_frame
+from viewlake.sources.raw import read_reference_rows
 from viewlake.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +41,7 @@ QUERIES: dict[str, Query] = {}
 WEEK = (date(2024, 1, 1), date(2024, 1, 7))
 FORTNIGHT = (date(2024, 1, 10), date(2024, 1, 24))
 RUN_AT = datetime(2024, 2, 1)
+MIDDLE = date(2024, 1, 15)
 
 
 def query(function: Query) -> Query:
@@ -702,7 +711,7 @@ def stream_hourly_counts(spark, sf_dir):
     """All hours, those still open included, as in ``hourly_counts``."""
     events = testdata.map_events(events_stream(spark, sf_dir))
     base = working_folder(spark, "stream-hours")
-    return live.count_available(live.hourly_counts(events), f"{base}/state")
+    return live.count_into(events, f"{base}/counts", f"{base}/state")
 
 
 @query
@@ -716,6 +725,23 @@ def stream_unique_ids(spark, sf_dir):
     )
 
 
+@query
+def stream_outcomes(spark, sf_dir):
+    """Valid arrivals taken in as a stream in two goes, by what became of them: none is
+    missing. Rows of the second go that are over two days behind the first are late."""
+    base = working_folder(spark, "stream-outcomes")
+    raw, columns = testdata.raw_events(spark, sf_dir), ["event_id", "event_timestamp"]
+    schema = raw.select(columns).schema
+    for half in (F.col("ingest_date") <= MIDDLE, F.col("ingest_date") > MIDDLE):
+        arrived = validate.valid_rows(check_events(raw.where(half))).select(columns)
+        arrived.write.mode("append").parquet(f"{base}/arrived")
+        events = live.open_files(spark, f"{base}/arrived", schema)
+        done = live.dedup_available(events, base, 2 * 86_400)
+    outcomes = {"unique": done.unique, "duplicate": done.duplicates, "late": done.late}
+    named = [rows.withColumn("outcome", F.lit(name)) for name, rows in outcomes.items()]
+    return named[0].union(named[1]).union(named[2]).groupBy("outcome").agg(F.count("*").alias("events"))
+
+
 @query
 def stream_arrivals(spark, sf_dir):
     """Landed CSV files taken in as a stream, counted by outcome and arrival date."""
@@ -743,25 +769,28 @@ def stream_anomalies(spark, sf_dir):
 
 
 def land_reference(spark, sf_dir, zones):
-    for frame, path in (
-        (testdata.content_metadata(spark, sf_dir), zones.metadata),
-        (testdata.content_launch(spark, sf_dir), zones.launch),
-    ):
-        frame.write.option("header", True).csv(path)
+    replace_reference(
+        zones,
+        testdata.content_metadata(spark, sf_dir),
+        testdata.content_launch(spark, sf_dir),
+    )
+
 
+def replace_reference(zones, metadata, launch):
+    for frame, path in ((metadata, zones.metadata), (launch, zones.launch)):
+        frame.write.mode("overwrite").option("header", True).csv(path)
 
-def after_two_runs(spark, sf_dir, each=lambda zones: None) -> Zones:
+
+def after_two_runs(spark, sf_dir) -> Zones:
     """A lake after two runs, where late events of the second change days of the first."""
     zones = Zones(working_folder(spark, "lake"))
     land_reference(spark, sf_dir, zones)
     raw = testdata.raw_events(spark, sf_dir)
-    middle = F.lit(date(2024, 1, 15))
     for run, arrivals in enumerate(
-        (raw.where(F.col("ingest_date") <= middle), raw.where(F.col("ingest_date") > middle))
+        (raw.where(F.col("ingest_date") <= MIDDLE), raw.where(F.col("ingest_date") > MIDDLE))
     ):
         land_raw(arrivals, zones.raw_events)
         daily_run.run_incremental(spark, zones, f"run{run}", RUN_AT)
-        each(zones)
     return zones
 
 
@@ -771,16 +800,19 @@ def incremental_daily(spark, sf_dir):
     return spark.read.parquet(after_two_runs(spark, sf_dir).daily)
 
 
-@query
-def incremental_enriched(spark, sf_dir):
-    """The published events after two runs, with what the joins and measures add."""
-    published = spark.read.parquet(after_two_runs(spark, sf_dir).enriched)
-    return published.select(
+def published(spark, zones):
+    return spark.read.parquet(zones.enriched).select(
         "event_id", "ingest_date", "event_date", "title", "launch_status",
         "launch_delay_days", "watch_hours",
     )
 
 
+@query
+def incremental_enriched(spark, sf_dir):
+    """The published events after two runs, with what the joins and measures add."""
+    return published(spark, after_two_runs(spark, sf_dir))
+
+
 @query
 def incremental_duplicates(spark, sf_dir):
     """The superseded copies after two runs, whichever run brought them."""
@@ -788,21 +820,133 @@ def incremental_duplicates(spark, sf_dir):
     return set_aside.select(*testdata.EVENT_COLUMNS, "ingest_date")
 
 
+def after_new_references(spark, sf_dir):
+    """A lake whose titles change and whose missing launches arrive after its events;
+    the second run has nothing but that to do."""
+    zones = Zones(working_folder(spark, "restated"))
+    metadata = testdata.content_metadata(spark, sf_dir)
+    launch = testdata.content_launch(spark, sf_dir)
+    number = F.substring_index("content_id", "-", -1).cast("int")
+    old_title = F.when(number % 40 == 0, "working title").otherwise(F.col("title"))
+    replace_reference(
+        zones,
+        metadata.withColumn("title", old_title),
+        launch.where((number % 60 != 7) | (F.col("region") != "JP")),
+    )
+    land_raw(testdata.raw_events(spark, sf_dir), zones.raw_events)
+    daily_run.run_incremental(spark, zones, "first", RUN_AT)
+    replace_reference(zones, metadata, launch)
+    return zones, daily_run.run_incremental(spark, zones, "second", RUN_AT)
+
+
 @query
-def warehouse_tables(spark, sf_dir):
-    """The star read as SQL over the tables declared after each of two runs."""
+def incremental_restated(spark, sf_dir):
+    """The published events after new references: equal to a load with them."""
+    zones, _ = after_new_references(spark, sf_dir)
+    return published(spark, zones)
+
+
+@query
+def restated_dates(spark, sf_dir):
+    """The days a run rewrote because of new references, and no others."""
+    _, run = after_new_references(spark, sf_dir)
+    return dates_frame(spark, run.event_dates, "event_date")
+
 
-    def name(zones):
-        return f"star_{zones.base.rsplit('-', 1)[1]}"
+@query
+def reference_rejects(spark, sf_dir):
+    """Reference files with broken rows: which ones are set aside, and why."""
+    base = working_folder(spark, "broken-references")
+    quoted = lambda c: F.concat(F.lit('"'), F.coalesce(F.col(c), F.lit("")), F.lit('"'))
+    number = F.substring_index("content_id", "-", -1).cast("int")
+    found = []
+    for kind, rows, twice in (
+        (references.METADATA, testdata.content_metadata(spark, sf_dir), "title"),
+        (references.LAUNCH, testdata.content_launch(spark, sf_dir), None),
+    ):
+        names = kind.schema.fieldNames()
+        if twice:
+            again = rows.where(number % 50 == 13).withColumn(twice, F.lit(""))
+            rows = rows.unionByName(again)
+        else:
+            status = F.when(number % 40 == 3, "postponed").otherwise(F.col("launch_status"))
+            rows = rows.withColumn("launch_status", status)
+        short, whole, keyless = (
+            F.concat_ws(",", *map(quoted, c)) for c in (names[:2], names, names[1:])
+        )
+        line = F.when(number % 50 == 7, short).when(number % 50 == 9, F.concat(whole, F.lit(",x,y")))
+        line = line.when(number % 50 == 11, F.concat(F.lit(","), keyless))
+        path = f"{base}/{kind.name}"
+        lines = rows.select(line.otherwise(whole).alias("line"))
+        # Every file begins with the header; the lines are written as they are.
+        plain = {"header": True, "sep": "\u0001", "quote": "\u0002"}
+        lines.withColumnRenamed("line", ",".join(names)).write.options(**plain).csv(path)
+        checked = read_reference_rows(spark, kind.schema, path)
+        _, rejected = references.split_reference(checked, kind)
+        found.append(rejected.select(F.lit(kind.name).alias("reference"), "content_id", validate.REASON))
+    return found[0].union(found[1]).groupBy("reference", "content_id", validate.REASON).agg(F.count("*").alias("rows"))
 
-    def declare(zones):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name(zones)}")
-        refresh.declare_tables(spark, zones, name(zones))
 
-    star = name(after_two_runs(spark, sf_dir, declare))
+@query
+def warehouse_tables(spark, sf_dir):
+    """The star read as SQL over the tables that two runs have published: every view is
+    there, also those of contents that the metadata lacks."""
+    refresh.open_warehouse(spark, after_two_runs(spark, sf_dir))
     return spark.sql(
         "SELECT title, region_name, device_type, date_key, views, watch_hours,"
-        f" completed_views FROM {star}.fact_viewing JOIN {star}.dim_content"
-        f" USING (content_key) JOIN {star}.dim_region USING (region_key)"
-        f" JOIN {star}.dim_device USING (device_key)"
+        " completed_views FROM fact_viewing JOIN dim_content USING (content_key)"
+        " JOIN dim_region USING (region_key) JOIN dim_device USING (device_key)"
+        " JOIN dim_date USING (date_key)"
+    )
+
+
+@query
+def run_log(spark, sf_dir):
+    """What two runs say they checked, and how many runs finished each stage."""
+    log = spark.read.parquet(after_two_runs(spark, sf_dir).runs)
+    counts = F.when(F.col("stage") == "check", F.struct("input_rows", "output_rows"))
+    return log.select("run_id", "stage", "status", counts.alias("c")).select(
+        "run_id", "stage", "status", "c.input_rows", "c.output_rows"
+    )
+
+
+@query
+def run_states(spark, sf_dir):
+    """The rows of every day that the fingerprints of the latest runs vouch for."""
+    zones = after_two_runs(spark, sf_dir)
+    return latest_state(spark, zones.fingerprints).select("event_date", "rows")
+
+
+# Sinks and reads of the lake
+
+
+@query
+def dead_letter_written(spark, sf_dir):
+    """Rejected rows written by arrival date, the first fortnight once more."""
+    path = f"{working_folder(spark, 'dead-letter')}/rows"
+    rejected = validate.rejected_rows(checked(spark, sf_dir))
+    write_dead_letter(rejected, path)
+    write_dead_letter(rejected.where(F.col("ingest_date") <= MIDDLE), path)
+    kept = read_lake(spark, path)
+    return kept.groupBy("ingest_date", validate.REASON).agg(F.count("*").alias("rows"))
+
+
+@query
+def one_partition(spark, sf_dir):
+    """One day of one region of a written lake, by partition and as SQL over a view."""
+    path = f"{working_folder(spark, 'one-partition')}/viewing_events"
+    write_partitioned(clean(spark, sf_dir), path)
+    day = read_partition(spark, path, event_date=date(2024, 1, 9), region="UK")
+    return run_sql(
+        spark,
+        "SELECT content_id, count(*) AS events FROM {day} GROUP BY content_id",
+        day=day,
     )
+
+
+@query
+def parquet_baseline(spark, sf_dir):
+    """Events written as unpartitioned Parquet, counted by day."""
+    path = f"{working_folder(spark, 'baseline')}/events"
+    write_parquet_baseline(clean(spark, sf_dir), path)
+    return read_lake(spark, path).groupBy("event_date").agg(F.count("*").alias("events"))

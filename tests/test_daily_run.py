@@ -9,7 +9,7 @@ from viewlake.operators.fingerprint import (
     compare_fingerprints,
     fingerprint,
 )
-from viewlake.plans import daily_run, refresh, warehouse
+from viewlake.plans import daily_run, references, refresh, warehouse
 from viewlake.plans.zones import Zones
 from viewlake.sources import land_raw, testdata
 from viewlake.sources.paths import partition_paths
@@ -261,4 +261,5 @@ def test_a_content_that_becomes_known_restates_its_days(spark, make_events, tmp_
     assert rows_of(spark.read.parquet(zones.enriched), "event_id", "title") == [
         ("E0", "TM1"), ("E1", "TM2"), ("E2", "TM1"),
     ]
-    assert daily_run._dates_of_newly_known(spark, zones) == []
+    current = references.load_references(spark, zones)
+    assert references.dates_to_restate(spark, zones, current) == []

@@ -80,3 +80,26 @@ def test_percent_of_nothing_is_null(spark):
         fn.percent(F.col("a"), F.col("b")), fn.percent(F.col("a"), F.col("c"))
     ).first()
     assert tuple(row) == (None, 25.0)
+
+
+def test_sums_keep_small_and_large_values(spark):
+    def total(*values):
+        frame = spark.createDataFrame([(v,) for v in values], "v double")
+        return frame.repartition(3).agg(fn.exact_sum(F.col("v"))).first()[0]
+
+    assert total(0.0000004, 0.0000004, 0.0000004) == 0.0000012
+    assert total(1e13) == 1e13
+    assert total(1e13, 0.25, -1e13, 0.0000004, None) == 0.2500004
+    assert total(9e18, 9e18) == 1.8e19
+    assert total(1 / 3, 0.5, -7.25) == -6.4166666666666667
+    assert total(-0.5, -0.000001) == -0.500001
+    assert total(None) is None
+
+
+def test_sums_of_sums_are_the_sum(spark):
+    values = [0.1 * i if i % 3 else i / 7 for i in range(500)]
+    frame = spark.createDataFrame([(v, i % 10) for i, v in enumerate(values)], "v double, k int")
+    parts = frame.groupBy("k").agg(fn.exact_units(F.col("v")).alias("u"))
+    again = parts.agg(fn.from_units(F.sum("u"))).first()[0]
+    assert again == frame.agg(fn.exact_sum(F.col("v"))).first()[0]
+    assert abs(again - sum(values)) < 1e-9

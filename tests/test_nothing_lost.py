@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from viewlake.plans import daily_run
 from viewlake.plans.zones import Zones
+from viewlake.schemas import VIEWING_EVENTS
 from viewlake.sources import land_raw, testdata
 from viewlake.sources.raw import read_content_metadata, read_viewing_events
+from viewlake.streaming import open_raw_events, run_available
 
 
 def test_long_ids_stay_distinct(spark):
@@ -56,6 +58,21 @@ def test_events_come_back_as_landed(spark, make_events, tmp_path):
     assert rows_of(back) == rows_of(events)
 
 
+def test_stream_and_batch_read_the_same_rows(spark, make_events, tmp_path):
+    odd = ['a "b", c', "", "x\\", "\\\"y", "tab\there", "'"]
+    events = make_events(*({"event_id": f"E{n}", "customer_id": c} for n, c in enumerate(odd)))
+    land_raw(events, str(tmp_path / "raw"))
+    names = ",".join(VIEWING_EVENTS.fieldNames())
+    lines = [names, "E8,too,few", "E9" + ",x" * 12, 'E10,"q ""r"", s",M1' + "," * 7]
+    (tmp_path / "raw" / "ingest_date=2024-01-01" / "more.csv").write_text("\n".join(lines))
+    batch = read_viewing_events(spark, str(tmp_path / "raw"))
+    stream = run_available(
+        open_raw_events(spark, str(tmp_path / "raw")), str(tmp_path / "o"), str(tmp_path / "s")
+    )
+    assert rows_of(stream, *batch.columns) == rows_of(batch)
+    assert set(odd[:1] + odd[2:] + ['q "r", s']) <= {r[0] for r in rows_of(batch, "customer_id")}
+
+
 def test_rows_without_ingest_date_are_refused(make_events, tmp_path):
     events = make_events({"event_id": "E1"}).withColumn(
         "ingest_date", F.lit(None).cast("date")

@@ -1,3 +1,4 @@
+import pytest
 from catalog.queries import QUERIES
 from conftest import SMALL, rows_of
 from pyspark.sql import functions as F
@@ -9,10 +10,13 @@ from viewlake.operators.quality import anomaly_flags
 from viewlake.sources import land_raw, testdata
 from viewlake.streaming import (
     check_arrivals,
-    count_available,
+    count_into,
+    dedup_available,
     dedup_stream,
     hourly_counts,
+    open_files,
     open_raw_events,
+    read_counts,
     run_available,
 )
 
@@ -74,7 +78,7 @@ def test_streamed_hours_take_in_late_rows(spark, tmp_path, make_events):
         rows = make_events({"event_timestamp": time, "event_type": None})
         rows.write.mode("append").parquet(source)
         stream = spark.readStream.schema(rows.schema).parquet(source)
-        counted = count_available(hourly_counts(stream), state)
+        counted = count_into(stream, str(tmp_path / "counts"), state)
         batch = hourly_counts(spark.read.parquet(source))
         assert sorted(map(str, counted.collect())) == sorted(map(str, batch.collect()))
 
@@ -92,3 +96,73 @@ def test_anomaly_rules(make_events):
         ("fast", 1), ("long", 1), ("skip", 1),
     ]
     assert flags.where("is_anomaly IS NULL").count() == 0
+
+
+def write_batches(spark, make_events, source, *hours):
+    """A file for each batch, in order."""
+    for n, batch in enumerate(hours):
+        rows = make_events(*({"event_id": f"{n}-{i}", "event_timestamp": datetime(2024, 1, d, h)} for i, (d, h) in enumerate(batch)))
+        rows.coalesce(1).write.mode("append").parquet(source)
+    return rows.schema
+
+
+def as_text(frame):
+    return sorted(map(str, frame.collect()))
+
+
+def test_repeated_batches_and_restarts_count_once(spark, make_events, tmp_path, monkeypatch):
+    from viewlake.streaming import live
+
+    source, table, state = (str(tmp_path / n) for n in ("events", "counts", "state"))
+    schema = write_batches(spark, make_events, source, [(1, 10), (1, 11)], [(1, 10), (2, 5)], [(1, 23), (1, 10)])
+
+    def take(**how):
+        return count_into(open_files(spark, source, schema, **how), table, state)
+
+    # The second batch is written but its pointer is not; then the process ends.
+    real, calls = live.publish, []
+
+    def fail_once(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise OSError("gone")
+        return real(*args)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(live, "publish", fail_once)
+        with pytest.raises(Exception):
+            take(max_files=1)
+    counted = take(max_files=1)
+    batch = hourly_counts(spark.read.parquet(source))
+    assert as_text(counted) == as_text(batch)
+    # Spark forgets that the last batch was done and repeats it.
+    commits = sorted((tmp_path / "state" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for path in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        path.unlink(missing_ok=True)
+    assert as_text(take()) == as_text(batch)
+    assert not (tmp_path / "state" / "state").exists()  # nothing is kept between batches
+    # Rows long behind the others are counted as well.
+    write_batches(spark, make_events, source, [(1, 10)])
+    assert as_text(take()) == as_text(hourly_counts(spark.read.parquet(source)))
+    with pytest.raises(ValueError, match="another checkpoint"):
+        count_into(open_files(spark, source, schema), table, str(tmp_path / "fresh"))
+
+
+def test_every_row_is_kept_a_copy_or_late(spark, make_events, tmp_path):
+    source, base = str(tmp_path / "events"), str(tmp_path / "out")
+
+    def take(*rows):
+        made = make_events(*({"event_id": e, "event_timestamp": datetime(2024, 1, d, h)} for e, d, h in rows))
+        made.coalesce(1).write.mode("append").parquet(source)
+        return dedup_available(open_files(spark, source, made.schema), base, 86_400)
+
+    take(("a", 1, 1), ("a", 1, 2), ("b", 5, 0))
+    take(("a", 1, 3), ("b", 5, 1), ("c", 4, 1), ("d", 9, 0))
+    done = take(("e", 7, 23), ("f", 8, 1), ("f", 8, 2), ("c", 4, 1))
+    assert rows_of(done.late, "event_id") == [("a",), ("c",), ("e",)]
+    assert rows_of(done.unique, "event_id") == [("a",), ("b",), ("c",), ("d",), ("f",)]
+    assert rows_of(done.duplicates, "event_id") == [("a",), ("b",), ("f",)]
+    total = sum(rows.count() for rows in (done.unique, done.duplicates, done.late))
+    assert total == spark.read.parquet(source).count() == 11
+    assert done.unique.columns == done.duplicates.columns == done.late.columns
+    assert list((tmp_path / "out" / "state-unique" / "state").rglob("*.changelog"))

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+UNIQUE = "unique_key"
+
 STRATEGIES = ("auto", "merge", "shuffle_hash")
 
 
@@ -20,12 +22,25 @@ def _join(
 ) -> DataFrame:
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    reference = one_row_per_key(reference, keys)
+    if not is_declared_unique(reference, keys):
+        reference = one_row_per_key(reference, keys)
     if strategy != "auto":
         reference = reference.hint(strategy)
     return events.join(reference, list(keys), "left")
 
 
+def declare_unique(reference: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Note in the schema that a table has one row per key, so that a join need not
+    make sure of it. For tables that were checked when they were written."""
+    noted = {k: F.col(k).alias(k, metadata={UNIQUE: list(keys)}) for k in keys}
+    return reference.select(*(noted.get(c, F.col(c)) for c in reference.columns))
+
+
+def is_declared_unique(reference: DataFrame, keys: Sequence[str]) -> bool:
+    notes = [reference.schema[k].metadata.get(UNIQUE) for k in keys]
+    return all(note is not None and set(note) <= set(keys) for note in notes)
+
+
 def one_row_per_key(reference: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Of several rows for one key the greatest, so that a join multiplies no event."""
     others = [c for c in reference.columns if c not in keys]

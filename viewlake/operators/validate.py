@@ -20,8 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewlake.schemas import (
+    CORRUPT_RECORD,
     DEVICE_TYPES,
     EVENT_TYPES,
+    LAUNCH_STATUSES,
     REGIONS,
     SUBSCRIPTION_TYPES,
 )
@@ -88,6 +90,27 @@ def event_rules() -> list[Rule]:
     ]
 
 
+def well_formed_rule() -> Rule:
+    """Rows that had as many fields as the schema."""
+    return Rule(F.col(CORRUPT_RECORD).isNull(), F.lit("MALFORMED_ROW"))
+
+
+def metadata_rules() -> list[Rule]:
+    return [well_formed_rule(), required_rule("content_id")]
+
+
+def launch_rules() -> list[Rule]:
+    """Keys, and the domain of the status, which may be unknown yet."""
+    status = F.col("launch_status")
+    known = F.coalesce(status.isin(*LAUNCH_STATUSES), F.lit(True))
+    return [
+        well_formed_rule(),
+        required_rule("content_id"),
+        required_rule("region"),
+        Rule(known, F.concat(F.lit("INVALID_LAUNCH_STATUS="), status)),
+    ]
+
+
 def is_valid(rules: Iterable[Rule] | None = None) -> Column:
     """True for good rows, false or NULL for others."""
     return reduce(and_, (rule.holds for rule in rules or event_rules()))

@@ -12,8 +12,11 @@ event changes an old partition. A run therefore
    the changed ids are replaced.
 
 Rows of other ids cannot change, so the result equals a full recompute, and
-running a date again gives the same tables. Only step 3 reads history, and only
-the id column of it.
+running a date again gives the same tables. Step 3 finds the ingest and event dates of
+the ids in an index that is pruned to the folders they fall in; see ``id_index``.
+
+Days are also rewritten when the metadata or a launch of a content they hold has
+changed; see ``references``.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from viewlake.operators.dedup import keep_latest, superseded
 from viewlake.operators.fingerprint import compare_fingerprints, fingerprint
@@ -33,7 +37,14 @@ from viewlake.operators.lateness import backfill_range, parse_date_range
 from viewlake.operators.quality import counted
 from viewlake.operators.rollup import aggregate_daily
 from viewlake.operators.validate import REASON, is_valid
-from viewlake.plans.refresh import read_dimension, refresh_warehouse
+from viewlake.plans import id_index
+from viewlake.plans.references import (
+    References,
+    dates_to_restate,
+    load_references,
+    mark_published,
+)
+from viewlake.plans.refresh import refresh_warehouse
 from viewlake.plans.transform import check_events, enrich
 from viewlake.plans.zones import (
     Zones,
@@ -58,11 +69,7 @@ from viewlake.sources.paths import (
     drop_partitions,
     partition_dates,
 )
-from viewlake.sources.raw import (
-    read_content_launch,
-    read_content_metadata,
-    read_viewing_events,
-)
+from viewlake.sources.raw import read_viewing_events
 
 ID = "event_id"
 
@@ -117,8 +124,7 @@ def run_incremental(
         ingest_dates = pending_dates(spark, zones)
     result = RunResult(run_id, sorted(ingest_dates))
     try:
-        if result.ingest_dates:
-            _process(spark, zones, result, run_at)
+        _process(spark, zones, result, run_at)
     finally:
         if result.stages:
             metrics = stage_rows(spark, run_id, run_at, result.stages)
@@ -133,6 +139,16 @@ def _process(
     run_at: datetime,
 ) -> None:
     days = result.ingest_dates
+    references = None
+    if not days:
+        # Without arrivals there is something to do if a reference table changed.
+        if not partition_dates(spark, zones.processed, "ingest_date"):
+            return
+        references = load_references(spark, zones)
+        left = partition_dates(spark, zones.unfinished, "event_date")
+        if not left and not dates_to_restate(spark, zones, references):
+            mark_published(spark, zones, references)
+            return
     # Until the run is done its dates count as not processed.
     marks = [(d.isoformat(),) for d in days]
     drop_partitions(spark, zones.processed, ("ingest_date",), marks)
@@ -144,27 +160,33 @@ def _process(
     scratch = working_folder(spark, "changed-ids")
     try:
         with _stage(result, "select"):
+            reach = _note_arrivals(spark, zones, valid, days)
             if set(landed) <= set(days):
                 changed = None
                 rows, events = _everything(spark, zones, valid)
             else:
-                changed = _write_changed_ids(spark, zones, valid, days, scratch)
-                rows, events = _candidates(spark, zones, valid, days, changed)
+                changed = _write_changed_ids(spark, zones, valid, days, reach, scratch)
+                rows, events = _candidates(spark, zones, valid, days, reach, changed)
             # What a broken run has rewritten may not be found by its rows again.
             left = partition_dates(spark, zones.unfinished, "event_date")
-            restated = _dates_of_newly_known(spark, zones)
-            events = result.event_dates = sorted({*events, *left, *restated})
+            if partition_dates(spark, zones.daily, "event_date"):
+                references = references or load_references(spark, zones)
+                left += dates_to_restate(spark, zones, references)
+            events = result.event_dates = sorted({*events, *left})
             _note_unfinished(spark, zones, events)
         if events:
             with _stage(result, "publish") as stage:
+                references = references or load_references(spark, zones)
                 enriched, stage.output_rows = _publish(
-                    spark, zones, rows, changed, events
+                    spark, zones, rows, changed, events, references
                 )
     finally:
         drop_folder(spark, scratch)
     if events:
-        _follow_up(spark, zones, result, enriched, run_at)
+        _follow_up(spark, zones, result, enriched, references, run_at)
     with _stage(result, "state"):
+        if references is not None:
+            mark_published(spark, zones, references)
         done = dates_frame(spark, days, "ingest_date")
         write_partitioned(
             done.withColumn("run_id", F.lit(result.run_id)),
@@ -174,26 +196,44 @@ def _process(
         drop_folder(spark, zones.unfinished)
 
 
-def _dates_of_newly_known(spark: SparkSession, zones: Zones) -> list[date]:
-    """Event dates with published events of contents that the warehouse does not know
-    and the metadata now has.
+def _note_arrivals(
+    spark: SparkSession, zones: Zones, valid: DataFrame, days: list[date]
+) -> dict[date, set[date]]:
+    """Add the arrivals to the index of ids, and return the event dates that earlier
+    runs of the same ingest dates may have written to.
 
-    Rewriting a date joins all its events to the metadata of today, so the dates'
-    titles and fact keys follow. Without new contents nothing is read but ids.
+    The dates of this run are noted before its rows are published, so that a run that
+    breaks off is found as well.
     """
-    known = read_dimension(spark, zones, "dim_content")
-    columns = "content_id STRING, event_date DATE"
-    published = read_if_filled(spark, zones.enriched, "event_date", columns)
-    if known is None or published is None:
-        return []
-    metadata = read_content_metadata(spark, zones.metadata).select("content_id")
-    new = metadata.dropna().distinct().join(known, "content_id", "left_anti")
-    if new.isEmpty():
-        return []
-    # Counted down to content and date first, so a hot content is no hot key.
-    seen = published.select("content_id", "event_date").distinct()
-    dates = seen.join(new, "content_id", "left_semi").select("event_date").distinct()
-    return [row["event_date"] for row in dates.collect()]
+    arrivals = valid.select(ID, "ingest_date", "event_date")
+    is_built = id_index.is_built(spark, zones.id_index)
+    if is_built:
+        arrivals = _from_dates(arrivals, days)
+        id_index.add(arrivals, zones.id_index)
+    else:
+        # In a lake from before there was an index all rows have to be found.
+        id_index.build(arrivals, zones.id_index)
+    before = _reach(spark, zones, days)
+    reach = {day: set(dates) for day, dates in before.items()}
+    for row in arrivals.select("ingest_date", "event_date").distinct().collect():
+        reach.setdefault(row["ingest_date"], set()).add(row["event_date"])
+    if reach:
+        pairs = [(day, e) for day, dates in reach.items() for e in dates]
+        known = spark.createDataFrame(pairs, "ingest_date DATE, event_date DATE")
+        write_partitioned(known, zones.reach, ("ingest_date",))
+    return before if is_built else reach
+
+
+def _reach(
+    spark: SparkSession, zones: Zones, days: list[date]
+) -> dict[date, set[date]]:
+    columns = "event_date DATE, ingest_date DATE"
+    held = read_if_filled(spark, zones.reach, "ingest_date", columns)
+    reach: dict[date, set[date]] = {}
+    if held is not None:
+        for row in _from_dates(held, days).distinct().collect():
+            reach.setdefault(row["ingest_date"], set()).add(row["event_date"])
+    return reach
 
 
 def _note_unfinished(spark: SparkSession, zones: Zones, events: list[date]) -> None:
@@ -206,6 +246,7 @@ def _follow_up(
     zones: Zones,
     result: RunResult,
     enriched: DataFrame,
+    references: References,
     run_at: datetime,
 ) -> None:
     """Bring the aggregate, the warehouse and the fingerprints up to date."""
@@ -219,7 +260,15 @@ def _follow_up(
 
     def load_warehouse() -> None:
         with _stage(result, "warehouse"):
-            refresh_warehouse(spark, zones, touched, events, run_at)
+            refresh_warehouse(
+                spark,
+                zones,
+                touched,
+                events,
+                run_at,
+                references.metadata,
+                references.launch,
+            )
 
     def take_fingerprint() -> None:
         with _stage(result, "fingerprint"):
@@ -238,6 +287,9 @@ def _write_checked(
 ) -> tuple[DataFrame, int, int]:
     """Write arrivals by status and ingest date; returns the valid rows of all
     dates, and how many of these arrivals were read and valid."""
+    if not days:
+        schema = check_events(read_viewing_events(spark, zones.raw_events)).schema
+        return _valid(spark, zones, schema.add("status", "string")), 0, 0
     for status in ("valid", "rejected"):
         drop_partitions(
             spark,
@@ -251,14 +303,14 @@ def _write_checked(
         "status", F.when(is_valid(), "valid").otherwise("rejected")
     )
     write_partitioned(rows, zones.checked, ("status", "ingest_date"))
-    written = spark.read.schema(rows.schema).parquet(zones.checked)
-    valid = written.where(F.col("status") == "valid")
     counts = seen.get
-    return (
-        valid.drop("status", REASON, CORRUPT_RECORD),
-        counts["rows"],
-        counts["valid"],
-    )
+    return _valid(spark, zones, rows.schema), counts["rows"], counts["valid"]
+
+
+def _valid(spark: SparkSession, zones: Zones, schema: StructType) -> DataFrame:
+    written = spark.read.schema(schema).parquet(zones.checked)
+    valid = written.where(F.col("status") == "valid")
+    return valid.drop("status", REASON, CORRUPT_RECORD)
 
 
 def _from_dates(rows: DataFrame, days: Iterable[date]) -> DataFrame:
@@ -266,22 +318,39 @@ def _from_dates(rows: DataFrame, days: Iterable[date]) -> DataFrame:
 
 
 def _published_from(
-    spark: SparkSession, zones: Zones, days: list[date]
+    spark: SparkSession, zones: Zones, days: list[date], reach: dict[date, set[date]]
 ) -> list[DataFrame]:
-    """Places of the rows published or set aside earlier from the ingest dates."""
+    """Places of the rows published or set aside earlier from the ingest dates.
+
+    Only event dates that the ingest dates reach are read, so nothing is for dates
+    that are new.
+    """
+    dates = {e for d in days for e in reach.get(d, ())}
+    if not dates:
+        return []
     tables = (
         read_if_filled(spark, path, "event_date", PLACES)
         for path in (zones.enriched, zones.duplicates)
     )
     columns = [c.split()[0] for c in PLACES.split(", ")]
-    return [_from_dates(t.select(columns), days) for t in tables if t is not None]
+    touched = F.col("event_date").isin(sorted(dates))
+    return [
+        _from_dates(t.where(touched).select(columns), days)
+        for t in tables
+        if t is not None
+    ]
 
 
 def _write_changed_ids(
-    spark: SparkSession, zones: Zones, valid: DataFrame, days: list[date], scratch: str
+    spark: SparkSession,
+    zones: Zones,
+    valid: DataFrame,
+    days: list[date],
+    reach: dict[date, set[date]],
+    scratch: str,
 ) -> DataFrame:
     ids = _from_dates(valid, days).select(ID)
-    for rows in _published_from(spark, zones, days):
+    for rows in _published_from(spark, zones, days, reach):
         ids = ids.unionByName(rows.select(ID))
     ids.distinct().write.parquet(scratch)
     return spark.read.schema(ids.schema).parquet(scratch)
@@ -302,20 +371,19 @@ def _candidates(
     zones: Zones,
     valid: DataFrame,
     days: list[date],
+    reach: dict[date, set[date]],
     changed: DataFrame,
 ) -> tuple[DataFrame, list[date]]:
     """All valid rows with a changed id, and every event date concerned.
 
-    The ids are looked up with three narrow columns first; full rows are then
-    read only from the ingest dates that hold any.
+    The index names the dates that may hold the ids; full rows are then read only from
+    those ingest dates, and their ids are compared.
     """
-    places = valid.select(ID, "ingest_date", "event_date").join(
-        changed, ID, "left_semi"
-    )
-    for rows in _published_from(spark, zones, days):
-        places = places.unionByName(rows)
+    places = id_index.places_of(changed, zones.id_index)
+    for rows in _published_from(spark, zones, days, reach):
+        places = places.unionByName(rows.select("ingest_date", "event_date"))
     # Date pairs: their number grows with the days kept, not with the rows.
-    found = places.select("ingest_date", "event_date").distinct().collect()
+    found = places.distinct().collect()
     arrived = {r["ingest_date"] for r in found}
     rows = _from_dates(valid, arrived).join(changed, ID, "left_semi")
     return rows, sorted({r["event_date"] for r in found})
@@ -327,6 +395,7 @@ def _publish(
     rows: DataFrame,
     changed: DataFrame | None,
     events: list[date],
+    references: References,
 ) -> tuple[DataFrame, int]:
     """Rewrite the enriched rows and the duplicates of the event dates; returns the
     enriched table and the rows written.
@@ -346,11 +415,7 @@ def _publish(
     winners = with_kept(zones.enriched, keep_latest(rows, [ID]))
     losers = with_kept(zones.duplicates, superseded(rows, [ID]))
     texts = _texts(events)
-    enriched = enrich(
-        winners,
-        read_content_metadata(spark, zones.metadata),
-        read_content_launch(spark, zones.launch),
-    )
+    enriched = enrich(winners, references.metadata, references.launch)
     side_by_side(
         lambda: replace_partitions(losers, zones.duplicates, ("event_date",), texts),
         lambda: replace_partitions(enriched, zones.enriched, PARTITION_KEYS, texts),

@@ -1,26 +1,41 @@
-"""Bring the written warehouse up to date after event dates were rewritten."""
+"""The written warehouse: versions of its tables, published together.
+
+A run writes every table that changes as a new version next to the ones being read, the
+fact only in the days that were rewritten. Then it publishes one pointer that names the
+version of each table and of each day of the fact. Readers start from a pointer: they see
+all tables as of one run, and what they began to read stays until two runs later.
+
+Dimensions are written with their rows for unknown members, so a join in SQL keeps every
+view. ``open_warehouse`` names the tables of a pointer as views of a session; a lake with
+a database in its zones has them declared there after every run.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from viewlake.operators.fingerprint import fingerprint
 from viewlake.plans import warehouse
-from viewlake.plans.zones import (
-    Zones,
-    read_if_filled,
-    replace_partitions,
-    side_by_side,
-)
+from viewlake.plans.zones import Zones, side_by_side
 from viewlake.schemas import FACT_VIEWING
-from viewlake.sources.paths import drop_partitions, exists, partition_paths
+from viewlake.sinks.versions import (
+    Pointer,
+    drop_versions,
+    kept_pointers,
+    newest_pointer,
+    newest_version,
+    publish,
+    version_path,
+)
+from viewlake.sources.paths import drop_partitions, partition_paths
 from viewlake.sources.raw import read_content_launch, read_content_metadata
 
 DIMENSIONS = ("dim_date", "dim_region", "dim_device", "dim_content")
+FACT = "fact_viewing"
 UNKNOWN_LABELS = {
     "dim_content": ("content_key", "content_id"),
     "dim_region": ("region_key", "region_code"),
@@ -28,81 +43,158 @@ UNKNOWN_LABELS = {
 }
 
 
-def _newest(spark: SparkSession, base: str) -> int:
-    """Number of the newest complete version of a table, 0 when there is none."""
-    versions = [int(v) for (v,) in partition_paths(spark, base, "version")]
-    done = [v for v in versions if exists(spark, f"{base}/version={v}/_SUCCESS")]
-    return max(done, default=0)
+def _base(zones: Zones, name: str) -> str:
+    return f"{zones.warehouse}/{name}"
+
 
+# Reading
 
-def read_dimension(spark: SparkSession, zones: Zones, name: str) -> DataFrame | None:
-    """The newest complete version of a small warehouse table."""
-    base = f"{zones.warehouse}/{name}"
-    version = _newest(spark, base)
+
+def read_dimension(
+    spark: SparkSession, zones: Zones, name: str, pointer: Pointer | None = None
+) -> DataFrame | None:
+    """A small warehouse table as published, or its newest complete version while
+    nothing has been published."""
+    pointer = pointer or newest_pointer(spark, zones.warehouse)
+    if pointer is not None:
+        version = pointer.content["tables"].get(name, 0)
+    else:
+        version = newest_version(spark, _base(zones, name))
     if not version:
         return None
     schema, _ = warehouse.TABLES[name]
-    return spark.read.schema(schema).parquet(f"{base}/version={version}")
+    return spark.read.schema(schema).parquet(version_path(_base(zones, name), version))
 
 
-def write_dimension(rows: DataFrame, zones: Zones, name: str) -> None:
-    """Write the next version next to the one that is being read, if rows changed.
+def read_dimensions(
+    spark: SparkSession, zones: Zones, unknown: bool = True
+) -> dict[str, DataFrame]:
+    """All dimensions, with their rows for unknown members unless told otherwise."""
+    tables = {}
+    for name in DIMENSIONS:
+        rows = read_dimension(spark, zones, name)
+        if rows is not None:
+            tables[name] = rows if unknown else _members(rows, name)
+    return tables
 
-    The version before stays for readers that have begun; older ones are removed.
-    """
-    spark, base = rows.sparkSession, f"{zones.warehouse}/{name}"
-    version = _newest(spark, base) + 1
-    before = read_dimension(spark, zones, name)
-    if before is not None and _contents(before) == _contents(rows):
-        return
-    rows.write.mode("overwrite").parquet(f"{base}/version={version}")
-    older = [(v,) for (v,) in partition_paths(spark, base, "version") if int(v) < version - 1]
-    drop_partitions(spark, base, ("version",), older)
 
+def _members(rows: DataFrame, name: str) -> DataFrame:
+    if name not in UNKNOWN_LABELS:
+        return rows
+    return rows.where(F.col(UNKNOWN_LABELS[name][0]) != warehouse.UNKNOWN_KEY)
 
-def _contents(rows: DataFrame) -> tuple:
-    return tuple(fingerprint(rows, []).first())
+
+def read_fact(
+    spark: SparkSession, zones: Zones, pointer: Pointer | None = None
+) -> DataFrame | None:
+    """The fact as published, each day in its version, None before the first run."""
+    pointer = pointer or newest_pointer(spark, zones.warehouse)
+    if pointer is None:
+        return None
+    days = pointer.content["days"]
+    schema = f"{FACT_VIEWING.toDDL()}, version INT"
+    rows = spark.read.schema(schema).parquet(_base(zones, FACT)) if days else None
+    if rows is None:
+        return warehouse.empty_table(spark, FACT)
+    return rows.where(_published_days(days)).drop("version")
+
+
+def _published_days(days: dict[str, int]) -> str:
+    """A condition on the partition columns alone, so that other folders are pruned."""
+    by_version: dict[int, list[str]] = {}
+    for key, version in sorted(days.items()):
+        by_version.setdefault(version, []).append(key)
+    return " OR ".join(
+        f"(version = {version} AND date_key IN ({', '.join(keys)}))"
+        for version, keys in sorted(by_version.items())
+    )
+
+
+def open_warehouse(spark: SparkSession, zones: Zones) -> int:
+    """Name the six tables as views of this session, all as of the newest run, and
+    return the number of its pointer."""
+    pointer = newest_pointer(spark, zones.warehouse)
+    if pointer is None:
+        raise LookupError("no run has published a warehouse yet")
+    for name in warehouse.TABLES:
+        if name == FACT:
+            rows = read_fact(spark, zones, pointer)
+        else:
+            rows = read_dimension(spark, zones, name, pointer)
+        if rows is None:
+            rows = warehouse.empty_table(spark, name)
+        rows.createOrReplaceTempView(name)
+    return pointer.number
 
 
 def declare_tables(spark: SparkSession, zones: Zones, database: str = "default") -> None:
-    """Declare the six tables over what is written, or bring them up to date.
+    """Declare the six tables as views over what the newest run has published.
 
-    A table that has versions points at the newest one; the fact's partitions are
-    those on disk. To be called again after each run.
+    A run does this itself where ``zones.database`` is set. Each view is replaced as a
+    whole and names folders that stay until two runs later.
     """
-    for name, (schema, partitions) in warehouse.TABLES.items():
-        base, table = f"{zones.warehouse}/{name}", f"{database}.{name}"
-        if partitions:
-            place, by = base, f" PARTITIONED BY ({', '.join(partitions)})"
-        else:
-            place, by = f"{base}/version={_newest(spark, base)}", ""
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({schema.toDDL()})"
-            f" USING parquet{by} LOCATION '{place}'"
-        )
-        if partitions:
-            spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    pointer = newest_pointer(spark, zones.warehouse)
+    if pointer is None:
+        return
+    for name, (schema, _) in warehouse.TABLES.items():
+        columns = ", ".join(schema.fieldNames())
+        base, chosen = _base(zones, name), "false"
+        if name == FACT:
+            chosen = _published_days(pointer.content["days"]) or "false"
+        elif name in pointer.content["tables"]:
+            base, chosen = version_path(base, pointer.content["tables"][name]), "true"
+        if chosen == "false":
+            source = _typed_nothing(name)
         else:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
-        spark.catalog.refreshTable(table)
+            source = f"SELECT {columns} FROM parquet.`{base}` WHERE {chosen}"
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {source}")
 
 
-def read_dimensions(
-    spark: SparkSession, zones: Zones, unknown: bool = True
-) -> dict[str, DataFrame]:
-    """All dimensions, with their rows for unknown members unless told otherwise."""
-    tables = {}
-    for name in DIMENSIONS:
-        rows = read_dimension(spark, zones, name)
-        if rows is not None and unknown and name in UNKNOWN_LABELS:
-            rows = warehouse.with_unknown(rows, *UNKNOWN_LABELS[name])
-        if rows is not None:
-            tables[name] = rows
-    return tables
+def _typed_nothing(name: str) -> str:
+    schema, _ = warehouse.TABLES[name]
+    columns = ", ".join(
+        f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schema
+    )
+    return f"SELECT {columns} WHERE false"
+
+
+# Writing
+
+
+def write_dimension(rows: DataFrame, zones: Zones, name: str) -> int:
+    """Write the next version next to the one that is being read, if rows changed, and
+    return the version that holds the rows.
+
+    The version before stays for readers that have begun; older ones are removed.
+    """
+    spark, base = rows.sparkSession, _base(zones, name)
+    before = newest_version(spark, base)
+    if before:
+        schema, _ = warehouse.TABLES[name]
+        held = spark.read.schema(schema).parquet(version_path(base, before))
+        if _contents(held) == _contents(rows):
+            return before
+    version = before + 1
+    rows.write.mode("overwrite").parquet(version_path(base, version))
+    named = {p.content["tables"].get(name) for p in kept_pointers(spark, zones.warehouse)}
+    drop_versions(spark, base, version - 1, named)
+    return version
+
 
+def _contents(rows: DataFrame) -> tuple:
+    return tuple(fingerprint(rows, []).first())
 
-def read_fact(spark: SparkSession, zones: Zones) -> DataFrame:
-    return spark.read.schema(FACT_VIEWING).parquet(f"{zones.warehouse}/fact_viewing")
+
+def _write_fact(rows: DataFrame, zones: Zones, version: int) -> set[str]:
+    """Write days of the fact as a version and return those that have rows."""
+    path = version_path(_base(zones, FACT), version)
+    (
+        rows.hint("rebalance", "date_key")
+        .write.mode("overwrite")
+        .partitionBy("date_key")
+        .parquet(path)
+    )
+    return {key for (key,) in partition_paths(rows.sparkSession, path, "date_key")}
 
 
 def refresh_warehouse(
@@ -111,42 +203,77 @@ def refresh_warehouse(
     events: DataFrame,
     event_dates: Sequence[date],
     run_at: datetime,
+    metadata: DataFrame | None = None,
+    launch: DataFrame | None = None,
 ) -> None:
-    """Extend the dimensions and replace the fact of the given event dates.
+    """Extend the dimensions, write the fact of the given event dates and publish.
 
-    ``events`` are all published events of those dates, so their fact partitions
-    are replaced as a whole and a rerun leaves no trace.
+    ``events`` are all published events of those dates, so their days are replaced as a
+    whole and a rerun leaves no trace. What a broken run wrote is not in a pointer and
+    is written over.
     """
-    metadata = read_content_metadata(spark, zones.metadata)
+    if metadata is None:
+        metadata = read_content_metadata(spark, zones.metadata)
+    if launch is None:
+        launch = read_content_launch(spark, zones.launch)
+    pointer = newest_pointer(spark, zones.warehouse)
     existing = read_dimensions(spark, zones, unknown=False)
     fresh = warehouse.load_dimensions(spark, events, metadata, run_at, existing)
-    changing = {
-        name: rows
-        for name, rows in fresh.items()
-        if name not in ("dim_date", "dim_region") or name not in existing
-    }
+    tables = dict(pointer.content["tables"]) if pointer else {}
+
+    def write(name: str, rows: DataFrame) -> None:
+        if name in UNKNOWN_LABELS:
+            rows = warehouse.with_unknown(rows, *UNKNOWN_LABELS[name])
+        tables[name] = write_dimension(rows, zones, name)
+
     side_by_side(
-        *(partial(write_dimension, rows, zones, n) for n, rows in changing.items())
-    )
-    known = read_dimensions(spark, zones, unknown=False)
-    launches = warehouse.fact_content_launch(
-        read_content_launch(spark, zones.launch), known
+        *(
+            lambda n=name, r=rows: write(n, r)
+            for name, rows in fresh.items()
+            if name not in ("dim_date", "dim_region") or name not in existing
+        )
     )
+    known = {
+        name: _members(
+            spark.read.schema(warehouse.TABLES[name][0]).parquet(
+                version_path(_base(zones, name), tables[name])
+            ),
+            name,
+        )
+        for name in DIMENSIONS
+    }
+    version = pointer.number + 1 if pointer else 1
+    keys = {d.strftime("%Y%m%d") for d in event_dates}
+    days = dict(pointer.content["days"]) if pointer else {}
+
+    def write_fact() -> None:
+        written = _write_fact(warehouse.fact_viewing(events, known), zones, version)
+        for key in keys - written:
+            days.pop(key, None)
+        days.update(dict.fromkeys(written, version))
+
     side_by_side(
-        lambda: replace_partitions(
-            warehouse.fact_viewing(events, known),
-            f"{zones.warehouse}/fact_viewing",
-            ("date_key",),
-            {d.strftime("%Y%m%d") for d in event_dates},
-        ),
-        lambda: write_dimension(launches, zones, "fact_content_launch"),
+        write_fact,
+        lambda: write("fact_content_launch", warehouse.fact_content_launch(launch, known)),
     )
+    publish(spark, zones.warehouse, {"tables": tables, "days": days})
+    _drop_unnamed_days(spark, zones)
+    if zones.database:
+        declare_tables(spark, zones, zones.database)
+
+
+def _drop_unnamed_days(spark: SparkSession, zones: Zones) -> None:
+    """Remove the days of the fact that no kept pointer names."""
+    kept = kept_pointers(spark, zones.warehouse)
+    named = {(str(v), d) for p in kept for d, v in p.content["days"].items()}
+    base = _base(zones, FACT)
+    held = partition_paths(spark, base, "version", "date_key")
+    drop_partitions(spark, base, ("version", "date_key"), set(held) - named)
 
 
 def verify(spark: SparkSession, zones: Zones) -> DataFrame | None:
-    fact = read_if_filled(
-        spark, f"{zones.warehouse}/fact_viewing", "date_key", FACT_VIEWING
-    )
+    """The checks on exactly the tables that SQL reads."""
+    fact = read_fact(spark, zones)
     if fact is None:
         return None
     return warehouse.verify_warehouse(fact, read_dimensions(spark, zones))

@@ -15,9 +15,10 @@ from viewlake.sources.paths import drop_partitions, exists, one_file, partition_
 
 @dataclass(frozen=True)
 class Zones:
-    """Paths under one base folder."""
+    """Paths under one base folder; ``database`` is where runs declare the warehouse."""
 
     base: str
+    database: str | None = None
 
     @property
     def raw_events(self) -> str:
@@ -62,6 +63,25 @@ class Zones:
         """Event dates that a run is rewriting; left over if it broke off."""
         return f"{self.base}/state/unfinished"
 
+    @property
+    def id_index(self) -> str:
+        """Where copies of an id may be; see ``plans.id_index``."""
+        return f"{self.base}/state/id_index"
+
+    @property
+    def reach(self) -> str:
+        """The event dates that arrivals of each ingest date fell on."""
+        return f"{self.base}/state/reach"
+
+    @property
+    def references(self) -> str:
+        """Versions of the reference tables, and a pointer to those published."""
+        return f"{self.base}/state/references"
+
+    @property
+    def reference_rejects(self) -> str:
+        return f"{self.base}/rejected/references"
+
     @property
     def fingerprints(self) -> str:
         return f"{self.base}/state/fingerprints"

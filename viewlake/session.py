@@ -8,7 +8,16 @@ from functools import cache
 
 from pyspark.sql import SparkSession
 
+# Streams keep state in RocksDB and checkpoint its changes.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 SETTINGS = {
+    **STATE_SETTINGS,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -100,3 +100,45 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a working folder of a finished run."""
     fs, hadoop = _path(spark, path)
     fs.delete(hadoop, True)
+
+
+def move_folder(spark: SparkSession, path: str, into: str) -> None:
+    """Move a folder under another, which is made if need be."""
+    fs, source = _path(spark, path)
+    _, target = _path(spark, f"{into}/{source.getName()}")
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(source, target):
+        raise OSError(f"could not be moved: {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, such as a pointer."""
+    fs, hadoop = _path(spark, path)
+    stream = fs.open(hadoop)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that nobody sees before it is whole: it gets its name by a
+    rename. A name that is taken already is refused."""
+    fs, target = _path(spark, path)
+    if fs.exists(target):
+        raise FileExistsError(f"published already: {path}")
+    _, hidden = _path(spark, f"{path.rsplit('/', 1)[0]}/.{path.rsplit('/', 1)[1]}")
+    stream = fs.create(hidden, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(hidden, target):
+        raise OSError(f"could not be published: {path}")
+
+
+def numbered_files(spark: SparkSession, folder: str, prefix: str, suffix: str) -> list[int]:
+    """Numbers of the files named ``prefix``, a number and ``suffix``, ascending."""
+    fs, hadoop = _path(spark, f"{folder}/{prefix}*{suffix}")
+    names = [s.getPath().getName() for s in fs.globStatus(hadoop) or []]
+    return sorted(int(n[len(prefix) : -len(suffix)]) for n in names)

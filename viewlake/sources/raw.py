@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import date
 
@@ -15,12 +16,20 @@ from viewlake.schemas import (
     CORRUPT_RECORD,
     VIEWING_EVENTS,
 )
-from viewlake.sources.paths import partition_dates
+from viewlake.sources.paths import (
+    drop_folder,
+    move_folder,
+    partition_dates,
+    partition_paths,
+)
 
 # Seconds with an optional fraction, then the zone offset.
 READ_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX"
 WRITE_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
+# Fixed value: the folder of rows whose partition column is NULL.
+NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 # RFC 4180: a header, quotes doubled inside quoted fields.
 CSV_TEXT = {"header": True, "quote": '"', "escape": '"'}
 
@@ -36,6 +45,17 @@ def raw_events_schema() -> StructType:
     )
 
 
+def raw_events_options() -> dict[str, object]:
+    """How landed events are read, by a batch and by a stream."""
+    return {
+        **CSV_TEXT,
+        "enforceSchema": False,
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT_RECORD,
+        "timestampFormat": READ_TIMESTAMP,
+    }
+
+
 def read_viewing_events(
     spark: SparkSession,
     base: str,
@@ -49,11 +69,7 @@ def read_viewing_events(
     """
     events = (
         spark.read.schema(raw_events_schema())
-        .options(**CSV_TEXT)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-        .option("timestampFormat", READ_TIMESTAMP)
+        .options(**raw_events_options())
         .csv(base)
     )
     if ingest_dates is None:
@@ -62,38 +78,62 @@ def read_viewing_events(
 
 
 def read_content_metadata(spark: SparkSession, path: str) -> DataFrame:
-    return _read_reference(spark, CONTENT_METADATA, path)
+    """Rows that fit the schema; ``plans.references`` sets the others aside."""
+    return _fitting(read_reference_rows(spark, CONTENT_METADATA, path))
 
 
 def read_content_launch(spark: SparkSession, path: str) -> DataFrame:
-    return _read_reference(spark, CONTENT_LAUNCH, path)
+    return _fitting(read_reference_rows(spark, CONTENT_LAUNCH, path))
+
+
+def _fitting(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col(CORRUPT_RECORD).isNull()).drop(CORRUPT_RECORD)
 
 
-def _read_reference(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
-    """A reference table; its header must have the schema's columns in order."""
-    reader = spark.read.schema(schema).options(**CSV_TEXT)
-    return reader.option("enforceSchema", False).csv(path)
+def read_reference_rows(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
+    """All rows of a reference table; its header must have the schema's columns in order.
+
+    The text of a row with too few or too many fields is in ``_corrupt_record``. All
+    columns are parsed, as a row is only found short if its last field is asked for.
+    """
+    fields = StructType([*schema.fields, StructField(CORRUPT_RECORD, StringType())])
+    return (
+        spark.read.schema(fields)
+        .options(**CSV_TEXT)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
+        .option("columnPruning", False)
+        .csv(path)
+    )
 
 
 def land_raw(events: DataFrame, base: str) -> list[date]:
     """Write events under their ``ingest_date`` and return the dates landed.
 
-    Raw data is immutable: a date that has already landed is refused before
-    anything is written.
+    Raw data is immutable: a date that has already landed is refused. The rows are
+    computed once, into a folder next to the raw zone, and the folders of their dates
+    are then moved into place; before that nothing of them is seen.
     """
     spark = events.sparkSession
-    days = [r[0] for r in events.select("ingest_date").distinct().collect()]
-    if None in days:
-        raise ValueError("rows without an ingest_date cannot be landed")
-    taken = sorted(set(days) & set(partition_dates(spark, base, "ingest_date")))
-    if taken:
-        raise FileExistsError(f"already landed: {[d.isoformat() for d in taken]}")
-    (
-        events.hint("rebalance", "ingest_date")
-        .write.mode("append")
-        .partitionBy("ingest_date")
-        .options(**CSV_TEXT)
-        .option("timestampFormat", WRITE_TIMESTAMP)
-        .csv(base)
-    )
+    staged = f"{base.rstrip('/')}-landing-{uuid.uuid4().hex[:12]}"
+    try:
+        (
+            events.hint("rebalance", "ingest_date")
+            .write.partitionBy("ingest_date")
+            .options(**CSV_TEXT)
+            .option("timestampFormat", WRITE_TIMESTAMP)
+            .csv(staged)
+        )
+        texts = [text for (text,) in partition_paths(spark, staged, "ingest_date")]
+        if NO_PARTITION in texts:
+            raise ValueError("rows without an ingest_date cannot be landed")
+        days = partition_dates(spark, staged, "ingest_date")
+        taken = sorted(set(days) & set(partition_dates(spark, base, "ingest_date")))
+        if taken:
+            raise FileExistsError(f"already landed: {[d.isoformat() for d in taken]}")
+        for text in texts:
+            move_folder(spark, f"{staged}/ingest_date={text}", base)
+    finally:
+        drop_folder(spark, staged)
     return sorted(days)

@@ -1,19 +1,27 @@
 from viewlake.streaming.live import (
     check_arrivals,
-    count_available,
+    Deduplicated,
+    count_into,
+    dedup_available,
     dedup_stream,
     hourly_counts,
     open_files,
     open_raw_events,
+    read_counts,
     run_available,
+    split_late,
 )
 
 __all__ = [
+    "Deduplicated",
     "check_arrivals",
-    "count_available",
+    "count_into",
+    "dedup_available",
     "dedup_stream",
     "hourly_counts",
     "open_files",
     "open_raw_events",
+    "read_counts",
     "run_available",
+    "split_late",
 ]
