@@ -612,13 +612,14 @@ FROM winners w LEFT JOIN meta USING (content_id)
 LEFT JOIN launches l ON w.content_id = l.content_id AND w.region = l.region"""
 _SQL["incremental_duplicates"] = f"SELECT {COLUMNS} FROM ranked WHERE place > 1"
 
-_SQL["incremental_restated"] = _SQL["incremental_enriched"]
-_SQL["restated_dates"] = """
-SELECT DISTINCT event_date FROM winners
-WHERE content_id IN (SELECT content_id FROM meta)
-    AND CAST(substr(content_id, 6) AS INTEGER) % 40 = 0
-  OR content_id IN (SELECT content_id FROM launches) AND region = 'JP'
-    AND CAST(substr(content_id, 6) AS INTEGER) % 60 = 7"""
+_SQL["incremental_restated"] = f"""
+SELECT *, event_date IN (
+  SELECT event_date FROM winners
+  WHERE content_id IN (SELECT content_id FROM meta)
+      AND CAST(substr(content_id, 6) AS INTEGER) % 40 = 0
+    OR content_id IN (SELECT content_id FROM launches) AND region = 'JP'
+      AND CAST(substr(content_id, 6) AS INTEGER) % 60 = 7) AS restated
+FROM ({_SQL['incremental_enriched']})"""
 _SQL["reference_rejects"] = """
 SELECT reference, content_id, rejection_reason, count(*) AS rows FROM (
   SELECT 'content_metadata' AS reference, CASE WHEN n % 50 <> 11 THEN content_id END AS content_id,
@@ -642,16 +643,11 @@ SELECT outcome, count(*) AS events FROM (
     FROM checked WHERE rejection_reason IS NULL))
 GROUP BY 1"""
 _SQL["run_log"] = """
-SELECT run_id, stage, 'success' AS status,
-  CASE WHEN stage = 'check' THEN input_rows END AS input_rows,
-  CASE WHEN stage = 'check' THEN output_rows END AS output_rows
-FROM (SELECT CASE WHEN ingest_date <= DATE '2024-01-15' THEN 'run0' ELSE 'run1' END AS run_id,
-    count(*) AS input_rows,
-    count(*) FILTER (WHERE rejection_reason IS NULL) AS output_rows
-  FROM checked GROUP BY 1),
-  (VALUES ('check'), ('select'), ('publish'), ('aggregate'), ('warehouse'),
-    ('fingerprint'), ('state')) AS s(stage)"""
-_SQL["run_states"] = "SELECT event_date, count(*) AS rows FROM winners GROUP BY 1"
+SELECT CASE WHEN ingest_date <= DATE '2024-01-15' THEN 'run0' ELSE 'run1' END AS run_id,
+  count(*) AS input_rows,
+  count(*) FILTER (WHERE rejection_reason IS NULL) AS output_rows, 7::BIGINT AS stages
+FROM checked GROUP BY 1
+UNION ALL SELECT 'latest', NULL, (SELECT count(*) FROM winners), NULL"""
 _SQL["dead_letter_written"] = """
 SELECT ingest_date, rejection_reason, count(*) AS rows FROM checked
 WHERE rejection_reason IS NOT NULL GROUP BY 1, 2"""

@@ -30,7 +30,6 @@ from viewlake.sinks import (
     write_partitioned,
 )
 from viewlake.sources import land_raw, read_lake, read_partition, run_sql, testdata
-from viewlake.sources.paths import dates_frame
 from viewlake.sources.raw import read_reference_rows
 from viewlake.streaming import live
 
@@ -841,16 +840,11 @@ def after_new_references(spark, sf_dir):
 
 @query
 def incremental_restated(spark, sf_dir):
-    """The published events after new references: equal to a load with them."""
-    zones, _ = after_new_references(spark, sf_dir)
-    return published(spark, zones)
-
-
-@query
-def restated_dates(spark, sf_dir):
-    """The days a run rewrote because of new references, and no others."""
-    _, run = after_new_references(spark, sf_dir)
-    return dates_frame(spark, run.event_dates, "event_date")
+    """The published events after new references, equal to a load with them, and which
+    of them stand on days that were rewritten."""
+    zones, run = after_new_references(spark, sf_dir)
+    restated = F.col("event_date").isin(run.event_dates).alias("restated")
+    return published(spark, zones).select("*", restated)
 
 
 @query
@@ -902,19 +896,20 @@ def warehouse_tables(spark, sf_dir):
 
 @query
 def run_log(spark, sf_dir):
-    """What two runs say they checked, and how many runs finished each stage."""
-    log = spark.read.parquet(after_two_runs(spark, sf_dir).runs)
-    counts = F.when(F.col("stage") == "check", F.struct("input_rows", "output_rows"))
-    return log.select("run_id", "stage", "status", counts.alias("c")).select(
-        "run_id", "stage", "status", "c.input_rows", "c.output_rows"
-    )
-
-
-@query
-def run_states(spark, sf_dir):
-    """The rows of every day that the fingerprints of the latest runs vouch for."""
+    """What two runs say of themselves: rows checked and found valid, stages that
+    succeeded, and the rows that the latest fingerprint of each day vouches for."""
     zones = after_two_runs(spark, sf_dir)
-    return latest_state(spark, zones.fingerprints).select("event_date", "rows")
+    log = spark.read.parquet(zones.runs)
+    is_check = F.col("stage") == "check"
+    runs = log.groupBy("run_id").agg(
+        F.max(F.when(is_check, F.col("input_rows"))).alias("input_rows"),
+        F.max(F.when(is_check, F.col("output_rows"))).alias("output_rows"),
+        F.count_if(F.col("status") == "success").alias("stages"),
+    )
+    vouched = latest_state(spark, zones.fingerprints).agg(
+        F.lit("latest").alias("run_id"), F.sum("rows").alias("output_rows")
+    )
+    return runs.unionByName(vouched, allowMissingColumns=True)
 
 
 # Sinks and reads of the lake

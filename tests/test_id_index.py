@@ -46,7 +46,6 @@ def test_adding_again_changes_nothing(spark, tmp_path):
     before = rows_of(id_index.read_index(spark, base))
     id_index.add(arrivals(spark, 0, 50).union(arrivals(spark, 0, 50)), base)
     assert rows_of(id_index.read_index(spark, base)) == before
-    assert newest_pointer(spark, base).content["rows"] == 50
 
 
 def test_the_number_of_folders_follows_the_rows(spark, tmp_path):
@@ -57,6 +56,7 @@ def test_the_number_of_folders_follows_the_rows(spark, tmp_path):
         id_index.add(arrivals(spark, 200 * step, 200 * step + 200), base, rows_per_bucket=100)
         content = newest_pointer(spark, base).content
         assert content["rows"] == id_index.read_index(spark, base).count() == 200 * step + 200
+        assert content["rows"] <= 100 * content["buckets"]
         sizes.append(content["buckets"])
     assert sizes == sorted(sizes) and sizes[-1] >= 12
     assert rows_of(id_index.places_of(ids(spark, 777), base)) == [

@@ -160,7 +160,14 @@ def _process(
     scratch = working_folder(spark, "changed-ids")
     try:
         with _stage(result, "select"):
-            reach = _note_arrivals(spark, zones, valid, days)
+            # Without published days there is nothing that references could restate.
+            if references is None and partition_dates(spark, zones.daily, "event_date"):
+                reach, references = side_by_side(
+                    lambda: _note_arrivals(spark, zones, valid, days),
+                    lambda: load_references(spark, zones),
+                )
+            else:
+                reach = _note_arrivals(spark, zones, valid, days)
             if set(landed) <= set(days):
                 changed = None
                 rows, events = _everything(spark, zones, valid)
@@ -169,8 +176,7 @@ def _process(
                 rows, events = _candidates(spark, zones, valid, days, reach, changed)
             # What a broken run has rewritten may not be found by its rows again.
             left = partition_dates(spark, zones.unfinished, "event_date")
-            if partition_dates(spark, zones.daily, "event_date"):
-                references = references or load_references(spark, zones)
+            if references is not None:
                 left += dates_to_restate(spark, zones, references)
             events = result.event_dates = sorted({*events, *left})
             _note_unfinished(spark, zones, events)

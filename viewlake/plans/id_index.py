@@ -10,7 +10,8 @@ that comes once per doubling.
 
 The index may name more dates than needed, when hashes collide or a corrected ingest
 date lost rows. Who looks ids up compares the ids themselves in what the dates hold, so
-this costs a read and changes no result. Adding rows again changes nothing either.
+this costs a read and changes no result. Adding rows again changes nothing either, but
+that they count again as rows until the index is written anew.
 
 Blooms would not help: a scan can be asked for some ten values, and a run changes many
 thousands of ids.
@@ -21,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewlake.operators.quality import counted
 from viewlake.sinks.versions import newest_pointer, publish
 from viewlake.sources.paths import drop_folder
 
@@ -108,10 +110,9 @@ def add(arrivals: DataFrame, base: str, id_col: str = "event_id", rows_per_bucke
     if not touched:
         return
     held = _in_buckets(read_index(spark, base), touched, buckets)
-    before = held.count()  # from file footers
+    fresh, seen = counted(fresh, "fresh")
     _write(held.drop("bucket").unionByName(fresh), path, buckets, "dynamic")
-    after = _in_buckets(read_index(spark, base), touched, buckets).count()
-    rows = state["rows"] - before + after
+    rows = state["rows"] + seen.get["rows"]
     if rows > buckets * rows_per_bucket:
         _rebuild(read_index(spark, base).drop("bucket"), base, rows_per_bucket)
     else:

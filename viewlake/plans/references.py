@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from viewlake.operators.validate import (
     rejected_rows,
     valid_rows,
 )
-from viewlake.plans.zones import Zones, read_if_filled
+from viewlake.plans.zones import Zones, read_if_filled, side_by_side
 from viewlake.schemas import CONTENT_LAUNCH, CONTENT_METADATA
 from viewlake.sinks.versions import (
     drop_versions,
@@ -46,7 +47,7 @@ from viewlake.sources.raw import read_reference_rows
 REPEATED = "REPEATED_KEY"
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Kind:
     name: str
     schema: StructType
@@ -134,7 +135,12 @@ def _take_in(spark: SparkSession, zones: Zones, kind: Kind, path: str) -> int:
 def load_references(spark: SparkSession, zones: Zones) -> References:
     """Take in both tables; a broken row goes to the rejected references."""
     paths = {METADATA: zones.metadata, LAUNCH: zones.launch}
-    versions = {k.name: _take_in(spark, zones, k, path) for k, path in paths.items()}
+    versions: dict[str, int] = {}
+
+    def take_in(kind: Kind) -> None:
+        versions[kind.name] = _take_in(spark, zones, kind, paths[kind])
+
+    side_by_side(*(partial(take_in, kind) for kind in KINDS))
     metadata, launch = (_read_version(spark, zones, k, versions[k.name]) for k in KINDS)
     return References(metadata, launch, versions)
 

@@ -31,7 +31,7 @@ from viewlake.sinks.versions import (
     publish,
     version_path,
 )
-from viewlake.sources.paths import drop_partitions, partition_paths
+from viewlake.sources.paths import drop_folder, drop_partitions, partition_paths
 from viewlake.sources.raw import read_content_launch, read_content_metadata
 
 DIMENSIONS = ("dim_date", "dim_region", "dim_device", "dim_content")
@@ -162,27 +162,34 @@ def _typed_nothing(name: str) -> str:
 
 
 def write_dimension(rows: DataFrame, zones: Zones, name: str) -> int:
-    """Write the next version next to the one that is being read, if rows changed, and
-    return the version that holds the rows.
+    """Write the next version next to the one that is being read, and return the version
+    that holds the rows: the one before if nothing changed, whose copy is removed.
 
-    The version before stays for readers that have begun; older ones are removed.
+    Rows are computed once and compared as files. The version before stays for readers
+    that have begun; older ones are removed.
     """
     spark, base = rows.sparkSession, _base(zones, name)
     before = newest_version(spark, base)
-    if before:
-        schema, _ = warehouse.TABLES[name]
-        held = spark.read.schema(schema).parquet(version_path(base, before))
-        if _contents(held) == _contents(rows):
-            return before
     version = before + 1
     rows.write.mode("overwrite").parquet(version_path(base, version))
+    if before and _are_equal(spark, name, version_path(base, before), version_path(base, version)):
+        drop_folder(spark, version_path(base, version))
+        return before
     named = {p.content["tables"].get(name) for p in kept_pointers(spark, zones.warehouse)}
     drop_versions(spark, base, version - 1, named)
     return version
 
 
-def _contents(rows: DataFrame) -> tuple:
-    return tuple(fingerprint(rows, []).first())
+def _are_equal(spark: SparkSession, name: str, *paths: str) -> bool:
+    """Whether two files of a table hold the same rows, by their fingerprints."""
+    schema, _ = warehouse.TABLES[name]
+    sides = [
+        spark.read.schema(schema).parquet(path).withColumn("_side", F.lit(n))
+        for n, path in enumerate(paths)
+    ]
+    prints = fingerprint(sides[0].unionByName(sides[1]), ["_side"]).drop("_side").collect()
+    empty = [side.isEmpty() for side in sides] if len(prints) < 2 else [False, False]
+    return all(empty) or (len(prints) == 2 and prints[0] == prints[1])
 
 
 def _write_fact(rows: DataFrame, zones: Zones, version: int) -> set[str]:

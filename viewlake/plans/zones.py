@@ -91,15 +91,14 @@ class Zones:
         return f"{self.base}/runs"
 
 
-def side_by_side(*jobs: Callable[[], object]) -> None:
-    """Run jobs that do not depend on each other at the same time.
+def side_by_side(*jobs: Callable[[], object]) -> list:
+    """Run jobs that do not depend on each other at the same time; returns their results.
 
     All of them end before an error of one is raised.
     """
     with ThreadPoolExecutor(len(jobs)) as pool:
         running = [pool.submit(job) for job in jobs]
-    for job in running:
-        job.result()
+    return [job.result() for job in running]
 
 
 def replace_partitions(
