@@ -62,5 +62,16 @@ def test_small_cache_forgets_and_stays_right(monkeypatch):
     assert len(coded._pieces._old) < 40
 
 
+def test_texts_without_spaces_do_not_fill_the_cache():
+    coded = bpe.Bpe(PATH)
+    coded._pieces._most_bytes = 2_000
+    texts = ["".join(chr(0x4E00 + (7 * i + j) % 900) for j in range(300)) for i in range(30)] + [f"短{i}" for i in range(300)]
+    for at in range(0, len(texts), 15):
+        part = texts[at:at + 15]
+        assert coded.encode_batch(pa.array(part)).to_pylist() == [LIBRARY.encode(t).ids for t in part]
+        held = [len(p) + len(i) for cache in (coded._pieces._young, coded._pieces._old) for p, i in cache.items()]
+        assert sum(held) < 8_000 and all(len(p) <= 64 for p in coded._pieces._young)
+
+
 def test_empty_table(spark):
     assert bpe.round_trip(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0

@@ -51,5 +51,13 @@ def test_rows_are_emitted_as_planned(spark, monkeypatch):
     assert sorted(map(str, mixed.collect())) == sorted(map(str, mixing.mix(df.repartition(7)).collect()))
 
 
+def test_rows_without_ids_come_near_the_target(spark):
+    rows = [(None, f"{'w ' * 10}{i}", "a") for i in range(500)] + [(i, "w " * 20, "b") for i in range(500)]
+    rows += [(None, None, "b"), (None, "", "b"), (1, "w " * 50_000, "c")]
+    plan = mixing.plan_mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    for r in plan.where("row.source <> 'c'").groupBy("row.source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target")).collect():
+        assert abs(r["taken"] - r["target"]) < 0.1 * r["target"]
+
+
 def test_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0

@@ -2,6 +2,7 @@
 
 import numpy as np
 import parity
+import pytest
 from llm_support import SMALL, shipped  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ def brute(rows, k=10):
 def test_ties_signs_and_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(vectors, "BLOCK_VECTORS", 50)
     monkeypatch.setattr(vectors, "BLOCK_QUERIES", 3)
+    monkeypatch.setattr(vectors, "BLOCK_BYTES", 8 * 6 * 120)  # several meetings in a task
     rng = np.random.default_rng(5)
     rows = [(int(i), rng.integers(-2, 3, 6).astype(float).tolist()) for i in range(700)]
     rows += [(int(i), [0.5, -0.5, 0.0, 1.0, 0.0, 0.0]) for i in range(1000, 1400)]
@@ -56,6 +58,15 @@ def test_rows_that_take_no_part(spark):
     assert got == [(0, 1, 6, 1024**2), (0, 2, 6, 1024**2), (100, 1, 7, 0)]
 
 
+def test_scores_that_do_not_fit_are_an_error(spark):
+    for large in (3_000_000.0, 1e16):
+        df = spark.createDataFrame([(i, [large] * 8) for i in range(3)], "vec_id long, embedding array<double>")
+        with pytest.raises(ArithmeticError):
+            vectors.top_k(df, F.col("vec_id") == 0)
+    df = spark.createDataFrame([(i, [1_000_000.0] * 8) for i in range(3)], "vec_id long, embedding array<double>")
+    assert {r["score"] for r in vectors.top_k(df, F.col("vec_id") == 0).collect()} == {8 * 1_024_000_000**2}
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vectors.top_k(df, F.col("vec_id") == 0).count() == 0

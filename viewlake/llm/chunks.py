@@ -9,8 +9,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces one generation of the cache holds; two generations are kept.
+#: Pieces one generation of the cache holds, and bytes of them and their ids; two
+#: generations are kept. Longer pieces, as of texts without spaces, are not kept.
 CACHE_PIECES = 200_000
+CACHE_BYTES = 16_000_000
+LONGEST_PIECE = 64
 
 
 class PieceCache:
@@ -20,10 +23,11 @@ class PieceCache:
     older one, and what the older one held and nobody asked for since goes.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]], limit: int = CACHE_PIECES):
-        self._encode, self._limit = encode, limit
+    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]], limit: int = CACHE_PIECES, most_bytes: int = CACHE_BYTES):
+        self._encode, self._limit, self._most_bytes = encode, limit, most_bytes
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        self._held = 0
 
     def ids(self, pieces: list[str]) -> list[bytes]:
         """The 32-bit ids of each piece."""
@@ -36,12 +40,16 @@ class PieceCache:
                 missing.append(at)
             else:
                 young[pieces[at]] = ids
+                self._held += len(pieces[at]) + len(ids)
         if missing:
             new = [pieces[at] for at in missing]
             for at, piece, ids in zip(missing, new, self._encode(new)):
-                found[at] = young[piece] = array("i", ids).tobytes()
-        if len(young) >= self._limit:
-            self._old, self._young = young, {}
+                ids = found[at] = array("i", ids).tobytes()
+                if len(piece) <= LONGEST_PIECE:
+                    young[piece] = ids
+                    self._held += len(piece) + len(ids)
+        if len(young) >= self._limit or self._held >= self._most_bytes:
+            self._old, self._young, self._held = young, {}, 0
         return found
 
 

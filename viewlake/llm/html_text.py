@@ -1,14 +1,21 @@
 """Operator 9: main text of web pages.
 
 The standard library's parser streams a page's events; blocks of text are its lines.
-Each line has a text-to-tag ratio: characters over tags. The ratios are smoothed by a
-Gaussian, and a threshold splits the lines into content and the rest.
+Each line has a text-to-tag ratio: characters outside links over tags. The ratios are
+smoothed by a Gaussian, and a threshold splits the lines into content and the rest.
 
 Markup helps twice. Menus, headers, footers, sidebars, notices, adverts, forms, comments
-and the like never count as content: their lines have the ratio 0 and end the region of
-lines around them. The lines of an article or main element are one region, also where
-such a block stands between them. On every page a region is kept whole, short lines
-included, if a smoothed ratio in it reaches the threshold; no mark replaces that.
+and the like are boilerplate: their lines have the ratio 0 and are not kept. A class or id
+says so by a whole token, all of whose parts name boilerplate or its place on the page
+("right-sidebar", not "has-sidebar" or "social-history"). No element that holds half of a
+page's text or more is boilerplate, whatever its name: such a form or layout is the page.
+An open menu or header ends where an article begins. A heading that says no more than
+"Comments" begins boilerplate up to the end of the element it stands in.
+
+The lines of an article or main element are one region, also where boilerplate stands
+between them; elsewhere a menu, footer or the like ends a region, an advert does not. On
+every page a region is kept whole, short lines included, if a smoothed ratio in it reaches
+the threshold; no mark replaces that.
 
 Pages are independent rows; nothing is shuffled.
 
@@ -32,52 +39,98 @@ from viewlake.llm.scratch import text_slices
 
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-NOT_CONTENT = {"head", "title", "script", "style", "noscript", "template", "nav", "header", "footer", "aside", "form", "button", "select", "textarea", "input", "iframe", "object", "svg", "canvas", "menu", "dialog"}
+#: Elements whose text is never a reader's.
+UNREAD = {"head", "title", "script", "style", "noscript", "template", "button", "select", "textarea", "input", "iframe", "object", "svg", "canvas"}
+BOILERPLATE = {"nav", "header", "footer", "aside", "form", "menu", "dialog"}
 MARKED_CONTENT = {"article", "main"}
+#: Elements that an article or main element ends if they are still open.
+BEFORE_CONTENT = {"nav", "header", "menu"}
 #: Words of classes and ids, and roles, of blocks that are not the article.
-NOT_CONTENT_WORDS = {
-    "ad", "ads", "adbox", "advert", "adverts", "advertisement", "advertisements", "adsense", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "notification", "paywall", "popup", "promo", "promoted", "related", "replies", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
-}
-NOT_CONTENT_ROLES = {"alert", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search"}
+STRUCTURE_WORDS = {"breadcrumb", "breadcrumbs", "comment", "comments", "discussion", "disqus", "footer", "header", "masthead", "menu", "nav", "navbar", "navigation", "reactions", "replies", "responses", "sidebar", "toolbar"}
+INSET_WORDS = {"ad", "ads", "adbox", "advert", "adverts", "advertisement", "advertisements", "adsense", "banner", "consent", "cookie", "cookies", "gdpr", "modal", "newsletter", "notice", "notices", "notification", "paywall", "popup", "promo", "promoted", "related", "share", "sharing", "signup", "social", "sponsor", "sponsored", "subscribe", "widget"}
+#: Words that say where a block stands or what holds it, and nothing of its content.
+PLACE_WORDS = {"area", "bar", "block", "bottom", "box", "button", "buttons", "col", "column", "container", "content", "desktop", "fixed", "form", "global", "inner", "item", "items", "left", "links", "list", "main", "message", "mobile", "module", "outer", "page", "panel", "posts", "primary", "reader", "right", "secondary", "section", "site", "sticky", "stories", "text", "thread", "top", "unit", "user", "wrap", "wrapper"}
+BOILERPLATE_ROLES = {"alert", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+COMMENT_HEADING = re.compile(r"(?:\d+ )?(?:reader |user )?(?:comments|replies|responses|reactions|kommentare|commentaires|comentarios)(?: ?\(?\d+\)?)?:?", re.IGNORECASE)
 #: A start tag of the left kind ends an open one of the right kinds.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SMOOTHING = 2.0
+#: An element with this share of a page's text is not boilerplate.
+MOST_BOILERPLATE = 0.5
 PIECE_CHARS = 65_536
 
-_NAME = re.compile(r"[a-z0-9]+")
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+
+
+class Element:
+    """An open element."""
+
+    __slots__ = ("tag", "splits", "boilerplate", "unread", "region")
+
+    def __init__(self, tag: str, splits: bool, boilerplate: int | None, unread: bool, region: int):
+        self.tag, self.splits = tag, splits  # whether it ends the region around it
+        self.boilerplate = boilerplate  # number of the innermost boilerplate, None outside
+        self.unread = unread
+        self.region = region  # of the innermost article or main element, 0 outside
+
+
+class Line:
+    """A block of text, its tags, and the characters of it that are links."""
+
+    __slots__ = ("text", "tags", "linked", "boilerplate", "region")
+
+    def __init__(self, text: str, tags: int, linked: int, boilerplate: int | None, region: int):
+        self.text, self.tags, self.linked = text, tags, linked
+        self.boilerplate, self.region = boilerplate, region
 
 
 class Lines(HTMLParser):
-    """The lines of a page: (text, tags, region); region -1 is not content."""
+    """The lines of a page, and which boilerplate stands in which."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
-        # tag, whether not content, region of the innermost article or main element
-        self._open: list[tuple[str, bool, int]] = [("", False, 0)]
+        self.lines: list[Line] = []
+        self.within: list[int | None] = []  # for each boilerplate the one around it
+        self._open = [Element("", False, None, False, 0)]
         self._text: list[str] = []
-        self._tags, self._region = 0, 0
+        self._tags, self._linked, self._links, self._region = 0, 0, 0, 0
 
     def _end_line(self) -> None:
         text = " ".join("".join(self._text).split())
         if text or self._tags:
-            _, out, marked = self._open[-1]
-            self.lines.append((text, self._tags, -1 if out else marked or self._region))
-        self._text, self._tags = [], 0
+            inner = self._open[-1]
+            self.lines.append(Line("" if inner.unread else text, self._tags, min(self._linked, len(text)), inner.boilerplate, inner.region or self._region))
+        self._text, self._tags, self._linked = [], 0, 0
+
+    def _new_boilerplate(self) -> int:
+        self.within.append(self._open[-1].boilerplate)
+        return len(self.within) - 1
 
     def _close(self, at: int) -> None:
         """Close the elements from place ``at`` on."""
-        if any(tag not in INLINE or out != self._open[at - 1][1] for tag, out, _ in self._open[at:]):
+        outer = self._open[at - 1]
+        closed = self._open[at:]
+        if any(e.tag not in INLINE or (e.boilerplate, e.unread) != (outer.boilerplate, outer.unread) for e in closed):
             self._end_line()
-        if self._open[-1][1:] != self._open[at - 1][1:]:
+        self._links -= sum(e.tag == "a" for e in closed)
+        if closed[0].tag in HEADINGS and self.lines and COMMENT_HEADING.fullmatch(self.lines[-1].text):
+            outer.boilerplate = self.lines[-1].boilerplate = self._new_boilerplate()
+            self._region += 1
+        if any(e.splits for e in closed):
             self._region += 1
         del self._open[at:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in MARKED_CONTENT:
+            for at in range(1, len(self._open)):
+                if self._open[at].tag in BEFORE_CONTENT:
+                    self._close(at)
+                    break
         if tag not in INLINE:
             ends = ENDS.get(tag, {"p"} if tag not in VOID else set())
             for at in range(len(self._open) - 1, 0, -1):
-                name = self._open[at][0]
+                name = self._open[at].tag
                 if name in ends:
                     self._close(at)
                     break
@@ -87,12 +140,16 @@ class Lines(HTMLParser):
         self._tags += 1
         if tag in VOID:
             return
-        _, out, marked = self._open[-1]
-        goes_out = out or tag in NOT_CONTENT or (tag not in ("html", "body") and tag not in MARKED_CONTENT and _says_not_content(attrs))
-        if goes_out != out or tag in MARKED_CONTENT:
+        outer = self._open[-1]
+        kind = _boilerplate_kind(tag, attrs)
+        unread = outer.unread or tag in UNREAD
+        if kind or unread != outer.unread or tag in MARKED_CONTENT:
             self._end_line()
-            self._region += 1
-        self._open.append((tag, goes_out, self._region if tag in MARKED_CONTENT else marked))
+        splits = kind == "structure" or tag in MARKED_CONTENT
+        self._region += splits
+        region = self._region if tag in MARKED_CONTENT else outer.region
+        self._open.append(Element(tag, splits, self._new_boilerplate() if kind else outer.boilerplate, unread, region))
+        self._links += tag == "a"
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -102,25 +159,56 @@ class Lines(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         self._tags += 1
         for at in range(len(self._open) - 1, 0, -1):
-            if self._open[at][0] == tag:
+            if self._open[at].tag == tag:
                 self._close(at)
                 return
 
     def handle_data(self, data: str) -> None:
         self._text.append(data)
+        if self._links > 0:
+            self._linked += len(data)
 
     def close(self) -> None:
         super().close()
         self._end_line()
 
-
-def _says_not_content(attrs: list[tuple[str, str | None]]) -> bool:
+    def boilerplate(self) -> list[bool]:
+        """Which boilerplate holds less than its share of the page, or stands in such."""
+        held = [0] * len(self.within)
+        total = 0
+        for line in self.lines:
+            total += len(line.text)
+            if line.boilerplate is not None:
+                held[line.boilerplate] += len(line.text)
+        for at in range(len(held) - 1, -1, -1):  # inner ones come after outer ones
+            if self.within[at] is not None:
+                held[self.within[at]] += held[at]
+        out: list[bool] = []
+        for at, around in enumerate(self.within):
+            out.append(held[at] < MOST_BOILERPLATE * total or (around is not None and out[around]))
+        return out
+
+
+def _boilerplate_kind(tag: str, attrs: list[tuple[str, str | None]]) -> str:
+    """"structure" for parts of the page around the article, "inset" for what may stand
+    inside it, "" for neither."""
+    if tag in BOILERPLATE:
+        return "structure"
+    if tag in MARKED_CONTENT or tag in ("html", "body"):
+        return ""
+    kind = ""
     for name, value in attrs:
-        if name in ("hidden",) or (name == "aria-hidden" and value == "true"):
-            return True
-        if value and (name == "role" and value.lower() in NOT_CONTENT_ROLES or name in ("class", "id") and not NOT_CONTENT_WORDS.isdisjoint(_NAME.findall(value.lower()))):
-            return True
-    return False
+        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+            kind = kind or "inset"
+        elif value and name == "role" and value.lower() in BOILERPLATE_ROLES:
+            return "structure"
+        elif value and name in ("class", "id"):
+            for token in value.split():
+                parts = [part.lower() for part in _PARTS.findall(token)]
+                named = [p for p in parts if p in STRUCTURE_WORDS or p in INSET_WORDS]
+                if named and all(p in PLACE_WORDS or p in named or p.isdigit() for p in parts):
+                    kind = "structure" if kind == "structure" or not STRUCTURE_WORDS.isdisjoint(named) else "inset"
+    return kind
 
 
 def smooth(ratios: np.ndarray, width: float = SMOOTHING) -> np.ndarray:
@@ -140,10 +228,12 @@ def main_text(html: str) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    smoothed = smooth(np.array([len(text) / max(1, tags) if region >= 0 else 0.0 for text, tags, region in lines]))
+    out = parser.boilerplate()
+    able = [line.boilerplate is None or not out[line.boilerplate] for line in lines]
+    smoothed = smooth(np.array([(len(line.text) - line.linked) / max(1, line.tags) if a else 0.0 for line, a in zip(lines, able)]))
     threshold = smoothed.std() if len(lines) > 1 else 0.0
-    kept = {region for (text, _, region), ratio in zip(lines, smoothed) if region >= 0 and text and ratio >= threshold}
-    return " ".join(text for text, _, region in lines if text and region in kept)
+    kept = {line.region for line, a, ratio in zip(lines, able, smoothed) if a and line.text and ratio >= threshold}
+    return " ".join(line.text for line, a in zip(lines, able) if a and line.text and line.region in kept)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

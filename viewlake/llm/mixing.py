@@ -10,7 +10,8 @@ if it is small, else by a join whose hot partitions adaptive execution splits.
 
 Edge cases: a NULL text counts no words, a NULL source is a source (the last one). A
 document without words is emitted by its rate like any other and adds nothing. Rows
-that repeat share id and hash, so they come equally often. An empty table gives an
+that repeat share id and hash, so they come equally often; rows without an id are told
+apart by their text. An empty table gives an
 empty table. ``plan_mix`` keeps all columns of the table in a struct, so no name
 clashes.
 """
@@ -60,9 +61,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most_repe
     return leveled.select("source", "source_size", F.least(share, F.col("stop")).alias("target"))
 
 
-def unit_hash(doc_id: Column) -> Column:
-    """A number from 0 to 1 made of 52 bits of the md5 of the id's text."""
-    digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 13)
+def unit_hash(doc_id: Column, text: Column) -> Column:
+    """A number from 0 to 1 made of 52 bits of the md5 of the id, or of the text's md5
+    where there is no id."""
+    named = F.coalesce(doc_id.cast("string"), F.md5(F.coalesce(text, F.lit(""))))
+    digits = F.substring(F.md5(named), 1, 13)
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(16**13))
 
 
@@ -71,7 +74,7 @@ def plan_mix(df: DataFrame, weights: Sequence[int] = WEIGHTS, most_repeats: int
     source = F.col(source_col).cast("string")
     sizes = df.select(source.alias("source"), n_words(F.col(text_col)).alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, most_repeats)
-    rows = df.select(F.struct("*").alias("row"), source.alias("source"), n_words(F.col(text_col)).alias("size"), unit_hash(F.col(id_col)).alias("at"))
+    rows = df.select(F.struct("*").alias("row"), source.alias("source"), n_words(F.col(text_col)).alias("size"), unit_hash(F.col(id_col), F.col(text_col)).alias("at"))
     right = cut(targets.withColumnRenamed("source", "of"))
     if right.count() <= BROADCAST_SOURCES:
         right = F.broadcast(right)

@@ -163,7 +163,7 @@ SELECT query_id, n::INTEGER AS rank, vec_id, score FROM ranked WHERE n <= 10
 
 ORACLES["op6_mixing"] = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, text, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
     [5.0, 2.0, 1.0][1 + ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INTEGER]::DOUBLE AS weight
@@ -179,7 +179,7 @@ WITH sized AS (
 ), planned AS (
   SELECT doc_id, size, source_size, target,
     CASE WHEN source_size = 0 THEN 0.0::DOUBLE ELSE target / source_size END AS rate,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS draw
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS draw
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
 )
 SELECT doc_id, size, source_size, target,

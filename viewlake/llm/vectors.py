@@ -7,17 +7,18 @@ and an upper bound of its score: entries not read yet lie between the value reac
 and the worst value of their list. Once few vectors have an upper bound that reaches
 the k-th lower bound, nobody else can qualify, and the scores of those few are settled.
 
-Vectors are dealt to blocks of about ``BLOCK_VECTORS`` and queries to blocks of about
-``BLOCK_QUERIES``; every block of queries meets every block of vectors in a task of
-bounded memory, and the best k of the blocks meet by query. Bounds of all queries of a
-block are kept as matrices.
+Vectors and queries are dealt to blocks, and every block of queries meets every block of
+vectors in a task. A vector is copied once for each block of queries, so blocks are as
+large as ``BLOCK_BYTES`` allow, or as leave work for every core. Inside a task
+``BLOCK_QUERIES`` queries meet ``BLOCK_VECTORS`` vectors at a time, with bounds of all of
+them as matrices, and the best k of each meeting meet by query.
 
 Edge cases: a row takes no part if its id or vector is NULL or a component is NULL, NaN
 or infinite. Vectors meet vectors of their own length only. Ties go to the smaller id.
 Rows with one id are each other's own and never partners; each is a candidate for
 others, and rows that repeat wholly as queries are one query. With fewer candidates
 than k all are returned. An empty table gives an empty table. Other columns are not
-read. Scores are exact while sums stay within 64 bits.
+read. Scores are exact; if one could pass 64 bits, the job ends with an error.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from pyspark.sql.window import Window
 
 BLOCK_VECTORS = 4096
 BLOCK_QUERIES = 512
+#: Bytes of vectors, and of queries, that a task may hold.
+BLOCK_BYTES = 32_000_000
 #: Lists are first read to this share of their length, then twice as far each time.
 FIRST_DEPTH = 16
 
@@ -46,8 +49,15 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
     """(query_id, rank, vec_id, score): the k best partners of every query row."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), scaled(F.col(vector_col), scale).alias("vector"), is_query.alias("asks"))
     rows = rows.where(F.col("id").isNotNull() & F.col("vector").isNotNull()).withColumn("width", F.size("vector"))
-    counts = rows.agg(F.count("*"), F.count(F.when(F.col("asks"), 1))).first()
-    blocks, query_blocks = max(1, -(-counts[0] // BLOCK_VECTORS)), max(1, -(-counts[1] // BLOCK_QUERIES))
+    size = F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double"))))
+    counts = rows.agg(F.count("*"), F.count_if("asks"), F.max("width"), F.max(size), F.max(F.when(F.col("asks"), size))).first()
+    width = max(1, counts[2] or 0)
+    if width * (counts[3] or 0.0) * (counts[4] or 0.0) >= 2.0**63 or (counts[3] or 0.0) >= 2.0**62:
+        raise ArithmeticError("scores of these vectors may pass 64 bits")
+    most = max(1, BLOCK_BYTES // (8 * width))
+    shared = -(-counts[0] // (4 * df.sparkSession.sparkContext.defaultParallelism))
+    blocks = max(1, -(-counts[0] // min(max(BLOCK_VECTORS, shared), most)))
+    query_blocks = max(1, -(-counts[1] // most))
     # Dealt by place in the table, not by id: rows of one id spread like any others.
     dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
     vectors = rows.select("width", "id", "vector", dealt.alias("block")).withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
@@ -64,7 +74,13 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
             return result.empty_table()
         ids, matrix = _matrix(left)
         query_ids, query_matrix = _matrix(right)
-        found = [(q, n, int(ids[at]), int(score)) for n, (q, (best, scores)) in enumerate(zip(query_ids.tolist(), block_top_k(ids, matrix, query_ids, query_matrix, k))) for at, score in zip(best, scores)]
+        found = []
+        for low in range(0, len(ids), BLOCK_VECTORS):
+            some, part = ids[low:low + BLOCK_VECTORS], matrix[low:low + BLOCK_VECTORS]
+            for first in range(0, len(query_ids), BLOCK_QUERIES):
+                asked, block = query_ids[first:first + BLOCK_QUERIES], query_matrix[first:first + BLOCK_QUERIES]
+                for n, (best, scores) in enumerate(block_top_k(some, part, asked, block, k), first):
+                    found += [(int(query_ids[n]), n, int(some[at]), int(score)) for at, score in zip(best, scores)]
         asking, nth, partners, scores = list(zip(*found)) or [[]] * 4
         taken = right.column("vector").combine_chunks().take(pa.array(nth, pa.int64()))
         return pa.table([pa.array(asking, pa.int64()), taken, pa.array(partners, pa.int64()), pa.array(scores, pa.int64())], schema=result)
