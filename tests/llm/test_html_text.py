@@ -56,6 +56,11 @@ def test_names_of_layouts_are_not_boilerplate():
         assert main_text(f"<body>{start}{BODY}{end}</body>").removeprefix("Home ") == TEXT, start
 
 
+def test_a_footer_longer_than_the_article_is_a_footer():
+    footer = f"<footer>{'terms and addresses ' * 20}</footer>"
+    assert main_text(f"<body><article><h1>Hi</h1><p>Short.</p></article>{footer}</body>") == "Hi Short."
+
+
 def test_an_article_ends_open_menus():
     page = f"<body><nav><ul><li><a href='/a'>Menu one</a><li><a href='/b'>Menu two</a><article>{BODY}</article><footer>Foot</footer></body>"
     assert main_text(page) == TEXT

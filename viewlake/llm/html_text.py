@@ -7,9 +7,9 @@ smoothed by a Gaussian, and a threshold splits the lines into content and the re
 Markup helps twice. Menus, headers, footers, sidebars, notices, adverts, forms, comments
 and the like are boilerplate: their lines have the ratio 0 and are not kept. A class or id
 says so by a whole token, all of whose parts name boilerplate or its place on the page
-("right-sidebar", not "has-sidebar" or "social-history"). No element that holds half of a
-page's text or more is boilerplate, whatever its name: such a form or layout is the page.
-An open menu or header ends where an article begins. A heading that says no more than
+("right-sidebar", not "has-sidebar" or "social-history"). No element that holds nearly all
+of a page's text is boilerplate, whatever its name, unless an article stands outside it:
+such a form or layout is the page. An open menu or header ends where an article begins. A heading that says no more than
 "Comments" begins boilerplate up to the end of the element it stands in.
 
 The lines of an article or main element are one region, also where boilerplate stands
@@ -57,7 +57,7 @@ COMMENT_HEADING = re.compile(r"(?:\d+ )?(?:reader |user )?(?:comments|replies|re
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SMOOTHING = 2.0
 #: An element with this share of a page's text is not boilerplate.
-MOST_BOILERPLATE = 0.5
+MOST_BOILERPLATE = 0.8
 PIECE_CHARS = 65_536
 
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
@@ -78,11 +78,11 @@ class Element:
 class Line:
     """A block of text, its tags, and the characters of it that are links."""
 
-    __slots__ = ("text", "tags", "linked", "boilerplate", "region")
+    __slots__ = ("text", "tags", "linked", "boilerplate", "region", "in_article")
 
-    def __init__(self, text: str, tags: int, linked: int, boilerplate: int | None, region: int):
+    def __init__(self, text: str, tags: int, linked: int, boilerplate: int | None, region: int, in_article: bool):
         self.text, self.tags, self.linked = text, tags, linked
-        self.boilerplate, self.region = boilerplate, region
+        self.boilerplate, self.region, self.in_article = boilerplate, region, in_article
 
 
 class Lines(HTMLParser):
@@ -100,7 +100,7 @@ class Lines(HTMLParser):
         text = " ".join("".join(self._text).split())
         if text or self._tags:
             inner = self._open[-1]
-            self.lines.append(Line("" if inner.unread else text, self._tags, min(self._linked, len(text)), inner.boilerplate, inner.region or self._region))
+            self.lines.append(Line("" if inner.unread else text, self._tags, min(self._linked, len(text)), inner.boilerplate, inner.region or self._region, inner.region > 0))
         self._text, self._tags, self._linked = [], 0, 0
 
     def _new_boilerplate(self) -> int:
@@ -173,19 +173,24 @@ class Lines(HTMLParser):
         self._end_line()
 
     def boilerplate(self) -> list[bool]:
-        """Which boilerplate holds less than its share of the page, or stands in such."""
-        held = [0] * len(self.within)
-        total = 0
+        """Which boilerplate is none of the page's text, or stands in such."""
+        held, marked = [0] * len(self.within), [0] * len(self.within)
+        total = total_marked = 0
         for line in self.lines:
-            total += len(line.text)
+            size = len(line.text)
+            size_marked = size if line.in_article else 0
+            total, total_marked = total + size, total_marked + size_marked
             if line.boilerplate is not None:
-                held[line.boilerplate] += len(line.text)
+                held[line.boilerplate] += size
+                marked[line.boilerplate] += size_marked
         for at in range(len(held) - 1, -1, -1):  # inner ones come after outer ones
             if self.within[at] is not None:
                 held[self.within[at]] += held[at]
+                marked[self.within[at]] += marked[at]
         out: list[bool] = []
         for at, around in enumerate(self.within):
-            out.append(held[at] < MOST_BOILERPLATE * total or (around is not None and out[around]))
+            is_page = held[at] >= MOST_BOILERPLATE * total and marked[at] == total_marked
+            out.append(not is_page or (around is not None and out[around]))
         return out
 
 
