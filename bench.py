@@ -2,7 +2,9 @@
 
 BENCH_SF_DIR names the folder of test tables, BENCH_CPUS the local cores. Every
 query runs in full twice in one session. ``queries`` and ``value`` are the second
-runs; ``first_runs`` are the first ones, which also compile code.
+runs; ``first_runs`` are the first ones, which also compile code. ``daily_run`` is a lake
+of ``BENCH_RUN_ROWS`` rows: its first run over all dates, and a run over three of them
+again, by stage; it is not part of ``value``.
 """
 
 from __future__ import annotations
@@ -11,16 +13,19 @@ import json
 import os
 import sys
 import time
-from datetime import date
+from datetime import date, datetime
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from catalog.queries import QUERIES  # noqa: E402
 from viewlake.functions import normalize_timestamps  # noqa: E402
-from viewlake.plans import formats  # noqa: E402
+from viewlake.plans import daily_run, formats  # noqa: E402
+from viewlake.plans.zones import Zones  # noqa: E402
 from viewlake.session import build_session, working_folder  # noqa: E402
-from viewlake.sources import testdata  # noqa: E402
+from viewlake.sources import land_raw, testdata  # noqa: E402
 
 HEADLINES = (
     "validate_rejected",
@@ -55,6 +60,34 @@ def run_fully(frame) -> None:
     frame.write.format("noop").mode("overwrite").save()
 
 
+def time_daily_run(spark, sf_dir: str, rows: int) -> dict:
+    """A first run over all landed dates, and one over three of them again."""
+    events = testdata.read_table(spark, sf_dir, "events")
+    size = events.count()
+    copies = F.explode(F.sequence(F.lit(0), F.lit((rows - 1) // size)))
+    many = events.withColumn("_n", copies)
+    many = many.withColumn("event_id", F.col("event_id") + F.col("_n") * size).drop("_n")
+    zones = Zones(working_folder(spark, "bench-lake"))
+    for frame, path in (
+        (testdata.content_metadata(spark, sf_dir), zones.metadata),
+        (testdata.content_launch(spark, sf_dir), zones.launch),
+    ):
+        frame.write.option("header", True).csv(path)
+    land_raw(testdata.map_raw_events(many), zones.raw_events)
+    three = [date(2024, 1, d) for d in (28, 29, 30)]
+    timed = {}
+    for name, days in (("first", None), ("three_dates_again", three)):
+        began = time.perf_counter()
+        run = daily_run.run_incremental(spark, zones, name, datetime(2024, 2, 1), days)
+        timed[name] = {
+            "rows": run.stages[0].input_rows,
+            "seconds": round(time.perf_counter() - began, 2),
+            "event_dates": len(run.event_dates),
+            "stages": {s.stage: round(s.duration_ms / 1000, 2) for s in run.stages},
+        }
+    return timed
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -83,6 +116,8 @@ def main() -> None:
         for name, took in formats.time_forms(forms, question).items():
             results[f"watch_hours_uk_on_{name}"] = round(took, 3)
 
+    rows = int(os.environ.get("BENCH_RUN_ROWS", 500_000))
+    runs = time_daily_run(spark, sf_dir, rows)
     print(
         json.dumps(
             {
@@ -91,6 +126,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "first_runs": firsts,
+                "daily_run": runs,
                 "sf": float(Path(sf_dir).name.removeprefix("sf")),
             }
         )

@@ -594,6 +594,15 @@ _SQL["enrich_launch_merge"] = _SQL["enrich_launch"]
 PARTS["ev_old"] = """
 SELECT * FROM ev WHERE event_date <= DATE '2024-01-20' AND region IN ('UK', 'US')"""
 PARTS["ev_new"] = "SELECT * FROM ev WHERE event_date >= DATE '2024-01-15'"
+PARTS["history"] = """
+SELECT content_id AS id, genre, DATE '2024-01-03' AS valid_from,
+  CASE WHEN n % 11 = 4 OR n % 7 = 0 THEN DATE '2024-01-15' END AS valid_to
+FROM (SELECT *, CAST(substr(content_id, 6) AS INTEGER) AS n FROM meta) WHERE n % 13 <> 5
+UNION ALL
+SELECT content_id, CASE WHEN n % 7 = 0 THEN 'REISSUE' ELSE genre END,
+  DATE '2024-01-15', NULL
+FROM (SELECT *, CAST(substr(content_id, 6) AS INTEGER) AS n FROM meta)
+WHERE n % 11 <> 4 AND (n % 13 = 5 OR n % 7 = 0)"""
 PARTS["fact_old"] = _fact("ev_old", "INNER")
 PARTS["fact_new"] = _fact("ev_new", "INNER")
 PARTS["winners"] = "SELECT * FROM ranked WHERE place = 1"
@@ -656,6 +665,37 @@ SELECT content_id, count(*) AS events FROM ev
 WHERE event_date = DATE '2024-01-09' AND region = 'UK' GROUP BY 1"""
 _SQL["parquet_baseline"] = "SELECT event_date, count(*) AS events FROM ev GROUP BY 1"
 
+for _name in (
+    "kpi_cards", "daily_trend_by_region", "completion_by_device", "watch_hours_uk",
+    "top_content_uk",
+):
+    _SQL[f"{_name}_from_daily"] = _SQL[_name]
+_SQL["region_breakdown_from_bitmaps"] = _SQL["region_breakdown"]
+_SQL["versions_as_of"] = """
+SELECT e.event_id, e.content_id, CASE WHEN ended THEN NULL ELSE genre END AS genre,
+  CASE WHEN ended THEN NULL ELSE valid_from END AS valid_from
+FROM (SELECT e.*, h.*, coalesce(e.event_timestamp >= h.valid_to, false) AS ended
+  FROM ev e ASOF LEFT JOIN history h
+    ON e.content_id = h.id AND e.event_timestamp >= h.valid_from) e"""
+_SQL["compacted_partitions"] = """
+SELECT event_date, region, count(*) AS rows, true AS is_one_file FROM ev GROUP BY 1, 2"""
+_SQL["anomaly_metrics"] = """
+SELECT tp AS true_positives, fp AS false_positives, fn AS false_negatives,
+  tn AS true_negatives, CAST(tp AS DOUBLE) / CAST(nullif(tp + fp, 0) AS DOUBLE)
+    AS precision,
+  CAST(tp AS DOUBLE) / CAST(nullif(tp + fn, 0) AS DOUBLE) AS recall,
+  CAST(fp AS DOUBLE) / CAST(nullif(fp + tn, 0) AS DOUBLE) AS false_positive_rate
+FROM (SELECT count(*) FILTER (WHERE odd AND bad) AS tp,
+    count(*) FILTER (WHERE odd AND NOT bad) AS fp,
+    count(*) FILTER (WHERE NOT odd AND bad) AS fn,
+    count(*) FILTER (WHERE NOT odd AND NOT bad) AS tn
+  FROM (SELECT rejection_reason IS NOT NULL AS bad,
+      coalesce(watch_minutes > 300, false)
+        OR coalesce(event_type = 'complete' AND watch_minutes < 1, false)
+        OR coalesce(event_type = 'skip' AND completion_rate > CAST(0.9 AS DOUBLE), false)
+        AS odd
+    FROM checked))"""
+
 
 def statements() -> dict[str, str]:
     return {name: _with_parts(sql) for name, sql in _SQL.items()}

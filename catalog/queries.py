@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,22 @@ from viewlake.functions import (
     is_completed,
     normalize_timestamps,
 )
-from viewlake.operators import dedup, enrich, keys, lateness, marts, quality, rollup
+from viewlake.operators import (
+    bitmaps,
+    dedup,
+    enrich,
+    keys,
+    lateness,
+    marts,
+    quality,
+    rollup,
+)
 from viewlake.operators import fingerprint as prints
 from viewlake.operators import validate
+from viewlake.operators.asof import as_of_join
 from viewlake.plans import daily_run, formats, references, refresh, warehouse
 from viewlake.plans.transform import check_events, transform
-from viewlake.plans.zones import Zones
+from viewlake.plans.zones import Zones, side_by_side
 from viewlake.session import working_folder
 from viewlake.sinks import (
     latest_state,
@@ -29,6 +40,7 @@ from viewlake.sinks import (
     write_parquet_baseline,
     write_partitioned,
 )
+from viewlake.sinks.compaction import compact
 from viewlake.sources import land_raw, read_lake, read_partition, run_sql, testdata
 from viewlake.sources.raw import read_reference_rows
 from viewlake.streaming import live
@@ -84,6 +96,17 @@ def dimensions(spark, sf_dir):
     )
 
 
+def stored_dimensions(spark, sf_dir):
+    """The dimensions, those that are computed written once and read back."""
+    base, dims = working_folder(spark, "dimensions"), dimensions(spark, sf_dir)
+    computed = ("dim_content", "dim_device")
+    side_by_side(*(partial(dims[n].write.parquet, f"{base}/{n}") for n in computed))
+    for name in computed:
+        schema, _ = warehouse.TABLES[name]
+        dims[name] = spark.read.schema(schema).parquet(f"{base}/{name}")
+    return dims
+
+
 def with_unknowns(dims):
     return {
         **dims,
@@ -328,9 +351,105 @@ def launch_success(spark, sf_dir):
     return marts.launch_success(testdata.content_launch(spark, sf_dir))
 
 
+# The same questions on the daily aggregate
+
+
+def daily_lake(spark, sf_dir):
+    """The daily aggregate with its exact sums, as written and read back."""
+    path = f"{working_folder(spark, 'daily')}/daily_aggregate"
+    events = with_completion(clean(spark, sf_dir))
+    write_partitioned(rollup.aggregate_daily(events, partials=True), path, ("event_date",))
+    return read_lake(spark, path)
+
+
+def coarsest(spark, sf_dir, *columns):
+    """The daily aggregate if it has the columns, else the events."""
+    needed = ("event_date", *columns)
+    return marts.coarsest(needed, daily_lake(spark, sf_dir), clean(spark, sf_dir))
+
+
+@query
+def kpi_cards_from_daily(spark, sf_dir):
+    rows = coarsest(spark, sf_dir, "region", "content_id")
+    return marts.kpis(marts.filter_window(rows, ["UK", "US", "DE", "JP"], *FORTNIGHT))
+
+
+@query
+def daily_trend_by_region_from_daily(spark, sf_dir):
+    rows = coarsest(spark, sf_dir, "region")
+    return marts.daily_trend(marts.filter_window(rows, None, *WEEK))
+
+
+@query
+def completion_by_device_from_daily(spark, sf_dir):
+    rows = coarsest(spark, sf_dir, "device_type")
+    return marts.completion_by_device(marts.filter_window(rows, None, *WEEK))
+
+
+@query
+def watch_hours_uk_from_daily(spark, sf_dir):
+    rows = coarsest(spark, sf_dir, "region", "content_id")
+    return marts.watch_hours_by_content(marts.filter_window(rows, ["UK"], *WEEK))
+
+
+@query
+def top_content_uk_from_daily(spark, sf_dir):
+    """Titles join the days of the window, not its events."""
+    rows = marts.filter_window(coarsest(spark, sf_dir, "region", "content_id"), ["UK"], *WEEK)
+    titles = testdata.content_metadata(spark, sf_dir)
+    return marts.top_content(enrich.enrich_with_metadata(rows, titles))
+
+
+@query
+def region_breakdown_from_bitmaps(spark, sf_dir):
+    """Distinct contents of a week from the bitmaps of its days."""
+    daily = daily_lake(spark, sf_dir)
+    by = ("event_date", "region")
+    numbers = keys.stable_keys(None, daily, ["content_id"], "content_number")
+    path = f"{working_folder(spark, 'bitmaps')}/contents"
+    made = bitmaps.member_bitmaps(daily, numbers, "content_id", "content_number", by)
+    write_partitioned(made, path, ("event_date",))
+    week = marts.filter_window(read_lake(spark, path), None, *WEEK)
+    counts = bitmaps.distinct_members(week, ["region"])
+    sums = marts.region_totals(marts.filter_window(daily, None, *WEEK))
+    return sums.join(counts.withColumnRenamed("members", "unique_content"), "region")
+
+
+@query
+def versions_as_of(spark, sf_dir):
+    """Events with the genre their content had when they happened."""
+    events = testdata.viewing_events(spark, sf_dir).select(
+        "event_id", "content_id", "event_timestamp"
+    )
+    joined = as_of_join(events, content_history(spark, sf_dir), ["content_id"], period="day")
+    return joined.select("event_id", "content_id", "genre", "valid_from")
+
+
+@query
+def compacted_partitions(spark, sf_dir):
+    """A lake of many small files after compaction: all rows, one file a partition."""
+    path = f"{working_folder(spark, 'compacted')}/viewing_events"
+    spread = clean(spark, sf_dir).repartition(4)
+    spread.write.partitionBy("event_date", "region").parquet(path)
+    compact(spark, path, ["content_id", "event_id"])
+    is_one = (F.col("files") == 1).alias("is_one_file")
+    return partition_report(spark, path).select("event_date", "region", "rows", is_one)
+
+
 # Warehouse
 
 
+def content_history(spark, sf_dir):
+    """Versions of contents after a second snapshot in the middle of the events."""
+    metadata = testdata.content_metadata(spark, sf_dir)
+    number = F.substring_index("content_id", "-", -1).cast("int")
+    second = metadata.where(number % 11 != 4).withColumn(
+        "genre", F.when(number % 7 == 0, "REISSUE").otherwise(F.col("genre"))
+    )
+    history = warehouse.open_history(metadata.where(number % 13 != 5), date(2024, 1, 3))
+    return warehouse.apply_snapshot(history, second, "content_id", MIDDLE)
+
+
 @query
 def dim_date(spark, sf_dir):
     """The calendar with the events of each day, days without any included."""
@@ -396,21 +515,21 @@ def scd2_content(spark, sf_dir):
     return warehouse.apply_snapshot(history, second, "content_id", date(2024, 2, 1))
 
 
-def fact(spark, sf_dir, unknown="drop"):
-    return warehouse.fact_viewing(
-        clean(spark, sf_dir), dimensions(spark, sf_dir), unknown
-    )
+def star(spark, sf_dir, unknown="drop"):
+    """The fact and the dimensions it was keyed with."""
+    dims = stored_dimensions(spark, sf_dir)
+    return warehouse.fact_viewing(clean(spark, sf_dir), dims, unknown), dims
 
 
 @query
 def fact_viewing(spark, sf_dir):
-    return fact(spark, sf_dir)
+    return star(spark, sf_dir)[0]
 
 
 @query
 def fact_content_launch(spark, sf_dir):
     return warehouse.fact_content_launch(
-        testdata.content_launch(spark, sf_dir), dimensions(spark, sf_dir)
+        testdata.content_launch(spark, sf_dir), stored_dimensions(spark, sf_dir)
     )
 
 
@@ -423,18 +542,19 @@ def orphan_launches(spark, sf_dir):
 
 @query
 def warehouse_top(spark, sf_dir):
-    return warehouse.warehouse_top(fact(spark, sf_dir), dimensions(spark, sf_dir))
+    return warehouse.warehouse_top(*star(spark, sf_dir))
 
 
 @query
 def star_read(spark, sf_dir):
-    return warehouse.star_read(fact(spark, sf_dir), dimensions(spark, sf_dir))
+    return warehouse.star_read(*star(spark, sf_dir))
 
 
 @query
 def views_by_calendar(spark, sf_dir):
+    fact, dims = star(spark, sf_dir)
     return warehouse.views_by_calendar(
-        fact(spark, sf_dir), warehouse.dim_date(spark), ("year", "week", "day_of_week")
+        fact, dims["dim_date"], ("year", "week", "day_of_week")
     )
 
 
@@ -455,14 +575,14 @@ def orphan_check(spark, sf_dir):
 
 @query
 def verify_warehouse(spark, sf_dir):
-    dims = with_unknowns(dimensions(spark, sf_dir))
-    return warehouse.verify_warehouse(fact(spark, sf_dir, "keep"), dims)
+    fact, dims = star(spark, sf_dir, "keep")
+    return warehouse.verify_warehouse(fact, with_unknowns(dims))
 
 
 @query
 def unknown_members(spark, sf_dir):
     """Views of the fact by whether the content is known: none is lost."""
-    rows = fact(spark, sf_dir, "keep")
+    rows, _ = star(spark, sf_dir, "keep")
     return rows.groupBy((F.col("content_key") != 0).alias("known_content")).agg(
         F.count("*").alias("fact_rows"), F.sum("views").alias("views")
     )
@@ -472,7 +592,7 @@ def unknown_members(spark, sf_dir):
 def fact_upsert(spark, sf_dir):
     """Days from the 15th on replace rows of an older fact that stopped at the 20th
     and counted only two regions."""
-    dims = dimensions(spark, sf_dir)
+    dims = stored_dimensions(spark, sf_dir)
     events = clean(spark, sf_dir)
     older = events.where(
         (F.col("event_date") <= F.lit(date(2024, 1, 20)))
@@ -612,6 +732,15 @@ def anomaly_flags(spark, sf_dir):
     )
 
 
+@query
+def anomaly_metrics(spark, sf_dir):
+    """The anomaly rules against the faults put into the raw events."""
+    flagged = quality.anomaly_flags(checked(spark, sf_dir))
+    return quality.label_metrics(
+        flagged, F.col("is_anomaly"), F.col(validate.REASON).isNotNull()
+    )
+
+
 @query
 def label_metrics(spark, sf_dir):
     """Low quality as the flag, toxic as the truth."""
@@ -796,7 +925,7 @@ def after_two_runs(spark, sf_dir) -> Zones:
 @query
 def incremental_daily(spark, sf_dir):
     """The daily aggregate after two runs: equal to one computation over everything."""
-    return spark.read.parquet(after_two_runs(spark, sf_dir).daily)
+    return spark.read.parquet(after_two_runs(spark, sf_dir).daily).drop(*rollup.PARTIALS)
 
 
 def published(spark, zones):

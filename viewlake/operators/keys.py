@@ -17,7 +17,10 @@ def _bucket(natural_key: Sequence[str]) -> Column:
 
 
 def stable_keys(
-    existing: DataFrame, members: DataFrame, natural_key: Sequence[str], key: str
+    existing: DataFrame | None,
+    members: DataFrame,
+    natural_key: Sequence[str],
+    key: str,
 ) -> DataFrame:
     """Key of every natural key in existing or members, one row each.
 
@@ -26,32 +29,40 @@ def stable_keys(
     before it. Only the bucket totals, at most 4,096 rows, meet in one task. The
     highest existing key enters as the total of an empty first bucket.
     """
+    fresh = members.select(*natural_key).dropna().distinct()
+    if existing is None:
+        return number_rows(fresh, natural_key, key)
     known = existing.select(*natural_key, F.col(key).cast("int").alias(key))
-    fresh = (
-        members.select(*natural_key)
-        .dropna()
-        .distinct()
-        .join(known, list(natural_key), "left_anti")
-        .withColumn("_bucket", _bucket(natural_key))
-    )
-    totals = fresh.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    highest = known.select(
-        F.lit("").alias("_bucket"), F.col(key).cast("long").alias("_n")
-    )
-    highest = highest.groupBy("_bucket").agg(F.max("_n").alias("_n"))
+    fresh = fresh.join(known, list(natural_key), "left_anti")
+    return known.unionByName(number_rows(fresh, natural_key, key, known))
+
+
+def number_rows(
+    rows: DataFrame,
+    natural_key: Sequence[str],
+    key: str,
+    known: DataFrame | None = None,
+) -> DataFrame:
+    """Rows, one for each natural key, with a number as ``key``, from 1 on or from the
+    highest one of ``known`` on."""
+    placed = rows.withColumn("_bucket", _bucket(natural_key))
+    totals = placed.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    if known is not None:
+        highest = known.select(
+            F.lit("").alias("_bucket"), F.col(key).cast("long").alias("_n")
+        )
+        totals = totals.unionByName(highest.groupBy("_bucket").agg(F.max("_n").alias("_n")))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.unionByName(highest).select(
+    offsets = totals.select(
         "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     in_bucket = Window.partitionBy("_bucket").orderBy(*natural_key)
-    numbered = (
-        fresh.withColumn("_place", F.row_number().over(in_bucket))
+    number = (F.col("_offset") + F.col("_place")).cast("int").alias(key)
+    return (
+        placed.withColumn("_place", F.row_number().over(in_bucket))
         .join(offsets, "_bucket")
-        .select(
-            *natural_key, (F.col("_offset") + F.col("_place")).cast("int").alias(key)
-        )
+        .select(*rows.columns, number)
     )
-    return known.unionByName(numbered)
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,22 +1,29 @@
-"""Lake and dashboard questions on the enriched events."""
+"""Lake and dashboard questions, on enriched events or on the daily aggregate.
+
+The daily aggregate holds exact sums, so a question whose columns it has is answered from
+it with the same figures and a fraction of the rows; ``coarsest`` chooses.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewlake.functions import (
     completed_views,
     exact_avg,
     exact_sum,
+    from_units,
     percent,
     round_half_up,
     watch_hours,
 )
 
+from viewlake.operators.rollup import PARTIALS
+
 # Fixed value: days shown when no full date range is given.
 DEFAULT_DAYS = 14
 
@@ -47,22 +54,51 @@ def filter_window(
     return rows.where(F.col("region").isin(list(regions)))
 
 
-def _hours(places: int):
+def coarsest(needed: Sequence[str], *sources: DataFrame) -> DataFrame:
+    """The first of the sources, coarsest first, that has the columns a question needs."""
+    for rows in sources:
+        if set(needed) <= set(rows.columns):
+            return rows
+    raise ValueError(f"no source has all of {sorted(needed)}")
+
+
+def is_daily(rows: DataFrame) -> bool:
+    return set(PARTIALS) <= set(rows.columns)
+
+
+def _views(rows: DataFrame) -> Column:
+    if is_daily(rows):
+        return F.coalesce(F.sum("views"), F.lit(0).cast("long"))
+    return F.count("*")
+
+
+def _hours(rows: DataFrame, places: int) -> Column:
+    if is_daily(rows):
+        return watch_hours(from_units(F.sum("minutes_units")), places)
     return watch_hours(exact_sum(F.col("watch_minutes")), places)
 
 
-def _completion(places: int):
+def _completion(rows: DataFrame, places: int) -> Column:
+    if is_daily(rows):
+        rated = F.nullif(F.sum("rated_views"), F.lit(0))
+        return round_half_up(from_units(F.sum("rate_units")) / rated, places)
     return round_half_up(exact_avg(F.col("completion_rate")), places)
 
 
+def _completed(rows: DataFrame) -> Column:
+    if is_daily(rows):
+        return F.sum("completed_views")
+    return completed_views()
+
+
 def top_content(events: DataFrame, k: int = 20) -> DataFrame:
     """The k contents with the most watch hours."""
     return (
         events.groupBy("content_id", "title")
         .agg(
-            _hours(2).alias("watch_hours"),
-            F.count("*").alias("view_count"),
-            _completion(2).alias("avg_completion"),
+            _hours(events, 2).alias("watch_hours"),
+            _views(events).alias("view_count"),
+            _completion(events, 2).alias("avg_completion"),
         )
         .orderBy(F.desc("watch_hours"), "content_id")
         .limit(k)
@@ -73,7 +109,7 @@ def watch_hours_by_content(events: DataFrame, k: int = 20) -> DataFrame:
     """The k region and content pairs with the most watch hours."""
     return (
         events.groupBy("region", "content_id")
-        .agg(_hours(2).alias("watch_hours"))
+        .agg(_hours(events, 2).alias("watch_hours"))
         .orderBy(F.desc("watch_hours"), "region", "content_id")
         .limit(k)
     )
@@ -83,7 +119,7 @@ def daily_trend(events: DataFrame) -> DataFrame:
     """Views and hours per day and region."""
     return (
         events.groupBy("event_date", "region")
-        .agg(F.count("*").alias("daily_views"), _hours(1).alias("watch_hours"))
+        .agg(_views(events).alias("daily_views"), _hours(events, 1).alias("watch_hours"))
         .orderBy("event_date", "region")
     )
 
@@ -92,9 +128,9 @@ def completion_by_device(events: DataFrame) -> DataFrame:
     return (
         events.groupBy("device_type")
         .agg(
-            F.count("*").alias("total_events"),
-            _completion(2).alias("avg_completion_rate"),
-            completed_views().alias("completed_views"),
+            _views(events).alias("total_events"),
+            _completion(events, 2).alias("avg_completion_rate"),
+            _completed(events).alias("completed_views"),
         )
         .orderBy(F.desc("total_events"), "device_type")
     )
@@ -102,23 +138,29 @@ def completion_by_device(events: DataFrame) -> DataFrame:
 
 def region_breakdown(events: DataFrame) -> DataFrame:
     """Events, hours and distinct contents per region."""
-    return (
-        events.groupBy("region")
-        .agg(
-            F.count_distinct("content_id").alias("unique_content"),
-            F.count("*").alias("total_events"),
-            _hours(1).alias("total_watch_hours"),
-        )
-        .orderBy(F.desc("total_watch_hours"), "region")
+    distinct = F.count_distinct("content_id").alias("unique_content")
+    return _by_region(events, distinct).orderBy(F.desc("total_watch_hours"), "region")
+
+
+def region_totals(events: DataFrame) -> DataFrame:
+    """Events and hours per region."""
+    return _by_region(events)
+
+
+def _by_region(events: DataFrame, *others: Column) -> DataFrame:
+    return events.groupBy("region").agg(
+        *others,
+        _views(events).alias("total_events"),
+        _hours(events, 1).alias("total_watch_hours"),
     )
 
 
 def kpis(events: DataFrame) -> DataFrame:
     """One row of key figures; on no events the sums are NULL and counts 0."""
     return events.agg(
-        F.count("*").alias("total_views"),
-        _hours(0).alias("total_watch_hours"),
-        _completion(2).alias("avg_completion"),
+        _views(events).alias("total_views"),
+        _hours(events, 0).alias("total_watch_hours"),
+        _completion(events, 2).alias("avg_completion"),
         F.count_distinct("content_id").alias("unique_content"),
     )
 
@@ -126,7 +168,7 @@ def kpis(events: DataFrame) -> DataFrame:
 def trend_by_date(events: DataFrame) -> DataFrame:
     return (
         events.groupBy("event_date")
-        .agg(F.count("*").alias("views"), _hours(1).alias("watch_hours"))
+        .agg(_views(events).alias("views"), _hours(events, 1).alias("watch_hours"))
         .orderBy("event_date")
     )
 
@@ -135,7 +177,7 @@ def weekly_trend(events: DataFrame) -> DataFrame:
     """Views and hours per week; weeks begin on Monday."""
     return (
         events.groupBy(F.to_date(F.date_trunc("week", "event_date")).alias("week_start"))
-        .agg(F.count("*").alias("views"), _hours(1).alias("watch_hours"))
+        .agg(_views(events).alias("views"), _hours(events, 1).alias("watch_hours"))
         .orderBy("week_start")
     )
 
@@ -143,7 +185,7 @@ def weekly_trend(events: DataFrame) -> DataFrame:
 def device_completion_chart(events: DataFrame) -> DataFrame:
     return (
         events.groupBy("device_type")
-        .agg(_completion(2).alias("avg_completion"), F.count("*").alias("events"))
+        .agg(_completion(events, 2).alias("avg_completion"), _views(events).alias("events"))
         .orderBy(F.desc("events"), "device_type")
     )
 
@@ -153,7 +195,7 @@ def top_titles(events: DataFrame, k: int = 10) -> DataFrame:
     and a content without a title shows its id."""
     return (
         events.groupBy("title", "content_id")
-        .agg(_hours(1).alias("watch_hours"), F.count("*").alias("views"))
+        .agg(_hours(events, 1).alias("watch_hours"), _views(events).alias("views"))
         .orderBy(F.desc("watch_hours"), "content_id")
         .limit(k)
         .select(F.coalesce("title", "content_id").alias("title"), "watch_hours", "views")

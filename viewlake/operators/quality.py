@@ -70,7 +70,7 @@ def category_mix(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 #: Parts in which the keys of one size meet their rank.
-SIZE_SALTS = 256
+SIZE_SALTS = 16
 
 
 def skew_profile(rows: DataFrame, key: str) -> DataFrame:

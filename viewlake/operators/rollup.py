@@ -19,23 +19,33 @@ from viewlake.functions import (
 DAILY_GRAIN = ("content_id", "region", "device_type", "event_date")
 
 
+# Sums that can be summed again, next to the rounded measures.
+PARTIALS = ("minutes_units", "rate_units", "rated_views")
+
+
 def aggregate_daily(
-    derived: DataFrame, grain: Sequence[str] = DAILY_GRAIN
+    derived: DataFrame, grain: Sequence[str] = DAILY_GRAIN, partials: bool = False
 ) -> DataFrame:
     """One row per content, region, device and day.
 
     A missing completion rate is left out of the average; the warehouse fact
-    counts it as zero instead.
+    counts it as zero instead. With ``partials`` the row also has the exact sums, from
+    which the figures of any coarser grain follow; see ``operators.marts``.
     """
     minutes = exact_sum(F.col("watch_minutes"))
+    rate = F.col("completion_rate")
+    exact = {
+        "minutes_units": exact_units(F.col("watch_minutes")),
+        "rate_units": exact_units(rate),
+        "rated_views": F.count(rate),
+    }
     return derived.groupBy(*grain).agg(
         F.count("*").alias("views"),
         minutes.alias("total_watch_minutes"),
         watch_hours(minutes).alias("total_watch_hours"),
         F.count_if("is_completed").alias("completed_views"),
-        round_half_up(exact_avg(F.col("completion_rate")), 4).alias(
-            "avg_completion_rate"
-        ),
+        round_half_up(exact_avg(rate), 4).alias("avg_completion_rate"),
+        *(exact[name].alias(name) for name in PARTIALS if partials),
     )
 
 

@@ -63,6 +63,7 @@ from viewlake.sinks.runlog import (
     save_run_state,
     stage_rows,
 )
+from viewlake.sources.headers import read_landed_events
 from viewlake.sources.paths import (
     dates_frame,
     drop_folder,
@@ -261,7 +262,7 @@ def _follow_up(
 
     def aggregate() -> None:
         with _stage(result, "aggregate"):
-            daily = aggregate_daily(touched)
+            daily = aggregate_daily(touched, partials=True)
             replace_partitions(daily, zones.daily, ("event_date",), _texts(events))
 
     def load_warehouse() -> None:
@@ -296,6 +297,8 @@ def _write_checked(
     if not days:
         schema = check_events(read_viewing_events(spark, zones.raw_events)).schema
         return _valid(spark, zones, schema.add("status", "string")), 0, 0
+    # Files whose columns do not fit stop the run here, before anything is touched.
+    landed = read_landed_events(spark, zones.raw_events, days, zones.event_columns)
     for status in ("valid", "rejected"):
         drop_partitions(
             spark,
@@ -303,7 +306,7 @@ def _write_checked(
             ("status", "ingest_date"),
             [(status, d.isoformat()) for d in days],
         )
-    checked = check_events(read_viewing_events(spark, zones.raw_events, days))
+    checked = check_events(landed)
     rows, seen = counted(checked, "arrivals", valid=F.count_if(is_valid()))
     rows = rows.withColumn(
         "status", F.when(is_valid(), "valid").otherwise("rejected")

@@ -7,7 +7,7 @@ into the fact.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +26,7 @@ from viewlake.functions import (
     round_half_up,
     watch_hours,
 )
-from viewlake.operators.keys import stable_keys, upsert
+from viewlake.operators.keys import number_rows, stable_keys, upsert
 from viewlake.sources.calendar import date_series
 
 # First and last day of dim_date.
@@ -92,8 +92,6 @@ def dim_region(spark: SparkSession) -> DataFrame:
 
 def dim_device(events: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Device types seen in events, numbered in a stable way."""
-    if existing is None:
-        existing = empty_table(events.sparkSession, "dim_device")
     keyed = stable_keys(existing, events, ["device_type"], "device_key")
     return keyed.select("device_key", "device_type")
 
@@ -106,9 +104,11 @@ def dim_content(
     ``updated_at`` is the time of the run that last changed a row, so a rerun
     changes nothing. A content that left the metadata keeps its row.
     """
-    if existing is None:
-        existing = empty_table(metadata.sparkSession, "dim_content")
     current = _one_row_per_content(metadata)
+    if existing is None:
+        loaded = current.withColumn("updated_at", F.lit(run_at).cast("timestamp"))
+        columns = schemas.DIM_CONTENT.fieldNames()
+        return number_rows(loaded, ["content_id"], "content_key").select(*columns)
     keyed = stable_keys(
         existing.select("content_id", "content_key"),
         current,
@@ -252,17 +252,22 @@ def fact_viewing(
         ("dim_region", "region_key", "region_code", "region"),
         ("dim_device", "device_key", "device_type", "device_type"),
     )
-    total = from_units(F.sum("_minutes"))
-    views = F.sum("_views")
-    return keyed.groupBy(*FACT_KEYS).agg(
+    if unknown == "drop":
+        # Keys stand for natural keys one to one, so the rows are at the grain already.
+        return keyed.select(*FACT_KEYS, *_fact_measures(F.col))
+    return keyed.groupBy(*FACT_KEYS).agg(*_fact_measures(F.sum))
+
+
+def _fact_measures(take: Callable[[str], Column]) -> list[Column]:
+    total, views = from_units(take("_minutes")), take("_views")
+    rate = round_half_up(from_units(take("_rates")) / views, 4)
+    return [
         views.cast("int").alias("views"),
         total.alias("watch_minutes"),
         watch_hours(total).alias("watch_hours"),
-        F.sum("_completed").cast("int").alias("completed_views"),
-        round_half_up(from_units(F.sum("_rates")) / views, 4).alias(
-            "avg_completion_rate"
-        ),
-    )
+        take("_completed").cast("int").alias("completed_views"),
+        rate.alias("avg_completion_rate"),
+    ]
 
 
 def fact_content_launch(

@@ -78,6 +78,11 @@ class Zones:
         """Versions of the reference tables, and a pointer to those published."""
         return f"{self.base}/state/references"
 
+    @property
+    def event_columns(self) -> str:
+        """The columns that landed event files have had."""
+        return f"{self.base}/state/schemas/viewing_events"
+
     @property
     def reference_rejects(self) -> str:
         return f"{self.base}/rejected/references"

@@ -121,6 +121,6 @@ def require_compatible(expected: StructType, incoming: StructType) -> SchemaDrif
     if not drift.compatible:
         raise ValueError(
             f"incompatible schema: missing {list(drift.missing)},"
-            f" retyped {list(drift.retyped)}"
+            f" retyped {list(drift.retyped)}, added {list(drift.added)}"
         )
     return drift

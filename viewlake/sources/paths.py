@@ -121,6 +121,17 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, None if it is empty."""
+    fs, hadoop = _path(spark, path)
+    java = spark._jvm.java.io
+    stream = fs.open(hadoop)
+    try:
+        return java.BufferedReader(java.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
 def publish_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file that nobody sees before it is whole: it gets its name by a
     rename. A name that is taken already is refused."""
