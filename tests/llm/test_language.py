@@ -88,3 +88,18 @@ def test_unlabelled_rows_are_kept(spark):
     rows = [(1, "some words", None), (2, "日本", None), (3, "12 !!", None), (4, "", None), (5, None, None), (None, "x", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert {r["text"] for r in language.keep_identified(df).collect()} == {"some words", "日本", "x"}
+
+
+def test_the_lowest_hashes_of_each_language_are_found(spark):
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "big").when(F.col("id") % 1000 == 1, "rare").otherwise(F.concat(F.lit("l"), F.col("id") % 7)).alias("lang"),
+        F.xxhash64("id").alias("hash"), F.col("id").alias("doc_id"),
+    )
+    got = language._lowest(rows, 20, 500).groupBy("lang").agg(F.sort_array(F.collect_list("hash")).alias("h")).collect()
+    every = rows.groupBy("lang").agg(F.sort_array(F.collect_list("hash")).alias("h")).collect()
+    assert {r["lang"]: r["h"] for r in got} == {r["lang"]: r["h"][:20] for r in every}
+    # Hashes that are not spread at all only raise the bound.
+    high = rows.withColumn("hash", F.lit(2**62) + F.col("doc_id"))
+    assert language._lowest(high, 5, 500).groupBy("lang").count().where("count <> 5").count() == 0
+    most = language._lowest(rows, 5, 2).select("lang").distinct().collect()
+    assert len(most) == 2 and "big" in {r["lang"] for r in most}

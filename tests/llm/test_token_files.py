@@ -64,3 +64,15 @@ def test_files_are_zstandard_with_checksums(spark):
 
 def test_empty_table(spark):
     assert files.read_digests(spark, write(spark, [])).count() == 0
+
+
+def test_rows_without_ids_are_parted_over_files(spark, monkeypatch):
+    rows = [(None, f"text number {i} of many", "x") for i in range(400)] + [(i, "some text", "x") for i in range(5)]
+    folder = write(spark, rows, file_bytes=1_000)
+    sizes = [r["n"] for r in files.read_digests(spark, folder).groupBy("doc_id").count().withColumnRenamed("count", "n").collect()]
+    assert sorted(sizes) == [1] * 5 + [400]
+    contents = [bytes(r["content"]) for r in files._files(spark, folder).collect()]
+    assert len(contents) > 5 and max(len(files.read_directory(c)[0]) for c in contents) < 200
+    monkeypatch.setattr(files, "MOST_FILES", 2)
+    folder = write(spark, rows, file_bytes=1_000)
+    assert files._files(spark, folder).count() == 2

@@ -39,6 +39,8 @@ START, AFTER_ROLE, END = "### ", ": ", "</turn>\n"
 LEARNED_ROLE = "assistant"
 #: Bytes of text formatted by one task.
 TASK_BYTES = 16_000_000
+#: Tasks at most, so that their number does not outgrow the driver.
+MOST_TASKS = 100_000
 
 HEADER = re.compile(r"### ((?:[^\\:]|\\.)*): ", re.DOTALL)
 ESCAPED = re.compile(r"\\(.)", re.DOTALL)
@@ -105,7 +107,8 @@ def format_conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str
     rows = df.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     order = ["conv_id", "turn", "role", F.xxhash64("text")]
-    dealt = rows.repartitionByRange(max(1, -(-size // task_bytes)), *order).sortWithinPartitions(*order, "text")
+    tasks = min(MOST_TASKS, max(1, -(-size // task_bytes)))
+    dealt = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32  # partitions follow the order of conversations

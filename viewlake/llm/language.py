@@ -33,13 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from viewlake.llm.scratch import text_slices
+from viewlake.llm.scratch import cut, text_slices
 
 UNKNOWN = "und"
 SAMPLE_TEXTS = 128
 SAMPLE_CHARS = 384
-#: Parts of a language in which the lowest hashes are looked for side by side.
-SAMPLE_PARTS = 16
+#: Languages that are learned, those with most documents first.
+MOST_LANGUAGES = 500
 #: Letters with a column in the table of steps; steps by rarer ones are looked up.
 TABLE_LETTERS = 120
 BLOCK_SYMBOLS = 512
@@ -55,26 +55,40 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(3)) == 1, F.lit(False))
 
 
-def _lowest(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
-    """The n rows of each key with the lowest hash."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("hash"))
-    return rows.withColumn("rank", rank).where(F.col("rank") <= n).drop("rank")
+def _lowest(distinct: DataFrame, n: int, languages: int) -> DataFrame:
+    """The n rows of each language with the lowest hash, of the languages with most rows.
 
-
-def draw_sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> tuple[tuple[str, str], ...]:
+    Hashes are spread evenly, so a language's n lowest are below a bound that follows
+    from its number of rows. Some four times n rows of each are left for the ranking,
+    whatever a language holds; if a bound was too low it is raised.
+    """
+    most = distinct.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    counts = cut(most)  # as many rows as languages are learned
+    share = 4.0 * n
+    while True:
+        bounds = counts.withColumn("bound", F.lit(-(2.0**63)) + F.lit(2.0**64) * F.least(F.lit(1.0), F.lit(share) / F.col("n")))
+        low = distinct.join(F.broadcast(bounds.drop("n")), "lang").where(F.col("hash").cast("double") <= F.col("bound")).drop("bound")
+        held = cut(low)
+        found = held.groupBy("lang").agg(F.count("*").alias("held"))
+        if counts.join(found, "lang", "left").where(F.coalesce("held", F.lit(0)) < F.least(F.lit(n), F.col("n"))).isEmpty():
+            break
+        share *= 4
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    return held.withColumn("rank", rank).where(F.col("rank") <= n).drop("rank")
+
+
+def draw_sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS, languages: int = MOST_LANGUAGES) -> tuple[tuple[str, str], ...]:
     """(language, text) pairs to learn from, languages in order.
 
     The lowest hashes of each language are found on hashes alone; only their texts
-    are read again. A long text gives a passage from a place its hash names.
+    are read again. A long text gives a passage from a place its hash names. Of more
+    than ``languages`` different labels those with most documents are learned.
     """
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     able = rows.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
     able = able.withColumn("hash", F.xxhash64("text"))
-    distinct = able.groupBy("lang", "hash").agg(F.min("doc_id").alias("doc_id"))
-    # A language may hold most rows: its lowest hashes are found part by part first,
-    # so the last step sees no more than SAMPLE_PARTS times ``texts`` rows of each.
-    parts = distinct.withColumn("part", F.pmod(F.xxhash64("hash"), F.lit(SAMPLE_PARTS)))
-    chosen = _lowest(_lowest(parts, ["lang", "part"], texts).drop("part"), ["lang"], texts)
+    distinct = cut(able.groupBy("lang", "hash").agg(F.min("doc_id").alias("doc_id")))
+    chosen = cut(_lowest(distinct, texts, languages))
     # As many rows as languages times texts: bounded, whatever the table's size.
     start = F.pmod(F.col("hash"), F.greatest(F.char_length("text") - chars, F.lit(0)) + 1) + 1
     passages = able.join(F.broadcast(chosen), ["lang", "hash", "doc_id"]).select("lang", "hash", F.substring(F.col("text"), start.cast("int"), F.lit(chars)).alias("text")).distinct().collect()

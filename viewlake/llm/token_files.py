@@ -54,8 +54,9 @@ DIRECTORY = np.dtype([("doc_id", "<i8"), ("is_null", "u1")])
 SEEK_TABLE = np.dtype([("stored", "<u4"), ("size", "<u4"), ("checksum", "<u4")])
 CHECKSUM_FLAG = 0x80
 
-#: Bytes of text that go to one file.
+#: Bytes of text that go to one file, and files at most: beyond 1.6 TB they grow.
 FILE_BYTES = 16_000_000
+MOST_FILES = 100_000
 
 
 @cache
@@ -132,9 +133,11 @@ def write_token_files(df: DataFrame, folder: str, vocabulary: str, id_col: str =
     ids are encoded where the sorted texts arrive, so they are never shuffled.
     """
     size = df.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
-    files = max(1, -(-size // file_bytes))
+    files = min(MOST_FILES, max(1, -(-size // file_bytes)))
     slim = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = slim.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # Rows of one id, as of none, are parted by their texts.
+    order = ["doc_id", F.xxhash64("text")]
+    ordered = slim.repartitionByRange(files, *order).sortWithinPartitions(*order)
     encoded = _encoded(vocabulary, end_id)
     rows = ordered.mapInArrow(lambda batches: _frames(encoded(batches)), "frame binary")
     rows.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", SKIPPABLE_GAP.decode()).option("compression", "none").option("maxRecordsPerFile", 0).text(folder)
