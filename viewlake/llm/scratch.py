@@ -39,17 +39,18 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def text_slices(
-    batches: Iterator[pa.RecordBatch], text: str
+    batches: Iterator[pa.RecordBatch], text: str, fill: bool = True
 ) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``SLICE_CHARS`` bytes of ``text`` at most.
 
     A batch holds many rows of short text or a few of very long text; a single
-    text is never cut. NULL texts become empty.
+    text is never cut. NULL texts become empty, unless they are to be left.
     """
     for batch in batches:
         at = batch.schema.get_field_index(text)
         filled = pc.fill_null(batch.column(at), "")
-        batch = batch.set_column(at, pa.field(text, filled.type), filled)
+        if fill:
+            batch = batch.set_column(at, pa.field(text, filled.type), filled)
         sizes = pc.binary_length(filled).to_numpy(zero_copy_only=False)
         begin, held = 0, 0
         for i, size in enumerate(sizes.tolist()):
