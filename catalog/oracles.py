@@ -590,6 +590,7 @@ _SQL["incremental_daily"] = _SQL["end_to_end_daily"]
 _SQL["skew_profile"] = _skew("content_id")
 _SQL["skew_profile_customers"] = _skew("customer_id")
 _SQL["enrich_launch_merge"] = _SQL["enrich_launch"]
+_SQL["enrich_launch_colocated"] = _SQL["enrich_launch"]
 
 PARTS["ev_old"] = """
 SELECT * FROM ev WHERE event_date <= DATE '2024-01-20' AND region IN ('UK', 'US')"""

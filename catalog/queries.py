@@ -30,6 +30,12 @@ from viewlake.operators import fingerprint as prints
 from viewlake.operators import validate
 from viewlake.operators.asof import as_of_join
 from viewlake.plans import daily_run, formats, references, refresh, warehouse
+from viewlake.plans.colocated import (
+    Colocated,
+    drop_colocated,
+    join_colocated,
+    write_colocated,
+)
 from viewlake.plans.transform import check_events, transform
 from viewlake.plans.zones import Zones, side_by_side
 from viewlake.session import working_folder
@@ -238,6 +244,23 @@ def enrich_launch_merge(spark, sf_dir):
     )
 
 
+@query
+def enrich_launch_colocated(spark, sf_dir):
+    """The launch join over tables in the same buckets: no event is shuffled by it."""
+    base = working_folder(spark, "colocated")
+    number = base.rsplit("-", 1)[1]
+    names = Colocated(f"events_{number}", f"launches_{number}")
+    events = testdata.viewing_events(spark, sf_dir)
+    launches = testdata.content_launch(spark, sf_dir)
+    write_colocated(events, launches, names, base, buckets=8, salts=2)
+    join_colocated(spark, names).write.parquet(f"{base}/joined")
+    drop_colocated(spark, names)
+    return read_lake(spark, f"{base}/joined").select(
+        "event_id", "content_id", "region", "planned_launch_date",
+        "actual_launch_date", "launch_status",
+    )
+
+
 @query
 def derived_fields(spark, sf_dir):
     joined = enrich.enrich_with_launch(
