@@ -1,5 +1,6 @@
 """Published warehouse versions, restated days and rejected reference rows."""
 
+import shutil
 from datetime import date, datetime
 
 import pytest
@@ -27,16 +28,24 @@ def view(n, content, day, **others):
     return {"event_id": f"E{n}", "content_id": content, "event_timestamp": datetime(2024, 1, day, 9), "ingest_date": date(2024, 1, day), **others}
 
 
+@pytest.fixture(scope="module")
+def first_lake(tmp_path_factory):
+    """Where the lake after its first run is, for tests to copy."""
+    return tmp_path_factory.mktemp("first") / "lake"
+
+
 @pytest.fixture
-def zones(spark, make_events, tmp_path):
-    zones = Zones(str(tmp_path))
-    write_references(spark, zones, [("M1", "One"), ("M2", "Two")])
-    land_raw(
-        make_events(view(1, "M1", 1), view(2, "M2", 1), view(3, "M1", 2), view(4, "M2", 3, region="JP"), view(5, "M9", 4)),
-        zones.raw_events,
-    )
-    daily_run.run_incremental(spark, zones, "first", RUN)
-    return zones
+def zones(spark, make_events, tmp_path, first_lake):
+    if not first_lake.exists():
+        made = Zones(str(first_lake))
+        write_references(spark, made, [("M1", "One"), ("M2", "Two")])
+        land_raw(
+            make_events(view(1, "M1", 1), view(2, "M2", 1), view(3, "M1", 2), view(4, "M2", 3, region="JP"), view(5, "M9", 4)),
+            made.raw_events,
+        )
+        daily_run.run_incremental(spark, made, "first", RUN)
+    shutil.copytree(first_lake, tmp_path / "lake")
+    return Zones(str(tmp_path / "lake"))
 
 
 def titles(spark, zones):
@@ -190,6 +199,15 @@ def test_broken_reference_rows_are_set_aside(spark, make_events, tmp_path):
     ]
 
 
+def test_broken_rows_that_come_later_are_set_aside_too(spark, zones):
+    with open(f"{zones.metadata}/more.csv", "w") as file:
+        file.write("content_id,title,genre,studio,release_date,content_type\nM3,short\n")
+    run = daily_run.run_incremental(spark, zones, "second", RUN)
+    assert run.event_dates == []  # no sound row has changed
+    rejected = references.rejected_references(spark, zones, references.METADATA)
+    assert rows_of(rejected, "content_id") == [("M3",)]
+
+
 def test_joins_of_declared_tables_need_no_aggregate(spark):
     from viewlake.operators.enrich import declare_unique, enrich_with_metadata
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from viewlake.operators.enrich import declare_unique, one_row_per_key
+from viewlake.operators.fingerprint import fingerprint
 from viewlake.operators.validate import (
     REASON,
     Rule,
@@ -119,16 +120,21 @@ def _read_version(spark: SparkSession, zones: Zones, kind: Kind, version: int) -
 
 
 def _take_in(spark: SparkSession, zones: Zones, kind: Kind, path: str) -> int:
-    """The version that holds what the reference file says now."""
-    rows, rejected = split_reference(read_reference_rows(spark, kind.schema, path), kind)
-    newest = newest_version(spark, _base(zones, kind))
-    if newest:
-        held = _read_version(spark, zones, kind, newest)
-        if changed_keys(held, rows, kind.keys).isEmpty():
-            return newest
-    version = write_version(rows, _base(zones, kind))
-    rejects = f"{zones.reference_rejects}/{kind.name}"
+    """The version that holds what the reference file says now.
+
+    A fingerprint of all its rows, broken ones too, tells whether anything changed.
+    """
+    base, rejects = _base(zones, kind), f"{zones.reference_rejects}/{kind.name}"
+    landed = read_reference_rows(spark, kind.schema, path)
+    digest = [str(v) for v in fingerprint(landed, []).first()]
+    taken = newest_pointer(spark, base)
+    if taken is not None and taken.content["digest"] == digest:
+        return taken.content["version"]
+    rows, rejected = split_reference(landed, kind)
+    version = write_version(rows, base)
     rejected.write.mode("overwrite").parquet(version_path(rejects, version))
+    drop_versions(spark, rejects, version)
+    publish(spark, base, {"version": version, "digest": digest})
     return version
 
 
