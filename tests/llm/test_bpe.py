@@ -51,10 +51,9 @@ def test_any_text(text):
     assert bpe.load(PATH).encode_batch(pa.array([text, "a " + text])).to_pylist() == [LIBRARY.encode(t, add_special_tokens=False).ids for t in (text, "a " + text)]
 
 
-def test_small_cache_forgets_and_stays_right(monkeypatch):
+def test_small_cache_forgets_and_stays_right():
     coded = bpe.Bpe(PATH)
-    coded._pieces._limit = 3
-    monkeypatch.setattr(bpe, "CACHE_WORDS", 3)
+    coded._pieces._limit = coded._cached = 3
     texts = [f"word{i} and more{i % 5}" for i in range(40)] * 2
     for at in range(0, 80, 8):
         part = texts[at:at + 8]

@@ -15,8 +15,7 @@ rows of their own. An empty table gives an empty table. Other columns are not re
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
-from functools import cache
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -27,20 +26,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewlake.llm.chunks import PieceCache, encode_texts, printable_bytes
-from viewlake.llm.scratch import text_slices
+from viewlake.llm.scratch import keep_one, text_slices
 
 #: Fixed value: how byte-level vocabularies split a text into words.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
-#: Words a worker remembers before it starts afresh.
+#: Pieces, and words, a worker remembers before it starts afresh.
 CACHE_WORDS = 200_000
 
 
 class Bpe:
     """A byte-level vocabulary read from a tokenizers JSON file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHE_WORDS):
+        self._cached = cached
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab = spec["model"]["vocab"]
@@ -57,7 +57,7 @@ class Bpe:
         self.strings = pa.array([strings.get(i, b"") for i in range(max(strings) + 1)], pa.binary())
         self._special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._words: dict[str, list[int]] = {}
-        self._pieces = PieceCache(lambda pieces: map(self.encode_text, pieces))
+        self._pieces = PieceCache(lambda pieces: map(self.encode_text, pieces), cached)
 
     def encode_word(self, word: bytes) -> list[int]:
         """The ids of one word, merged lowest rank first."""
@@ -95,7 +95,7 @@ class Bpe:
             if found is None:
                 found = self.encode_word(word.encode())
                 if len(word) < 64:
-                    if len(known) >= CACHE_WORDS:
+                    if len(known) >= self._cached:
                         known.clear()
                     known[word] = found
             ids += found
@@ -128,9 +128,8 @@ class Bpe:
             return pa.array([b.decode("utf-8", "replace") for b in joined.to_pylist()], pa.string())
 
 
-@cache
-def load(path: str) -> Bpe:
-    return Bpe(path)
+def load(path: str, cached: int = CACHE_WORDS) -> Bpe:
+    return keep_one(("bpe", path, cached), lambda: Bpe(path, cached))
 
 
 def _run(df: DataFrame, columns: list, schema: str, names: list[str], work) -> DataFrame:
@@ -161,11 +160,14 @@ def decode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str
     return _run(df, [F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")], "doc_id long, text string", [], work)
 
 
-def round_trip(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids, decoded) in one pass: ``encode``, then ``decode`` of its ids."""
+def round_trip(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", cached: int = CACHE_WORDS) -> DataFrame:
+    """(doc_id, ids, decoded) in one pass: ``encode``, then ``decode`` of its ids.
+
+    ``cached`` is how many pieces and words a worker remembers: less memory, more work.
+    """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bpe = load(vocabulary)
+        bpe = load(vocabulary, cached)
         ids = bpe.encode_batch(batch.column("text"))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, bpe.decode_batch(ids)], ["doc_id", "ids", "decoded"])
 

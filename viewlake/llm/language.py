@@ -12,7 +12,8 @@ own symbol; steps by the rarer ones are kept in a sorted list. A text longer tha
 text is read.
 
 The sample is the only bounded thing: ``SAMPLE_TEXTS`` different texts of each language,
-those with the lowest hash, ``SAMPLE_CHARS`` characters of each.
+those with the lowest hash, ``SAMPLE_CHARS`` characters of each, fewer if all languages
+together would pass ``MOST_SYMBOLS``; ``MOST_LANGUAGES`` languages are learned.
 
 Edge cases: a NULL text, or one without a letter, is ``und`` with score 0. If there is
 nothing to learn from, every document is ``und``. Rows without an id are predicted but
@@ -25,7 +26,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache, lru_cache
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +34,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from viewlake.llm.scratch import cut, text_slices
+from viewlake.llm.scratch import cut, keep_one, text_slices
 
 UNKNOWN = "und"
 SAMPLE_TEXTS = 128
 SAMPLE_CHARS = 384
 #: Languages that are learned, those with most documents first.
-MOST_LANGUAGES = 500
+MOST_LANGUAGES = 100
+#: Characters of all samples: a worker's tables take some 1 kB for each. With more than
+#: four languages the passages of each get shorter.
+MOST_SYMBOLS = 200_000
 #: Letters with a column in the table of steps; steps by rarer ones are looked up.
 TABLE_LETTERS = 120
 BLOCK_SYMBOLS = 512
@@ -89,6 +93,8 @@ def draw_sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     able = able.withColumn("hash", F.xxhash64("text"))
     distinct = cut(able.groupBy("lang", "hash").agg(F.min("doc_id").alias("doc_id")))
     chosen = cut(_lowest(distinct, texts, languages))
+    learned = max(1, chosen.select("lang").distinct().count())
+    chars = min(chars, max(1, MOST_SYMBOLS // (learned * texts)))
     # As many rows as languages times texts: bounded, whatever the table's size.
     start = F.pmod(F.col("hash"), F.greatest(F.char_length("text") - chars, F.lit(0)) + 1) + 1
     passages = able.join(F.broadcast(chosen), ["lang", "hash", "doc_id"]).select("lang", "hash", F.substring(F.col("text"), start.cast("int"), F.lit(chars)).alias("text")).distinct().collect()
@@ -184,16 +190,24 @@ class Parser:
                 restart[symbol] = 2 * (base + state) + 1
             table = np.tile(restart[:width].astype(np.int32), (len(steps), 1))
             # from the start every symbol opens a phrase
-            moves = np.array([(state, symbol, to) for state, found in enumerate(steps[1:], 1) for symbol, to in found.items()], np.int64).reshape(-1, 3)
+            flat = (n for state, found in enumerate(steps) if state for symbol, to in found.items() for n in (state, symbol, to))
+            moves = np.fromiter(flat, np.int64).reshape(-1, 3)
             near, far = moves[moves[:, 1] < width], moves[moves[:, 1] >= width]
             table[near[:, 0], near[:, 1]] = 2 * (base + near[:, 2])
             rare.append(np.column_stack(((base + far[:, 0]) * size + far[:, 1], 2 * (base + far[:, 2]))))
-            tables.append(table)
+            tables.append(table.ravel())
             restarts.append(restart.astype(np.int32))
             starts.append(base)
             base += len(steps)
             self.bits.append(math.log2(len(symbols) + 1))
-        self.table = np.concatenate([np.empty(0, np.int32), *(t.ravel() for t in tables)])
+            del steps, moves, near, far, table
+        # One table after the other, so that all of them are never held twice.
+        self.table = np.empty(sum(map(len, tables)), np.int32)
+        end = len(self.table)
+        while tables:
+            table = tables.pop()
+            self.table[end - len(table):end] = table
+            end -= len(table)
         self.starts = np.array(starts, np.int32)
         self.restarts = np.array(restarts, np.int32).reshape(len(starts), size)
         entries = np.concatenate([np.empty((0, 2), np.int64), *rare])
@@ -259,9 +273,8 @@ class Parser:
         return [self.languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), has_letter.tolist())], np.clip(score, 0, 1)
 
 
-@lru_cache(maxsize=1)
 def _parser(sample: tuple[tuple[str, str], ...]) -> Parser:
-    return Parser(sample)
+    return keep_one(("language", sample), lambda: Parser(sample))
 
 
 def predict_languages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from viewlake.llm.scratch import cut, drop_folder, new_folder, text_slices
+from viewlake.llm.scratch import cut, drop_folder, keep_one, new_folder, text_slices
 
 BUCKETS = 10_000
 #: Words an automaton knows, and bytes of the longest of them.
@@ -102,9 +102,8 @@ class WordScanner:
         self._new = {}
 
 
-@cache
 def _scanner() -> WordScanner:
-    return WordScanner()
+    return keep_one("word scanner", WordScanner)
 
 
 @cache

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -38,6 +39,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_kept: dict[Hashable, Any] = {}
+
+
+def keep_one(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What this worker has made for a key, kept from task to task.
+
+    A worker outlives queries, so it keeps one thing only: what it was asked for last.
+    The one before goes first, so two are never held at once.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], text: str, fill: bool = True
 ) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,6 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from functools import cache
 from string import punctuation
 
 import numpy as np
@@ -42,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from viewlake.llm.chunks import PieceCache, encode_texts, printable_bytes
-from viewlake.llm.scratch import cut, text_slices
+from viewlake.llm.scratch import cut, keep_one, text_slices
 
 #: Fixed values of the zstandard frame formats.
 SKIPPABLE_GAP = b"P*M\x18\x00\x00\x00\x00"
@@ -59,8 +58,11 @@ FILE_BYTES = 16_000_000
 MOST_FILES = 100_000
 
 
-@cache
 def _coder(vocabulary: str) -> PieceCache:
+    return keep_one(("coder", vocabulary), lambda: _new_coder(vocabulary))
+
+
+def _new_coder(vocabulary: str) -> PieceCache:
     """Ids of pieces by the tokenizers library.
 
     Letters with marks after them are the commonest pieces by far. The file's
