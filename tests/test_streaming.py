@@ -16,7 +16,6 @@ from viewlake.streaming import (
     hourly_counts,
     open_files,
     open_raw_events,
-    read_counts,
     run_available,
 )
 
