@@ -194,3 +194,25 @@ def test_repeats_in_metadata_multiply_no_event(spark, make_events):
     joined = enrich.enrich_with_metadata(make_events({}, {"event_id": "E2"}), metadata)
     assert rows_of(joined, "event_id", "title", "genre") == [("E1", "Two", "a"), ("E2", "Two", "a")]
     assert rows_of(enrich.repeated_reference(metadata, ["content_id"])) == [("M1", 3, 2)]
+
+
+def parts_folder(spark, path, n):
+    """Parts whose file is far smaller than the launches made from it."""
+    parts = spark.range(0, n, 1, 1).selectExpr(
+        "id AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "'t' AS p_type",
+        "CAST(1 AS INT) AS p_size", "1.0D AS p_retailprice",
+    )
+    parts.write.parquet(f"{path}/part.parquet")
+    return str(path)
+
+
+def test_a_large_reference_is_merged_whatever_its_estimate(spark, make_events, tmp_path):
+    from test_plans import plan
+
+    launch = testdata.content_launch(spark, parts_folder(spark, tmp_path, 40_000))
+    events = make_events({"content_id": "CONT-39999"}, {"content_id": "CONT-40000"})
+    joined = enrich.enrich_with_launch(events, launch)
+    assert "SortMergeJoin" in plan(joined) and "BroadcastHashJoin" not in plan(joined)
+    assert [r[0] is None for r in rows_of(joined, "planned_launch_date")] == [False, True]
+    few = launch.limit(10_000)
+    assert "BroadcastHashJoin" in plan(enrich.enrich_with_launch(events, few))

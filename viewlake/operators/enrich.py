@@ -1,8 +1,10 @@
 """Left joins of events to the reference tables.
 
 No side is broadcast by decree. Spark broadcasts a reference table only when
-its measured size is under ``spark.sql.autoBroadcastJoinThreshold``; a larger
-one is joined by sort and merge, where adaptive execution splits hot keys.
+its size is under ``spark.sql.autoBroadcastJoinThreshold``; a larger one is joined
+by sort and merge, where adaptive execution splits hot keys. Spark's size is an
+estimate from the bytes of files, which says little of compressed columns or of rows
+made from them, so a table over ``BROADCAST_ROWS`` rows is merged whatever its estimate.
 """
 
 from __future__ import annotations
@@ -16,12 +18,17 @@ UNIQUE = "unique_key"
 
 STRATEGIES = ("auto", "merge", "shuffle_hash")
 
+# Rows of a reference table, some 25 MB when held, from which no join broadcasts it.
+BROADCAST_ROWS = 100_000
+
 
 def _join(
     events: DataFrame, reference: DataFrame, keys: Sequence[str], strategy: str
 ) -> DataFrame:
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
+    if strategy == "auto":
+        reference = merged_if_large(reference)
     if not is_declared_unique(reference, keys):
         reference = one_row_per_key(reference, keys)
     if strategy != "auto":
@@ -29,6 +36,16 @@ def _join(
     return events.join(reference, list(keys), "left")
 
 
+def merged_if_large(table: DataFrame, rows: int | None = None) -> DataFrame:
+    """The table with a hint to merge if it has more rows than may be broadcast.
+
+    The rows are counted, in each task only until there are too many.
+    """
+    most = BROADCAST_ROWS if rows is None else rows
+    is_large = table.limit(most + 1).count() > most
+    return table.hint("merge") if is_large else table
+
+
 def declare_unique(reference: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Note in the schema that a table has one row per key, so that a join need not
     make sure of it. For tables that were checked when they were written."""
