@@ -216,3 +216,13 @@ def test_a_large_reference_is_merged_whatever_its_estimate(spark, make_events, t
     assert [r[0] is None for r in rows_of(joined, "planned_launch_date")] == [False, True]
     few = launch.limit(10_000)
     assert "BroadcastHashJoin" in plan(enrich.enrich_with_launch(events, few))
+
+
+def test_rows_are_dealt_out_before_the_greatest_is_found(spark, tmp_path):
+    from test_plans import plan
+
+    launch = testdata.content_launch(spark, parts_folder(spark, tmp_path, 100))
+    unique = enrich.one_row_per_key(launch, ["content_id", "region"])
+    scanned = plan(unique).rsplit("Exchange", 1)[1]
+    assert "FileScan" in scanned and "Aggregate" not in scanned and "Sort" not in scanned
+    assert rows_of(unique) == rows_of(launch.select(unique.columns))

@@ -59,9 +59,15 @@ def is_declared_unique(reference: DataFrame, keys: Sequence[str]) -> bool:
 
 
 def one_row_per_key(reference: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Of several rows for one key the greatest, so that a join multiplies no event."""
+    """Of several rows for one key the greatest, so that a join multiplies no event.
+
+    A maximum of rows is found by sorting, before the shuffle too. The rows are dealt
+    out first, by all their columns, so that no task sorts what one scan task makes and
+    no key gathers.
+    """
     others = [c for c in reference.columns if c not in keys]
-    rows = reference.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_row"))
+    dealt = reference.hint("rebalance", *reference.columns)
+    rows = dealt.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_row"))
     return rows.select(*keys, "_row.*")
 
 
