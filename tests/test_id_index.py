@@ -80,3 +80,29 @@ def test_untouched_folders_are_pruned_and_reads_stay_level(spark, tmp_path):
         read[n] = held.count()
         assert id_index.places_of(asked, base).count() == 3
     assert read[40_000] < 2 * read[4_000]
+
+
+def test_a_folder_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(id_index, "ROWS_PER_TASK", 100, raising=False)
+    base = str(tmp_path / "index")
+    id_index.build(arrivals(spark, 0, 1_000), base, rows_per_bucket=4_000)
+    id_index.add(arrivals(spark, 500, 3_000), base, rows_per_bucket=4_000)
+    index = id_index.read_index(spark, base)
+    files = rows_of(index.groupBy("_metadata.file_name").count(), "count")
+    assert sum(n for (n,) in files) == 3_000 and len(files) >= 10
+    assert max(n for (n,) in files) < 1_000
+    for n in (3, 2_999):
+        assert id_index.places_of(ids(spark, n), base).count() == 1
+
+
+def test_many_arrivals_make_more_folders_before_they_are_written(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "index")
+    id_index.build(arrivals(spark, 0, 10), base, rows_per_bucket=100)
+    written = []
+    write = id_index._write
+    monkeypatch.setattr(id_index, "_write", lambda rows, path, buckets, *more: (
+        written.append(buckets), write(rows, path, buckets, *more)))
+    id_index.add(arrivals(spark, 5, 2_000), base, rows_per_bucket=100)
+    assert len(written) == 1 and written[0] >= 20
+    content = newest_pointer(spark, base).content
+    assert content["rows"] == id_index.read_index(spark, base).count() == 2_000

@@ -1,12 +1,12 @@
 """Where copies of an id may be, without reading what the ids came with.
 
 For every arrival the index holds the 64-bit hash of its id and its ingest and event
-date. Rows are dealt to folders by the hash, each folder one file sorted by it. A run
-adds its arrivals to the folders they fall in, and looks its changed ids up there: other
-folders are pruned, so that a run reads as many folders as its ids fall in. A folder
-keeps its size while history grows, because their number does: when folders hold
-``ROWS_PER_BUCKET`` rows on average, the index is written anew with more of them, a cost
-that comes once per doubling.
+date. Rows are dealt to folders by the hash, and a folder's rows to files of some
+``ROWS_PER_TASK`` rows, each sorted by it. A run adds its arrivals to the folders they
+fall in, and looks its changed ids up there: other folders are pruned, so that a run reads
+as many folders as its ids fall in. A folder keeps its size while history grows, because
+their number does: when arrivals would make folders hold more than ``ROWS_PER_BUCKET`` rows
+on average, the index is written anew with more of them, a cost that comes once per doubling.
 
 The index may name more dates than needed, when hashes collide or a corrected ingest
 date lost rows. Who looks ids up compares the ids themselves in what the dates hold, so
@@ -19,15 +19,19 @@ thousands of ids.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewlake.operators.quality import counted
 from viewlake.sinks.versions import newest_pointer, publish
 from viewlake.sources.paths import drop_folder
 
 ROWS_PER_BUCKET = 8_000_000
 
+# Rows that one task sorts, at some 300 bytes each; a task may get a few files.
+ROWS_PER_TASK = 500_000
+
 PLACES = ("ingest_date", "event_date")
 SCHEMA = "id_hash BIGINT, ingest_date DATE, event_date DATE, bucket INT"
 
@@ -49,25 +53,34 @@ def read_index(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(f"{base}/{state['folder']}")
 
 
-def _in_buckets(index: DataFrame, touched: list[int], buckets: int) -> DataFrame:
+def _in_buckets(index: DataFrame, touched: Collection[int], buckets: int) -> DataFrame:
     """The rows of some folders; the filter prunes the others."""
     if len(touched) == buckets:
         return index
-    return index.where(F.col("bucket").isin(touched))
+    return index.where(F.col("bucket").isin(sorted(touched)))
+
 
+def _touched(hashes: DataFrame, buckets: int) -> dict[int, int]:
+    """The folders that hashes fall in and how many do, at most one number for each."""
+    found = hashes.groupBy(_bucket(buckets).alias("bucket")).agg(F.count("*").alias("rows"))
+    return {row["bucket"]: row["rows"] for row in found.orderBy("bucket").collect()}
 
-def _touched(hashes: DataFrame, buckets: int) -> list[int]:
-    """At most one number for each folder."""
-    found = hashes.select(_bucket(buckets).alias("bucket")).distinct().collect()
-    return sorted(row["bucket"] for row in found)
 
+def _write(rows: DataFrame, path: str, buckets: int, mode: str, n: int, folders: int) -> None:
+    """Sorted files; a folder's rows are dealt to several by other bits of their hash.
 
-def _write(rows: DataFrame, path: str, buckets: int, mode: str) -> None:
-    """One sorted file per folder; a folder's rows are bounded, and hashes spread evenly."""
-    dealt = rows.select("id_hash", *PLACES, _bucket(buckets).alias("bucket"))
-    unique = dealt.repartition("bucket").distinct()
+    ``n`` is how many rows there are for ``folders`` of the buckets. The number of tasks
+    is given, since adaptive execution would join files by their bytes on disk, which
+    are far less than what a sort holds.
+    """
+    slices = max(1, -(-n // (folders * ROWS_PER_TASK)))
+    tasks = min(max(1, folders * slices), 2 * -(-n // ROWS_PER_TASK) + 1)
+    part = F.pmod(F.shiftright("id_hash", 32), F.lit(slices)).alias("_slice")
+    dealt = rows.select("id_hash", *PLACES, _bucket(buckets).alias("bucket"), part)
+    unique = dealt.repartition(tasks, "bucket", "_slice").distinct()
     (
-        unique.sortWithinPartitions("bucket", "id_hash", *PLACES)
+        unique.sortWithinPartitions("bucket", "_slice", "id_hash", *PLACES)
+        .drop("_slice")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .partitionBy("bucket")
@@ -94,7 +107,7 @@ def _rebuild(rows: DataFrame, base: str, rows_per_bucket: int) -> None:
         buckets *= 2
     number = 1 if before is None else before.content["number"] + 1
     folder = f"index-{number}"
-    _write(rows, f"{base}/{folder}", buckets, "static")
+    _write(rows, f"{base}/{folder}", buckets, "static", n, buckets)
     publish(spark, base, {"number": number, "folder": folder, "buckets": buckets, "rows": n})
     if before is not None:
         drop_folder(spark, f"{base}/{before.content['folder']}")
@@ -109,14 +122,17 @@ def add(arrivals: DataFrame, base: str, id_col: str = "event_id", rows_per_bucke
     touched = _touched(fresh, buckets)
     if not touched:
         return
-    held = _in_buckets(read_index(spark, base), touched, buckets)
-    fresh, seen = counted(fresh, "fresh")
-    _write(held.drop("bucket").unionByName(fresh), path, buckets, "dynamic")
-    rows = state["rows"] + seen.get["rows"]
+    added = sum(touched.values())
+    rows = state["rows"] + added
     if rows > buckets * rows_per_bucket:
-        _rebuild(read_index(spark, base).drop("bucket"), base, rows_per_bucket)
-    else:
-        publish(spark, base, {**state, "rows": rows})
+        every = read_index(spark, base).drop("bucket").unionByName(fresh)
+        _rebuild(every.distinct(), base, rows_per_bucket)
+        return
+    held = _in_buckets(read_index(spark, base), touched, buckets)
+    # Hashes spread evenly, so a folder holds its share of what was counted.
+    n = state["rows"] * len(touched) // buckets + added
+    _write(held.drop("bucket").unionByName(fresh), path, buckets, "dynamic", n, len(touched))
+    publish(spark, base, {**state, "rows": rows})
 
 
 def places_of(ids: DataFrame, base: str, id_col: str = "event_id") -> DataFrame:
