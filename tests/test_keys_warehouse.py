@@ -192,3 +192,24 @@ def test_declared_tables_take_rows_and_join(spark, tmp_path, make_events, dims):
     )
     assert rows_of(joined) == [("One", "UK", "web", 1)]
     spark.sql("DROP DATABASE star CASCADE")
+
+
+def test_large_launches_and_dimensions_are_not_broadcast(spark, tmp_path, monkeypatch):
+    from test_plans import plan
+
+    from viewlake.operators import enrich
+
+    monkeypatch.setattr(enrich, "BROADCAST_ROWS", 20)
+    contents = spark.range(1, 31).selectExpr(
+        "CAST(id AS INT) AS content_key", "concat('C', id) AS content_id")
+    contents.write.parquet(f"{tmp_path}/contents")
+    dims = {"dim_content": spark.read.parquet(f"{tmp_path}/contents"), "dim_region": warehouse.dim_region(spark)}
+    launches = spark.range(0, 40).selectExpr(
+        "concat('C', id) AS content_id", "IF(id < 99, 'UK', 'US') AS region", "'2024-01-01' AS planned_launch_date",
+        "CAST(NULL AS STRING) AS actual_launch_date", "'cancelled' AS launch_status")
+    fact = warehouse.fact_content_launch(launches, dims)
+    assert "SortMergeJoin" in plan(fact) and plan(fact).count("BroadcastHashJoin") == 1
+    assert [r.content_key for r in fact.orderBy("content_key").collect()] == list(range(1, 31))
+    few = {**dims, "dim_content": dims["dim_content"].where("content_key <= 5")}
+    assert "SortMergeJoin" in plan(warehouse.fact_content_launch(launches, few))
+    assert warehouse.fact_content_launch(launches, few).count() == 5

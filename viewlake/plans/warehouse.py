@@ -26,6 +26,7 @@ from viewlake.functions import (
     round_half_up,
     watch_hours,
 )
+from viewlake.operators.enrich import merged_if_large, one_row_per_key
 from viewlake.operators.keys import number_rows, stable_keys, upsert
 from viewlake.sources.calendar import date_series
 
@@ -109,6 +110,7 @@ def dim_content(
         loaded = current.withColumn("updated_at", F.lit(run_at).cast("timestamp"))
         columns = schemas.DIM_CONTENT.fieldNames()
         return number_rows(loaded, ["content_id"], "content_key").select(*columns)
+    existing = merged_if_large(existing)
     keyed = stable_keys(
         existing.select("content_id", "content_key"),
         current,
@@ -140,10 +142,8 @@ def _one_row_per_content(metadata: DataFrame) -> DataFrame:
     typed = metadata.withColumn(
         "release_date", parse_date(F.col("release_date").cast("string"))
     )
-    rows = typed.groupBy("content_id").agg(
-        F.max(F.struct(*CONTENT_ATTRIBUTES)).alias("_row")
-    )
-    return rows.select("content_id", "_row.*").where(F.col("content_id").isNotNull())
+    known = typed.where(F.col("content_id").isNotNull())
+    return one_row_per_key(known.select("content_id", *CONTENT_ATTRIBUTES), ["content_id"])
 
 
 def with_unknown(dimension: DataFrame, key: str, label: str) -> DataFrame:
@@ -279,7 +279,8 @@ def fact_content_launch(
     would break the grain; ``orphan_launches`` lists them.
     """
     keyed = _look_up(
-        launches,
+        # An inner join may broadcast either side.
+        merged_if_large(launches),
         dimensions,
         "drop",
         ("dim_content", "content_key", "content_id", "content_id"),
@@ -298,7 +299,7 @@ def fact_content_launch(
 def orphan_launches(
     launches: DataFrame, dimensions: dict[str, DataFrame]
 ) -> DataFrame:
-    known = dimensions["dim_content"].select("content_id")
+    known = merged_if_large(dimensions["dim_content"]).select("content_id")
     return launches.join(known, "content_id", "left_anti")
 
 
@@ -308,12 +309,12 @@ def _look_up(
     unknown: str,
     *lookups: tuple[str, str, str, str],
 ) -> DataFrame:
-    """Add each dimension's key by its natural key."""
+    """Add each dimension's key by its natural key; a large dimension is merged."""
     if unknown not in ("keep", "drop"):
         raise ValueError("unknown must be 'keep' or 'drop'")
     how = "left" if unknown == "keep" else "inner"
     for table, key, natural, column in lookups:
-        pairs = dimensions[table].select(
+        pairs = merged_if_large(dimensions[table]).select(
             F.col(key), F.col(natural).alias(f"_{natural}")
         )
         rows = rows.join(pairs, F.col(column) == F.col(f"_{natural}"), how).drop(
