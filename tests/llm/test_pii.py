@@ -4,7 +4,9 @@ import hashlib
 
 from llm_support import SMALL, shipped  # noqa: F401
 
-from viewlake.llm import pii
+import pytest
+
+from viewlake.llm import boosting, pii
 from viewlake.llm.queries import QUERIES
 
 LIMITS = {"ip": lambda m: max(map(int, m.split("."))) <= 255, "email": lambda m: True}
@@ -114,3 +116,64 @@ def test_candidates_with_equal_scores(monkeypatch):
 
 def test_empty_table(spark):
     assert pii.find_pii(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def numbered(i):
+    card = f"4{i:03d}56789012{i % 90:03d}"
+    card += next(d for d in "0123456789" if pii.luhn(card + d))
+    return f"call +1 ({200 + i}) 555-{1000 + i} now, pay {card} by the 3rd, order {i * 7919} of 12 items"
+
+
+def learned(model):
+    return {kind: (trees.start, trees.weight, [([(f.tolist(), p.tolist()) for f, p in splits], leaves.tolist()) for splits, leaves in trees.trees], threshold) for kind, (trees, threshold) in model.trees.items()}
+
+
+def test_learns_from_whole_texts(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "TREES", 15)
+    rows = [(i, "7 " + "word " * 1000 + numbered(i)) for i in range(90)]
+    cards = [c for c in (f"404189497460{i:04d}" for i in range(100)) if pii.luhn(c)]
+    rows.append((-1, f"call now, pay {cards[0]} {cards[1]} by the 3rd"))
+    got = {r["doc_id"]: r["spans"] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    added = {(s["kind"], s["start"]) for s in got[-1] if not s["is_base"]}
+    assert added and added <= {("card", 14), ("card", 31)}
+
+
+def test_learns_from_every_text_once(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "TREES", 2)
+    texts = [numbered(i) for i in range(1200)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    seen = []
+    monkeypatch.setattr(boosting.SparkExamples, "__init__", lambda self, counted, start=boosting.SparkExamples.__init__: seen.append(counted) or start(self, counted))
+    model = pii.learn(df.repartition(3))
+    want = pii.Counter()
+    for text in texts:
+        want.update(pii._counted(text))
+    got = pii.Counter()
+    for row in seen[0].collect():
+        got[row["kind"], bytes(row["levels"]), row["positive"]] += row["n"]
+    assert got == want and set(model.trees) == {"card", "phone"}
+    # Neither copies nor another division of the rows change anything.
+    monkeypatch.setattr(boosting, "TASK_ROWS", 500)
+    assert learned(pii.learn(df.union(df).union(df).repartition(7))) == learned(model)
+    # Sums over all rows make the same trees here and in Spark.
+    split = [{r["text"] for r in df.where(f"pmod(xxhash64(text), 3) {sign} 0").collect()} for sign in ("=", "<>")]
+    blocks = []
+    for held, of in zip((True, False), split):
+        for text in of:
+            for (kind, levels, positive), n in pii._counted(text).items():
+                blocks.append((kind, boosting.Block(*map(pii.np.array, ([pii.np.frombuffer(levels, "<i2")], [positive], [held], [n])))))
+    assert learned(pii.Model(examples=boosting.LocalExamples(blocks))) == learned(model)
+
+
+def test_levels_and_features():
+    x = pii.np.array([[-2, -1, 0, 256, 257, 512, 513, 1e12]])
+    assert boosting.levels_of(x).tolist() == [[0, 0, 1, 257, 258, 258, 259, boosting.CELLS - 1]]
+    text = numbered(5)
+    for kind, spans in pii.candidates(text).items():
+        assert all(len(pii.features(text, kind, s)) == pii.N_FEATURES for s in spans)
+    assert pii._counted(text) == pii._counted(text) and not pii._counted("no data")
+
+
+@pytest.mark.parametrize("text", ["", "x", "+1 (855) 555-4208", "1.2.3.4", "a@b.c", "1.2.3.4@b.c " * 3])
+def test_examples_of_short_texts(text):
+    assert all(levels and n > 0 for (_, levels, _), n in pii._counted(text).items())

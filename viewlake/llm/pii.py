@@ -6,14 +6,16 @@ longer runs that the rules give up on, dotted numbers, and written-out email add
 Boosted trees score a candidate by its format and context; it is added if the score
 reaches the threshold of its kind and nothing better or base overlaps it.
 
-The trees learn from the rules: on a bounded sample of texts (``SAMPLE_TEXTS`` different
-ones with the lowest hash, ``SAMPLE_CHARS`` characters of each), base spans and copies
-of them in changed formats and company are positive, other candidates negative. A third
-of the sample is held out to set the thresholds: the lowest score from which
-``PRECISION`` of the candidates are positive. A kind with too few examples adds nothing.
+The trees learn from the rules: in every whole text, copies of a text counting once, base
+spans and copies of them in changed formats and company are positive, other candidates
+negative. Equal examples are counted in Spark and the trees grow from sums over all of
+them. A third of the texts, by hash, is held out to set the thresholds: the lowest step of
+the score from which ``PRECISION`` of the candidates are positive. A kind with too few
+examples adds nothing.
 
 Only texts with a digit, an at sign or a written-out one go through the patterns, as every
-span holds one of them; whole texts are read and nothing is shuffled.
+span holds one of them. Texts are read twice, to learn and to find, and never shuffled:
+only the examples' levels are.
 
 Edge cases: a NULL or empty text has no span. Positions are code points, ends exclusive.
 Spans with one start stand by kind as in ``KINDS``; of candidates with equal scores that
@@ -27,6 +29,7 @@ from __future__ import annotations
 import random
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
@@ -36,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewlake.llm.boosting import BoostedTrees
+from viewlake.llm.boosting import STEPS, Block, BoostedTrees, Examples, LocalExamples, SparkExamples, boost, class_counts, levels_of
 from viewlake.llm.scratch import text_slices
 
 KINDS = ("email", "ip", "card", "phone")
@@ -51,6 +54,9 @@ SAMPLE_TEXTS = 1000
 SAMPLE_CHARS = 4000
 PRECISION = 0.95
 LEAST_EXAMPLES = 20
+N_FEATURES = 25
+#: Rows of examples a task hands over at once.
+BATCH_ROWS = 10_000
 
 GROUPS = re.compile(r"[0-9]+(?:[ .-][0-9]+)*")
 PHONE_RUN = re.compile(r"(?:\+|\b00)?\(?[0-9][ ().0-9-]*[0-9]")
@@ -156,24 +162,46 @@ def features(text: str, kind: str, span: Span) -> list[float]:
     ]
 
 
-def _examples(text: str, rng: random.Random, pool: list[str]) -> Iterator[tuple[str, list[float], bool]]:
-    """(kind, features, is positive) from a text the rules have read.
-
-    ``pool`` collects the last spans seen, as company for later ones.
-    """
+def _examples(text: str) -> Iterator[tuple[str, list[float], bool]]:
+    """(kind, features, is positive) from a text the rules have read; the same for its copies."""
     base = base_spans(text)
     yield from _labelled(text, {(s, e, k) for s, e, k in base})
+    rng = random.Random(text) if base else None
     for start, end, kind in base:
         # The same span in other company and format.
-        found = text[start:end]
-        changed = _changed(found, kind, rng)
-        company = rng.choice([str(rng.randrange(10 ** rng.randrange(1, 17))), *pool])
+        changed = _changed(text[start:end], kind, rng)
+        company = _company(text, base, rng)
         lead, tail = rng.choice([("", " " + company), (company + " ", ""), ("", ""), ("", ".")])
         left, right = text[max(0, start - 60):start], text[end:end + 60]
         made = left + lead + changed + tail + right
         at = len(left) + len(lead)
         yield from _labelled(made, {(at, at + len(changed), kind)}, only=(at, at + len(changed)))
-    pool[:] = (pool + [text[s:e] for s, e, _ in base])[-16:]
+
+
+def _company(text: str, base: list[tuple[int, int, str]], rng: random.Random) -> str:
+    """A number, card, phone or address made up, or some base span of the text."""
+    start, end, _ = rng.choice(base)
+    card = str(rng.randrange(10**14, 10**15))
+    card += next(d for d in "0123456789" if luhn(card + d))
+    return rng.choice([
+        str(rng.randrange(10 ** rng.randrange(1, 17))),
+        card,
+        f"+{rng.randrange(1, 100)} ({rng.randrange(100, 1000)}) {rng.randrange(100, 1000)}-{rng.randrange(1000, 10000)}",
+        ".".join(str(rng.randrange(256)) for _ in range(4)),
+        text[start:end],
+    ])
+
+
+def _counted(text: str) -> Counter[tuple[int, bytes, bool]]:
+    """How often a text gives each example, features as levels."""
+    raw = Counter((KINDS.index(kind), tuple(x), positive) for kind, x, positive in _examples(text))
+    if not raw:
+        return raw
+    # Values of one level make equal examples.
+    found: Counter[tuple[int, bytes, bool]] = Counter()
+    for ((kind, _, positive), n), row in zip(raw.items(), levels_of(np.array([x for _, x, _ in raw], float))):
+        found[kind, row.tobytes(), positive] += n
+    return found
 
 
 def _changed(found: str, kind: str, rng: random.Random) -> str:
@@ -197,31 +225,35 @@ def _labelled(text: str, positive: set, only: Span | None = None) -> Iterator[tu
 
 
 class Model:
-    """Trees and a threshold for each kind that has examples enough."""
-
-    def __init__(self, texts: Iterable[str]):
-        rng, pool = random.Random(17), []
-        rows: dict[str, list] = {kind: [] for kind in KINDS}
-        for at, text in enumerate(texts):
-            for kind, x, y in _examples(text, rng, pool):
-                rows[kind].append((x, y, at % 3 == 0))
-        self.trees: dict[str, tuple[BoostedTrees, float]] = {}
-        for kind, found in rows.items():
-            if not found:
-                continue
-            x, y, held = (np.array(c, float) for c in zip(*found))
-            if min(y[held == 0].sum(), y[held == 1].sum(), (1 - y[held == 0]).sum() + 1) < LEAST_EXAMPLES / 2 or y.sum() < LEAST_EXAMPLES:
+    """Trees and a threshold for each kind that has examples enough.
+
+    ``learn`` makes one from a table; made directly, it learns here, from texts in hand.
+    """
+
+    def __init__(self, texts: Iterable[str] = (), examples: Examples | None = None):
+        if examples is None:
+            found: Counter[tuple[int, bytes, bool, bool]] = Counter()
+            for at, text in enumerate(texts):
+                for key, n in _counted(text).items():
+                    found[(*key, at % 3 == 0)] += n
+            rows: dict[int, list] = {}
+            for (kind, levels, *rest), n in found.items():
+                rows.setdefault(kind, []).append((np.frombuffer(levels, "<i2"), *rest, n))
+            blocks = {kind: zip(*of) for kind, of in rows.items()}
+            examples = LocalExamples([(kind, Block(np.array(levels), *(np.array(c) for c in rest))) for kind, (levels, *rest) in blocks.items()])
+        grown: dict[int, BoostedTrees] = {}
+        for kind, ((negative, positive), (_, held)) in examples.total(lambda _, block: class_counts(block), list(range(len(KINDS))), 2).items():
+            if min(positive, held, negative + 1) < LEAST_EXAMPLES / 2 or positive + held < LEAST_EXAMPLES:
                 continue
-            learn = held == 0
-            weight = np.where(y[learn] == 1, 1.0, min(1.0, y[learn].sum() / max(1.0, (1 - y[learn]).sum()) * 4))
-            trees = BoostedTrees(x[learn], y[learn], weight)
-            score = trees.predict(x[~learn])
-            order = np.argsort(-score, kind="stable")
-            good = np.cumsum(y[~learn][order]) / np.arange(1, len(order) + 1)
-            ends = np.append(np.flatnonzero(np.diff(score[order])), len(order) - 1)
-            enough = ends[(good[ends] >= PRECISION) & (ends + 1 >= LEAST_EXAMPLES / 2)]
+            weight = min(1.0, positive / max(1.0, negative) * 4)
+            grown[kind] = BoostedTrees(positive / (positive + weight * negative), weight)
+        boost(examples, grown, N_FEATURES)
+        self.trees: dict[str, tuple[BoostedTrees, float]] = {}
+        for kind, steps in sorted(examples.total(lambda kind, block: grown[kind].steps(block), list(grown), STEPS + 1).items() if grown else ()):
+            negative, positive = np.cumsum(steps[::-1], 0)[::-1].T
+            enough = np.flatnonzero(steps.any(1) & (positive >= PRECISION * (negative + positive)) & (negative + positive >= LEAST_EXAMPLES / 2))
             if len(enough):
-                self.trees[kind] = (trees, max(0.5, float(score[order][enough[-1]])))
+                self.trees[KINDS[kind]] = (grown[kind], max(0.5, float(enough[0]) / STEPS))
 
     def added(self, text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
         """Spans that the trees select besides the base ones."""
@@ -260,8 +292,36 @@ class Taken:
         return at > 0 and self._reach[at - 1] > span[0]
 
 
+def learn(df: DataFrame, text_col: str = "text") -> Model:
+    """The model that all texts of ``df`` give."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in text_slices(batches, "text"):
+            for text, hash_ in zip(batch.column("text"), batch.column("hash")):
+                rows += [(hash_.as_py(), *key, n) for key, n in _counted(text.as_py()).items()]
+                if len(rows) >= BATCH_ROWS:
+                    yield from _batches(rows)
+                    rows = []
+        yield from _batches(rows)
+
+    able = df.select(F.col(text_col).alias("text")).where(F.col("text").rlike(ABLE)).withColumn("hash", F.xxhash64("text"))
+    # Copies of a text give equal rows.
+    found = able.mapInArrow(run, "hash long, kind int, levels binary, positive boolean, n long").distinct()
+    return Model(examples=SparkExamples(found.groupBy("kind", "levels", "positive", (F.pmod("hash", F.lit(3)) == 0).alias("held")).agg(F.sum("n").alias("n"))))
+
+
+def _batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of examples, some at a time."""
+    names = {"hash": pa.int64(), "kind": pa.int32(), "levels": pa.binary(), "positive": pa.bool_(), "n": pa.int64()}
+    for begin in range(0, len(rows), BATCH_ROWS):
+        columns = zip(*rows[begin:begin + BATCH_ROWS])
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, names.values())], list(names))
+
+
 def draw_sample(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> tuple[str, ...]:
-    """Passages around the first ``ABLE`` place of sampled texts."""
+    """Passages around the first ``ABLE`` place of sampled texts, to look at or to try a
+    ``Model`` on; ``find_pii`` and ``redact`` learn from all texts."""
     able = df.select(F.col(text_col).alias("text")).where(F.col("text").rlike(ABLE)).select(F.xxhash64("text").alias("hash"), F.substring("text", F.greatest(F.lit(1), F.regexp_instr("text", F.lit(ABLE)) - chars // 2), F.lit(chars)).alias("passage"))
     distinct = able.select("hash").distinct().orderBy("hash").limit(texts)
     passages = able.join(F.broadcast(distinct), "hash").distinct().collect()
@@ -288,7 +348,7 @@ def _spans(texts: pa.Array, model: Model) -> list[list[dict]]:
 
 def find_pii(df: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, spans) of every document; the model learns from ``df`` if none is given."""
-    model = model or Model(draw_sample(df, id_col, text_col))
+    model = model or learn(df, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
@@ -309,7 +369,7 @@ def redacted(text: str, spans: list[dict]) -> str:
 
 def redact(df: DataFrame, model: Model | None = None, text_col: str = "text") -> DataFrame:
     """``df`` with the personal data in its texts put out; NULL texts stay NULL."""
-    model = model or Model(draw_sample(df, text_col=text_col))
+    model = model or learn(df, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, text_col, fill=False):
