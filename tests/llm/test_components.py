@@ -1,0 +1,66 @@
+"""Components against a search, in one task and in many."""
+
+import random
+
+import pytest
+from llm_support import shipped  # noqa: F401
+
+from viewlake.llm import components
+
+
+def brute_force(pairs):
+    roots = {n: n for pair in pairs if pair[0] != pair[1] for n in pair}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            if a != b and roots[a] != roots[b]:
+                roots[a] = roots[b] = min(roots[a], roots[b])
+                changed = True
+    return sorted(roots.items())
+
+
+def graph(seed):
+    rng = random.Random(seed)
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(1000, 1001 + i) for i in range(80)]
+    loose = [(rng.randrange(2000, 2200), rng.randrange(2000, 2200)) for _ in range(90)]
+    pairs = chain + star + loose + chain[:5] + [(7, 7), (-3, 150), (150, -3)]
+    rng.shuffle(pairs)
+    return pairs
+
+
+@pytest.mark.parametrize("task_edges", [1, 40, 50_000])
+def test_equals_a_search(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(components, "TASK_EDGES", task_edges)
+    for seed in range(2):
+        pairs = graph(seed)
+        edges = spark.createDataFrame(pairs, "a long, b long").repartition(6)
+        assert sorted(map(tuple, components.components(edges).collect())) == brute_force(pairs)
+
+
+def test_no_edges(spark):
+    assert components.components(spark.createDataFrame([(4, 4)], "a long, b long")).collect() == []
+    assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_few_edges_take_few_tasks(spark):
+    """However many partitions there are, only the rows that come in are dealt out to them."""
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    context = spark.sparkContext
+    edges = spark.createDataFrame(graph(5), "a long, b long").repartition(60)
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("few edges", "")
+        components.components(edges).collect()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    tracker = context.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("few edges") for s in tracker.getJobInfo(j).stageIds}
+    tasks = sum(info.numCompletedTasks for info in map(tracker.getStageInfo, stages) if info)
+    # Their parts, their partitions and a count of them; then a few for each step.
+    assert 60 < tasks < 5 * 60

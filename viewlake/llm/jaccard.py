@@ -206,7 +206,7 @@ def path_groups(sets: DataFrame, comps: DataFrame, runs: int) -> DataFrame:
         found.append(_meet_main(large if last else large.where(f"rest <= {HALF}")))
         if not last:
             split = large.where(f"rest > {HALF}").select("id", "comp", "run", "path").join(sets.select("id", "chosen"), "id")
-            paths = _paths(split, level + 1)
+            paths = cut(_paths(split, level + 1))
     groups = found[0]
     for more in found[1:]:
         groups = groups.union(more)
